@@ -1,0 +1,307 @@
+from datetime import date, datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerloom.operators import allocation, checks, dedupe, running, shaping, temporal, upsert
+from ledgerloom.operators.lookup import broadcast_if_small, lookup_join
+
+NOW, REF = datetime(2026, 7, 17, 3), date(2026, 7, 17)
+
+
+def rows(df, *order):
+    return [tuple(r) for r in (df.orderBy(*order) if order else df).collect()]
+
+
+def test_names(spark):
+    df = spark.createDataFrame([(1, 2, 3)], "` Nome ` int, CPF int, ` Email` int")
+    assert shaping.normalise_names(df).columns == ["nome", "cpf", "email"]
+    with pytest.raises(ValueError, match="collide"):
+        shaping.normalise_names(spark.createDataFrame([(1, 2)], "` a` int, `a ` int"))
+
+
+def test_missing_columns_are_named(spark):
+    with pytest.raises(ValueError, match="b.*c"):
+        shaping.map_columns(spark.createDataFrame([(1,)], "a int"), ["a", "b", "c"], F.lower)
+
+
+def test_empty_rows(spark):
+    df = spark.createDataFrame([(1, 2), (None, None), (None, 3)], "a int, b int")
+    assert shaping.drop_empty_rows(df).count() == 2
+    assert shaping.drop_null_rows(df, ["a"]).count() == 1
+
+
+def test_any_distinct_is_null_safe(spark):
+    df = spark.createDataFrame([(1, 1), (1, None), (None, None), (1, 2)], "a int, b int")
+    assert [r[0] for r in df.select(shaping.any_distinct([(F.col("a"), F.col("b"))])).collect()] == [False, True, False, True]
+
+
+def test_keep_first_and_last(spark):
+    df = spark.createDataFrame([(1, "a", 1), (1, "b", 2), (2, "c", 3), (None, "d", 4), (None, "e", 5)], "id int, v string, s int")
+    assert rows(dedupe.keep_first(df, ["id"], ["s"]).select("id", "v"), "v") == [(1, "a"), (2, "c"), (None, "d")]
+    assert rows(dedupe.keep_last(df, ["id"], ["s"]).select("id", "v"), "v") == [(1, "b"), (2, "c"), (None, "e")]
+
+
+def test_dedupe_limits_each_group_before_the_shuffle(spark):
+    df = spark.range(100).selectExpr("id % 3 as k", "id as s")
+    plan = dedupe.keep_first(df, ["k"], ["s"])._jdf.queryExecution().executedPlan().toString()
+    partial, final = plan.index("Partial"), plan.index("Final")
+    assert "WindowGroupLimit" in plan and final < plan.index("Exchange hashpartitioning") < partial
+
+
+def test_group_count(spark):
+    df = spark.createDataFrame([("a", 1), ("a", None), ("b", 2), (None, 3), (None, 4)], "g string, v int")
+    counted = dedupe.with_group_count(df, ["g"], "v", "n")
+    assert rows(counted, F.col("g"), F.col("v")) == [(None, 3, 2), (None, 4, 2), ("a", None, 1), ("a", 1, 1), ("b", 2, 1)]
+
+
+ITEMS = "codigo_boleto string, veiculo array<string>, valor_boleto double, s int"
+
+
+@pytest.mark.parametrize("unique", [True, False])
+def test_allocate(spark, unique):
+    data = [("1", ["100"], 300.0, 1), ("2", ["100", "200", None, "300", "200"], 300.0, 2), ("3", [], 150.0, 3), ("4", None, 1.0, 4)]
+    df = spark.createDataFrame(data, ITEMS)
+    if unique:
+        bridge = allocation.allocate_unique(df, "codigo_boleto", "veiculo", "valor_boleto")
+    else:
+        bridge = allocation.allocate(df, "codigo_boleto", "veiculo", "valor_boleto", ["s"])
+    assert bridge.columns == ["codigo_boleto", "codigo_veiculo", "qtd_veiculos_boleto", "valor_rateado"]
+    assert rows(bridge, "codigo_boleto", "codigo_veiculo") == [
+        ("1", "100", 1, 300.0), ("2", "100", 3, 100.0), ("2", "200", 3, 100.0), ("2", "300", 3, 100.0)
+    ]
+    faults = checks.allocation_faults(bridge, df, "codigo_boleto", "valor_rateado", "valor_boleto")
+    assert faults.count() == 0
+
+
+def test_allocate_over_several_rows_of_one_invoice(spark):
+    df = spark.createDataFrame([("1", ["a", "b"], 10.0, 1), ("1", ["b", "c"], 99.0, 2)], ITEMS)
+    bridge = allocation.allocate(df, "codigo_boleto", "veiculo", "valor_boleto", ["s"])
+    assert rows(bridge, "codigo_veiculo") == [("1", "a", 3, 10 / 3), ("1", "b", 3, 10 / 3), ("1", "c", 3, 33.0)]
+
+
+def test_unique_allocation_needs_no_shuffle(spark):
+    df = spark.createDataFrame([("1", ["100"], 300.0, 1)], ITEMS)
+    bridge = allocation.allocate_unique(df, "codigo_boleto", "veiculo", "valor_boleto")
+    assert "Exchange" not in bridge._jdf.queryExecution().executedPlan().toString()
+
+
+def test_allocate_from_text(spark):
+    df = spark.createDataFrame([("1", "a,b", 10.0), ("2", "", 5.0), ("3", None, 5.0)], "i string, t string, v double")
+    assert rows(allocation.allocate_from_text(df, "i", "t", "v"), "codigo_veiculo") == [("1", "a", 2, 5.0), ("1", "b", 2, 5.0)]
+
+
+VERSIONS = "codigo_associado string, sk_customer bigint, valido_de date, valido_ate date"
+FACTS = "id int, codigo_associado string, data_emissao date"
+
+
+def versions(spark):
+    data = [
+        ("A1", 1, date(1900, 1, 1), date(2026, 6, 1)),
+        ("A1", 9, date(2026, 6, 1), date(2026, 6, 1)),
+        ("A1", 2, date(2026, 6, 1), None),
+    ]
+    return spark.createDataFrame(data, VERSIONS)
+
+
+def test_point_in_time_key(spark):
+    data = [
+        (1, "A1", date(2025, 1, 1)), (2, "A1", date(2026, 7, 1)), (3, "A2", date(2025, 1, 1)),
+        (4, "A1", date(2026, 6, 1)), (5, "A1", None), (6, None, date(2025, 1, 1)), (7, "A1", date(1899, 1, 1)),
+    ]
+    facts = spark.createDataFrame(data, FACTS)
+    args = ("codigo_associado", "data_emissao", "codigo_associado", "sk_customer")
+    found = temporal.point_in_time_key(facts, versions(spark), *args)
+    expected = [(1, 1), (2, 2), (3, None), (4, 2), (5, None), (6, None), (7, None)]
+    assert rows(found.select("id", "sk_customer"), "id") == expected
+    assert dict(found.dtypes)["sk_customer"] == "bigint"
+    assert {r.sk_customer for r in temporal.point_in_time_key(facts, None, *args).collect()} == {None}
+    once = temporal.point_in_time_key_once(facts, versions(spark), ["id"], *args)
+    assert rows(once.select("id", "sk_customer"), "id") == expected
+
+
+def test_point_in_time_key_once_picks_the_latest_start(spark):
+    overlapping = versions(spark).union(spark.createDataFrame([("A1", 5, date(2020, 1, 1), None)], VERSIONS))
+    facts = spark.createDataFrame([(1, "A1", date(2025, 1, 1))], FACTS)
+    once = temporal.point_in_time_key_once(
+        facts, overlapping, ["id"], "codigo_associado", "data_emissao", "codigo_associado", "sk_customer"
+    )
+    assert rows(once.select("id", "sk_customer")) == [(1, 5)]
+
+
+def test_hot_fact_key_is_split_by_the_skew_join(spark, tmp_path):
+    """A key with most of all rows does not end up in one task, and no row is lost."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k",
+    }
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        path = str(tmp_path / "facts")
+        hot = F.when(F.col("id") % 3 == 0, F.col("id")).otherwise(F.lit(7))
+        spark.range(0, 60000, 1, 8).select("id", hot.alias("k"), F.lit(date(2026, 1, 1)).alias("d")).write.parquet(path)
+        dim = spark.range(0, 60000).select(
+            F.col("id").alias("key"), F.col("id").alias("sk"),
+            F.lit(date(1900, 1, 1)).alias("valido_de"), F.lit(None).cast("date").alias("valido_ate"),
+        )
+        found = temporal.point_in_time_key(spark.read.parquet(path), dim, "k", "d", "key", "sk")
+        result = found.collect()
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+    assert len(result) == 60000 and all(r.sk == r.k for r in result)
+    assert "skew=true" in plan
+
+
+def test_versions_from_changes(spark):
+    changes = spark.createDataFrame([("a", date(2026, 1, 1)), ("a", date(2026, 2, 1))], "k string, d date")
+    assert rows(temporal.versions_from_changes(changes, "k", "d"), "valido_de") == [
+        ("a", date(2026, 1, 1), date(2026, 2, 1)), ("a", date(2026, 2, 1), None)
+    ]
+
+
+def test_interval_faults(spark):
+    d = lambda n: date(2026, 1, n)
+    data = [
+        ("ok", d(1), d(5), False), ("ok", d(5), d(5), False), ("ok", d(5), None, True),
+        ("closed", d(1), d(5), False),
+        ("overlap", d(1), d(9), False), ("overlap", d(5), None, True),
+        ("gap", d(1), d(3), False), ("gap", d(5), None, True),
+        ("backwards", d(5), d(1), False),
+        ("two", d(1), None, True), ("two", d(1), None, True),
+    ]
+    dim = spark.createDataFrame(data, "k string, valido_de date, valido_ate date, vigente boolean")
+    found = {r.k: r for r in temporal.interval_faults(dim, "k").collect()}
+    assert set(found) == {"overlap", "gap", "backwards", "two"}
+    assert found["overlap"].overlaps == 1 and found["overlap"].gaps == 0
+    assert found["gap"].gaps == 1 and found["gap"].overlaps == 0
+    assert found["backwards"].inverted == 1 and found["two"].current_versions == 2
+
+
+@pytest.mark.parametrize("block_rows", [1, 3, 1024])
+def test_running_total(spark, block_rows):
+    data = [("a", p, p + 1) for p in range(10)] + [("b", p, 1) for p in range(4)] + [(None, 0, 5)]
+    df = spark.createDataFrame(data, "g string, p int, v bigint")
+    got = {(r.g, r.p): r.t for r in running.running_total(df, "g", "p", "v", "t", block_rows).collect()}
+    expected = {("a", p): sum(range(1, p + 2)) for p in range(10)} | {("b", p): p + 1 for p in range(4)} | {(None, 0): 5}
+    assert got == expected
+
+
+def test_number_new_keys(spark):
+    df = spark.range(5000).select(F.col("id").cast("string").alias("k"))
+    numbered = running.number_new_keys(df, "k", "sk", F.lit(10).cast("bigint"), buckets=16)
+    again = running.number_new_keys(df.repartition(7), "k", "sk", F.lit(10).cast("bigint"), buckets=16)
+    keys = {r.k: r.sk for r in numbered.collect()}
+    assert len(set(keys.values())) == 5000 and min(keys.values()) > 10
+    assert keys == {r.k: r.sk for r in again.collect()}
+
+
+BRIDGE = "codigo_boleto string, codigo_veiculo string, valor_rateado double, criado_em timestamp"
+
+
+def test_upsert(spark):
+    target = spark.createDataFrame(
+        [("B1", "V1", 50.0, datetime(2026, 1, 1), "keep"), ("B2", "V1", 7.0, None, "keep")], BRIDGE + ", extra string"
+    )
+    batch = spark.createDataFrame(
+        [("B1", "V1", None, NOW, 1), ("B2", "V1", 8.0, NOW, 2), ("B3", "V9", 9.0, NOW, 3)], BRIDGE + ", fresh int"
+    )
+    state = upsert.upsert(target, batch, ["codigo_boleto", "codigo_veiculo"], ["criado_em"])
+    assert state.columns == [*target.columns, "fresh"]
+    assert rows(state, "codigo_boleto") == [
+        ("B1", "V1", None, datetime(2026, 1, 1), "keep", 1),
+        ("B2", "V1", 8.0, None, "keep", 2),
+        ("B3", "V9", 9.0, NOW, None, 3),
+    ]
+    assert rows(upsert.upsert(state, batch, ["codigo_boleto", "codigo_veiculo"], ["criado_em"]), "codigo_boleto") == rows(state, "codigo_boleto")
+
+
+def test_children_that_left_their_parent(spark):
+    target = spark.createDataFrame([("B1", "V1"), ("B1", "V2"), ("B2", "V1")], "b string, v string")
+    batch = spark.createDataFrame([("B1", "V2")], "b string, v string")
+    assert rows(upsert.upsert(target, batch, ["b", "v"]), "b", "v") == [("B1", "V1"), ("B1", "V2"), ("B2", "V1")]
+    assert rows(upsert.drop_absent_children(target, batch, "b", ["b", "v"]), "b", "v") == [("B1", "V2"), ("B2", "V1")]
+
+
+def test_audit_columns(spark):
+    df = spark.createDataFrame([("B1",)], "codigo_boleto string")
+    assert rows(upsert.audit_columns(df, NOW, REF)) == [("B1", NOW, NOW, REF)]
+    assert upsert.audit_columns(df, NOW).columns == ["codigo_boleto", "criado_em", "atualizado_em"]
+    assert df.columns == ["codigo_boleto"]
+
+
+def test_column_types(spark):
+    df = spark.createDataFrame([], "a boolean, b int, c bigint, d double, e timestamp, f date, g string")
+    assert [kind for _, kind in upsert.column_types(df)] == [
+        "BOOLEAN", "BIGINT", "BIGINT", "DOUBLE PRECISION", "TIMESTAMP", "DATE", "TEXT"
+    ]
+
+
+def test_replace_slices(spark):
+    target = spark.createDataFrame([(1, "a"), (2, "a"), (3, "b"), (4, None)], "id int, s string")
+    batch = spark.createDataFrame([(9, "a", True)], "id int, s string, fresh boolean")
+    assert rows(upsert.replace_slices(target, batch, "s"), "id") == [(3, "b", None), (4, None, None), (9, "a", True)]
+    assert rows(upsert.replace_slices(target, batch.limit(0), "s", ["a"]), "id") == [(3, "b", None), (4, None, None)]
+
+
+@pytest.mark.parametrize("now, before, refused", [(100, 0, False), (950, 1000, False), (1100, 1000, False), (200, 1000, True), (700, 1000, True), (701, 1000, False)])
+def test_abnormal_drop(spark, now, before, refused):
+    df = spark.createDataFrame([(now, before)], "n bigint, b bigint")
+    assert df.select(checks.abnormal_drop(F.col("n"), F.col("b"))).first()[0] is refused
+    if refused:
+        with pytest.raises(checks.LoadRefused, match="customers"):
+            checks.refuse_abnormal_drop(now, before, "customers")
+    else:
+        checks.refuse_abnormal_drop(now, before, "customers")
+
+
+def test_coverage_diff(spark):
+    known = spark.createDataFrame([("1", "ativo"), ("19", "antigo")], "codigo string, descricao string")
+    incoming = spark.createDataFrame([(1, "ativo"), (20, "novo")], "codigo int, descricao string")
+    diff = checks.coverage_diff(known, incoming, "codigo", "descricao")
+    assert rows(diff, "code") == [("19", "antigo", "removed"), ("20", "novo", "added")]
+    assert checks.coverage_diff(known, known, "codigo", "descricao").count() == 0
+
+
+def test_completeness(spark):
+    kind = "slice int, error string"
+    checks.refuse_incomplete(spark.createDataFrame([(1, None)], kind), "slice", "error", "vehicles")
+    failed = spark.createDataFrame([(17, "ReadTimeout"), (2, "ConnectionError"), (3, None)], kind)
+    with pytest.raises(checks.LoadRefused, match="2 slice.*2: ConnectionError; 17: ReadTimeout"):
+        checks.refuse_incomplete(failed, "slice", "error", "vehicles")
+    with pytest.raises(checks.LoadRefused, match="2 slice.*2: ConnectionError$"):
+        checks.refuse_incomplete(failed, "slice", "error", "vehicles", listed=1)
+
+
+def test_freshness(spark):
+    ages = spark.createDataFrame([("a", 3.2), ("b", 25.5), ("c", 51.0), ("d", None), ("e", 26.0)], "table_name string, age_hours double")
+    assert [r.table_name for r in checks.stale(ages).orderBy("table_name").collect()] == ["c", "d"]
+    stamped = spark.createDataFrame([(datetime(2026, 7, 16, 3),)], "t timestamp")
+    ages = checks.table_ages({"x": (stamped, "t"), "y": (stamped.limit(0), "t")}, NOW)
+    assert rows(ages, "table_name") == [("x", 24.0), ("y", None)]
+
+
+def test_keys(spark):
+    df = spark.createDataFrame([(1, "a"), (1, "a"), (2, None)], "k int, f string")
+    assert rows(checks.repeated_keys(df, ["k"])) == [(1, 2)]
+    with pytest.raises(checks.LoadRefused, match="repeats"):
+        checks.refuse_repeated_keys(df, ["k"], "x")
+    with pytest.raises(checks.LoadRefused, match="null"):
+        checks.refuse_repeated_keys(df.distinct(), ["f"], "x")
+    parent = spark.createDataFrame([("b",)], "id string")
+    assert rows(checks.orphans(df, "f", parent, "id")) == [("a", 2)]
+
+
+def test_lookup_join(spark):
+    df = spark.createDataFrame([("1",), ("9",)], "code string")
+    lookup = spark.createDataFrame([("1", "Ativo")], "code string, description string")
+    assert rows(lookup_join(df, lookup, "code"), "code") == [("1", "Ativo"), ("9", None)]
+    hinted = lambda frame: "broadcast" in frame._jdf.queryExecution().logical().toString().lower()
+    big = spark.range(50)
+    assert hinted(broadcast_if_small(big, 50)) and not hinted(broadcast_if_small(big, 49))
