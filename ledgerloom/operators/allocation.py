@@ -63,7 +63,12 @@ def allocate(df: DataFrame, invoice: str, items: str, value: str, order: list[st
     return allocate_rows(exploded, invoice, "__item", value, [*order, "__pos"], **names)
 
 
+def stored_items(invoices: DataFrame, invoice: str, items: str, value: str) -> DataFrame:
+    """Only what the allocation needs of stored invoices that have items; the filter reaches the scan."""
+    return invoices.select(invoice, items, value).filter(F.col(items).isNotNull() & (F.col(items) != ""))
+
+
 def allocate_from_text(invoices: DataFrame, invoice: str, items: str, value: str, separator: str = ",") -> DataFrame:
     """Rebuild the allocation from stored invoices whose items are delimited text."""
-    stored = invoices.select(invoice, items, value).filter(F.col(items).isNotNull() & (F.col(items) != ""))
+    stored = stored_items(invoices, invoice, items, value)
     return allocate_unique(stored.withColumn(items, split_list(F.col(items), separator)), invoice, items, value)

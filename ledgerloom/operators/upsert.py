@@ -40,6 +40,16 @@ def column_types(df: DataFrame) -> list[tuple[str, str]]:
     return [(name, names.get(kind, "TEXT")) for name, kind in df.dtypes]
 
 
+def type_report(df: DataFrame) -> DataFrame:
+    """Per column its database type and how many values it holds, in one pass."""
+    counts = df.agg(*(F.count(f"`{name}`").alias(name) for name in df.columns))
+    entries = [
+        F.struct(F.lit(name).alias("column_name"), F.lit(kind).alias("column_type"), F.col(f"`{name}`").alias("non_null"))
+        for name, kind in column_types(df)
+    ]
+    return counts.select(F.inline(F.array(*entries)))
+
+
 def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str], frozen: Sequence[str] = ()) -> DataFrame:
     """Target with the batch's rows inserted or updated by key.
 

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ledgerloom.operators.checks import refuse_repeated_keys
 from ledgerloom.operators.upsert import drop_absent_children, sync_columns, upsert
+from ledgerloom.session import settle
 
 RANGE_COLUMN = "id_range"
 RANGE_SIZE = 10_000_000
@@ -55,9 +56,7 @@ class Warehouse:
 
     def land(self, df: DataFrame, label: str) -> DataFrame:
         """Write an intermediate result once and read it back, so later steps do not recompute it."""
-        path = f"{self.root}/landed/{label}-{uuid.uuid4().hex}"
-        df.write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        return settle(df, label)
 
     def replace(self, table: str, df: DataFrame) -> None:
         """Put a new state of an unpartitioned table in place; the frame may read the old one."""

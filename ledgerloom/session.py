@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app_name: str = "ledgerloom", cores: str = "*", shuffle_partitions: int = 8) -> SparkSession:
@@ -42,3 +42,15 @@ def shared_dir(spark: SparkSession) -> str:
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A path under the shared folder that no earlier run has used."""
     return f"{shared_dir(spark)}/ledgerloom/{label}-{uuid.uuid4().hex}"
+
+
+def settle(df: DataFrame, label: str) -> DataFrame:
+    """The frame written to the shared folder and read back.
+
+    Cuts the lineage so that a lost executor does not mean computing it again,
+    and gives the planner its true size, so a small one is broadcast by the
+    session's own limit and a large one is not.
+    """
+    path = fresh_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

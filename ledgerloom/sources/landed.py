@@ -39,9 +39,14 @@ def write_records(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
-def read_lookup(spark: SparkSession, path: str, code: str, description: str) -> DataFrame:
-    """One JSON object of code to description, as a two-column frame."""
-    text = spark.read.text(path, wholetext=True)
+def read_lookup(
+    spark: SparkSession, path: str, code: str, description: str, one_object: bool = True
+) -> DataFrame:
+    """JSON objects of code to description, as a two-column frame.
+
+    The file is one object; with ``one_object=False`` every line is one, which is read in parallel.
+    """
+    text = spark.read.text(path, wholetext=one_object)
     return text.select(F.explode(parse_map(F.col("value"))).alias(code, description))
 
 

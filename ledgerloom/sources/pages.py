@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerloom.functions.cleaning import parse_records
 from ledgerloom.operators.running import running_total
+from ledgerloom.session import settle
 
 
 def _read_bodies(pages: DataFrame, body: str, record_ddl: str, items_key: str, total_key: str | None) -> DataFrame:
@@ -62,7 +63,8 @@ def flatten_pages(
     parsed = _read_bodies(pages, body, record_ddl, items_key, total_key)
     counts = parsed.select(slice_column, page, "__count", "__declared")
     last = _last_pages(counts, slice_column, page, page_size, total_key is not None)
-    last = last.withColumnRenamed(slice_column, "__slice")
+    # One row per slice. Settled, it is broadcast by its size and the bodies are not shuffled by slice.
+    last = settle(last.withColumnRenamed(slice_column, "__slice"), "last-pages")
     kept = parsed.join(last, parsed[slice_column].eqNullSafe(last["__slice"]), "left").filter(
         F.col("__last").isNull() | (F.col(page) <= F.col("__last"))
     )
