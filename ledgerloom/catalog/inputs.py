@@ -285,9 +285,9 @@ def _raw_columns(base: str, entity: E.Entity) -> dict[str, str]:
     source = {new: old for old, new in entity.renamed.items()}
     columns = {}
     for name in entity.text:
-        shown = "copy" if name != entity.key else "K"
-        value = f"CAST({key} AS STRING)" if name == entity.key else f"concat(CAST({key} AS STRING), '-', CAST(copy AS STRING))"
-        columns[source.get(name, name)] = f"concat('  {shown.upper()} {name.upper() if name != entity.key else ''}', {value}, ' ')"
+        value = f"concat('  COPY {name.upper()}', CAST({key} AS STRING), '-', CAST(copy AS STRING), ' ')"
+        columns[source.get(name, name)] = value
+    columns[source.get(entity.key, entity.key)] = f"concat('  ', CAST({key} AS STRING), ' ')"
     for i, name in enumerate(entity.days):
         columns[name] = f"CASE WHEN {dirty} THEN 'not-a-date' ELSE CAST(DATE '1995-01-01' + CAST({offset} + {i} AS INT) AS STRING) END"
     for i, name in enumerate(entity.numbers):

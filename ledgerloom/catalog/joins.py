@@ -114,7 +114,7 @@ def delinquency_by_vehicle_historical(spark, sf):
 
 
 OWNER_SQL = """
-SELECT codigo_voluntario, nome_voluntario, faixa_atraso, count(*) AS boletos, round(sum(valor_rateado), 2) AS valor_em_atraso
+SELECT codigo_voluntario, nome_voluntario, faixa_atraso, count(*) AS boletos, round(sum(valor_rateado), 6) AS valor_em_atraso
 FROM ({}) WHERE dt_referencia = DATE '2001-08-02' GROUP BY 1, 2, 3"""
 
 
@@ -124,7 +124,7 @@ def overdue_by_owner(spark, sf):
     today = snapshot(spark, sf).filter(F.col("dt_referencia") == F.lit(I.REF))
     view = views.by_current_owner(today, _bridge(spark, sf), vehicles(spark, sf))
     return view.groupBy("codigo_voluntario", "nome_voluntario", "faixa_atraso").agg(
-        F.count("*").alias("boletos"), F.round(F.sum("valor_rateado"), 2).alias("valor_em_atraso")
+        F.count("*").alias("boletos"), F.round(F.sum("valor_rateado"), 6).alias("valor_em_atraso")
     )
 
 

@@ -273,6 +273,12 @@ def completeness_guard(spark, sf):
     return checks.failed_slices(status.select("user_id", F.expr("'error ' || failed").alias("error")), "user_id", "error")
 
 
+@query("key_summary", """
+SELECT CAST(sum(n) AS BIGINT) AS row_count, CAST(0 AS BIGINT) AS null_keys, max(n) AS most_frequent FROM (SELECT count(*) AS n FROM lineitem GROUP BY l_orderkey, l_linenumber)""")
+def key_summary(spark, sf):
+    return checks.key_summary(I.table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
 @query("key_unique", "SELECT l_orderkey, l_linenumber, count(*) AS occurrences FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1")
 def key_unique(spark, sf):
     return checks.repeated_keys(I.table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"])
@@ -314,8 +320,9 @@ _LOOKUP = "SELECT lower('COPY CODIGO_SITUACAO' || s_suppkey || '-' || copy) AS c
 
 
 def _lookup(spark, sf):
-    code = F.concat(F.lit("copy codigo_situacao"), F.col("s_suppkey"), F.lit("-"), F.explode(F.array(F.lit(0), F.lit(1))))
-    return I.table(spark, sf, "supplier").select(code.alias("codigo_situacao"), F.col("s_name").alias("descricao_situacao"))
+    both = I.table(spark, sf, "supplier").select("*", F.explode(F.array(F.lit(0), F.lit(1))).alias("copy"))
+    code = F.concat(F.lit("copy codigo_situacao"), F.col("s_suppkey"), F.lit("-"), F.col("copy"))
+    return both.select(code.alias("codigo_situacao"), F.col("s_name").alias("descricao_situacao"))
 
 
 _entity(
@@ -394,7 +401,7 @@ def transform_invoices(spark, sf):
 
 
 _BRIDGE_ROWS = """
-SELECT codigo_boleto, CAST(base_customer AS VARCHAR) AS codigo_veiculo, CASE base_status WHEN 'F' THEN 2 ELSE 1 END AS qtd_veiculos_boleto,
+SELECT codigo_boleto, CAST(base_customer AS VARCHAR) AS codigo_veiculo, CAST(CASE base_status WHEN 'F' THEN 2 ELSE 1 END AS BIGINT) AS qtd_veiculos_boleto,
        valor_boleto / CASE base_status WHEN 'F' THEN 2 ELSE 1 END AS valor_rateado FROM clean WHERE base_status IN ('F', 'O')
 UNION ALL SELECT codigo_boleto, CAST(base_customer + 1 AS VARCHAR), 2, valor_boleto / 2 FROM clean WHERE base_status = 'F'"""
 
@@ -464,7 +471,7 @@ def load_facts(spark, sf):
 
 
 @query("load_bridge", I.with_sql("invoices", """
-SELECT CAST(boleto AS VARCHAR) AS codigo_boleto, CAST(customer + step AS VARCHAR) AS codigo_veiculo, 2 AS qtd_veiculos_boleto,
+SELECT CAST(boleto AS VARCHAR) AS codigo_boleto, CAST(customer + step AS VARCHAR) AS codigo_veiculo, CAST(2 AS BIGINT) AS qtd_veiculos_boleto,
        CASE WHEN emission >= DATE '1999-01-01' THEN paid_value ELSE value END / 2 AS valor_rateado,
        CASE WHEN emission < DATE '2000-01-01' THEN '2001-08-01 03:00:00' ELSE '2001-08-02 03:00:00' END AS criado_em
 FROM invoices, (VALUES (0), (1)) v(step) WHERE status <> 'P'"""))
@@ -576,7 +583,7 @@ SELECT 'dim_customers' AS table_name, count(*) AS row_count FROM customer UNION
 UNION ALL SELECT t, count(*) FROM supplier, (VALUES ('dim_cooperatives'), ('dim_regionals'), ('dim_volunteers')) d(t) GROUP BY t
 UNION ALL SELECT t, count(*) FROM part, (VALUES ('dim_status'), ('dim_status_invoice')) d(t) GROUP BY t
 UNION ALL SELECT 'fact_invoices', count(*) FROM orders
-UNION ALL SELECT 'bridge_invoices_vehicles', sum(CASE o_orderstatus WHEN 'F' THEN 2 WHEN 'O' THEN 1 ELSE 0 END) FROM orders
+UNION ALL SELECT 'bridge_invoices_vehicles', CAST(sum(CASE o_orderstatus WHEN 'F' THEN 2 WHEN 'O' THEN 1 ELSE 0 END) AS BIGINT) FROM orders
 UNION ALL SELECT 'fact_delinquency_snapshot', 2 * count(*) FROM orders""")
 def daily_run(spark, sf):
     """Two days of the whole load; the second changes nothing but stamps and adds a snapshot day."""

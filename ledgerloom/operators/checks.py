@@ -98,13 +98,29 @@ def null_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.filter(missing)
 
 
-def refuse_repeated_keys(df: DataFrame, keys: Sequence[str], entity: str) -> None:
-    """Raise unless the keys are unique and never null."""
-    repeated = repeated_keys(df, keys).take(5)
-    if repeated:
-        raise LoadRefused(f"'{entity}' repeats keys {[tuple(row)[:-1] for row in repeated]}")
-    if null_keys(df.select(*keys), keys).take(1):
-        raise LoadRefused(f"'{entity}' has null keys")
+def key_summary(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row: number of rows, of rows with a null key and of occurrences of the most frequent key."""
+    missing = F.lit(False)
+    for key in keys:
+        missing = missing | F.col(key).isNull()
+    counted = df.groupBy(*keys).agg(F.count("*").alias("occurrences"))
+    occurrences = F.col("occurrences")
+    return counted.agg(
+        F.coalesce(F.sum(occurrences), F.lit(0)).alias("row_count"),
+        F.coalesce(F.sum(F.when(missing, occurrences)), F.lit(0)).alias("null_keys"),
+        F.coalesce(F.max(F.when(~missing, occurrences)), F.lit(0)).alias("most_frequent"),
+    )
+
+
+def refuse_repeated_keys(df: DataFrame, keys: Sequence[str], entity: str, nulls: bool = False) -> int:
+    """Raise unless the keys are unique and, unless allowed, never null. Gives the number of rows."""
+    summary = key_summary(df, keys).first()
+    if summary.most_frequent > 1:
+        sample = repeated_keys(df, keys).take(1)
+        raise LoadRefused(f"'{entity}' repeats keys {list(keys)}, such as {[tuple(row)[:-1] for row in sample]}")
+    if summary.null_keys and not nulls:
+        raise LoadRefused(f"'{entity}' has {summary.null_keys} row(s) with null keys {list(keys)}")
+    return summary.row_count
 
 
 def orphans(child: DataFrame, foreign_key: str, parent: DataFrame, key: str) -> DataFrame:

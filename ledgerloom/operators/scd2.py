@@ -136,29 +136,32 @@ def apply_batch(
         .drop("__end_key", "last_end")
     )
 
-    planned = plan.select(
-        F.col(key).alias("__hit"),
-        F.col("__status"),
-        F.col("__start"),
-        *(F.col(name).alias(f"__new_{name}") for name in attributes),
+    # Wide parts are SQL text over three flags: one expression per column, and small plans.
+    planned = plan.selectExpr(
+        f"`{key}` AS __hit", "__status", "__start", *(f"`{name}` AS `__new_{name}`" for name in attributes)
     )
     opens = F.col("__status").isin(CHANGED, MISSING)
-    reopened = F.coalesce(opens & (F.col(VALID_FROM) == F.col("__start")), F.lit(False))
-    closed = F.coalesce(F.col(CURRENT) & (F.col("__status") == CHANGED) & ~reopened, F.lit(False))
-    refreshed = F.coalesce(F.col(CURRENT) & (F.col("__status") == SAME), F.lit(False)) if plain else F.lit(False)
-    backwards = F.raise_error(F.lit(f"reference day {reference} lies before the start of a current version"))
-    end_of_closed = F.when(F.col(VALID_FROM) > F.lit(reference), backwards.cast("date")).otherwise(F.lit(reference))
-
-    values = {}
-    for name in attributes:
-        taken = reopened | refreshed if name in plain else reopened
-        values[name] = F.when(taken, F.col(f"__new_{name}")).otherwise(F.col(name))
-    values[VALID_TO] = (
-        F.when(reopened, F.lit(None).cast("date")).when(closed, end_of_closed).otherwise(F.col(VALID_TO))
+    is_current, status_is = F.col(CURRENT), lambda name: F.col("__status") == name
+    flagged = dim.join(planned, dim[key] == planned["__hit"], "left").withColumns(
+        {
+            "__reopened": F.coalesce(opens & (F.col(VALID_FROM) == F.col("__start")), F.lit(False)),
+            "__ended": F.coalesce(is_current & status_is(CHANGED), F.lit(False)),
+            "__same": F.coalesce(is_current & status_is(SAME), F.lit(False)) if plain else F.lit(False),
+        }
+    )
+    backwards = f"reference day {reference} lies before the start of a current version"
+    rules = {name: f"CASE WHEN __reopened THEN `__new_{name}` ELSE `{name}` END" for name in attributes}
+    rules |= {name: f"CASE WHEN __reopened OR __same THEN `__new_{name}` ELSE `{name}` END" for name in plain}
+    rules[VALID_TO] = (
+        f"CASE WHEN __reopened THEN NULL WHEN __ended AND {VALID_FROM} > DATE '{reference}' "
+        f"THEN CAST(raise_error('{backwards}') AS DATE) WHEN __ended THEN DATE '{reference}' ELSE {VALID_TO} END"
+    )
+    rules[CURRENT] = f"CASE WHEN __reopened THEN true WHEN __ended THEN false ELSE {CURRENT} END"
+    rules[UPDATED] = f"CASE WHEN __reopened OR __ended OR __same THEN __now ELSE {UPDATED} END"
+    stamp = F.lit(now).cast(dim.schema[UPDATED].dataType)
+    kept = flagged.withColumn("__now", stamp).selectExpr(
+        *(f"{rules[name]} AS `{name}`" if name in rules else f"`{name}`" for name in dim.columns)
     )
-    values[CURRENT] = F.when(reopened, True).when(closed, False).otherwise(F.col(CURRENT))
-    values[UPDATED] = F.when(reopened | closed | refreshed, F.lit(now)).otherwise(F.col(UPDATED))
-    kept = dim.join(planned, dim[key] == planned["__hit"], "left").withColumns(values).select(*dim.columns)
 
     starts = dim.select(F.col(key).alias("__key"), F.col(VALID_FROM).alias("__from"))
     to_open = plan.filter(opens)

@@ -60,21 +60,21 @@ def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str], frozen: Seq
     """
     keys = list(keys)
     target = sync_columns(target, batch)
-    old = target.select(*(F.col(k) for k in keys), F.struct(*target.columns).alias("__old"), F.lit(True).alias("__had"))
-    new = batch.select(*(F.col(k) for k in keys), F.struct(*batch.columns).alias("__new"), F.lit(True).alias("__got"))
-    joined = old.join(new, keys, "full_outer")
-
-    def value(name: str):
-        if name in keys:
-            return F.col(name)
-        before, after = F.col("__old").getField(name), F.col("__new").getField(name) if name in batch.columns else None
-        if after is None:
-            return before.alias(name)
+    new = batch.selectExpr(
+        *(f"`{k}`" for k in keys),
+        *(f"`{name}` AS `__new_{name}`" for name in batch.columns if name not in keys),
+        "true AS __got",
+    )
+    joined = target.withColumn("__had", F.lit(True)).join(new, keys, "full_outer")
+
+    def rule(name: str) -> str:
+        if name in keys or name not in batch.columns:
+            return f"`{name}`"
         if name in frozen:
-            return F.when(F.col("__had"), before).otherwise(after).alias(name)
-        return F.when(F.col("__got"), after).otherwise(before).alias(name)
+            return f"CASE WHEN __had THEN `{name}` ELSE `__new_{name}` END AS `{name}`"
+        return f"CASE WHEN __got THEN `__new_{name}` ELSE `{name}` END AS `{name}`"
 
-    return joined.select(*(value(name) for name in target.columns))
+    return joined.selectExpr(*(rule(name) for name in target.columns))
 
 
 def drop_absent_children(state: DataFrame, batch: DataFrame, parent: str, keys: Sequence[str]) -> DataFrame:

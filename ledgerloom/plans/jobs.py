@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date, datetime
+from functools import partial
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -41,7 +43,8 @@ def load_simple_dimension(warehouse: Warehouse, entity: str, batch: DataFrame, r
     """Guarded upsert of one dimension; returns the code-list changes where there is a list."""
     table, key = E.SIMPLE_DIMENSIONS[entity]
     known = warehouse.read_or_none(table)
-    checks.refuse_abnormal_drop(batch.count(), _current_count(warehouse, table, False), entity)
+    arrived = checks.refuse_repeated_keys(batch, [key], entity)
+    checks.refuse_abnormal_drop(arrived, _current_count(warehouse, table, False), entity)
     changes = None
     if entity in E.CODE_LISTS and known is not None:
         changes = warehouse.land(checks.coverage_diff(known, batch, key, E.CODE_LISTS[entity]), f"{entity}-changes")
@@ -52,9 +55,9 @@ def load_simple_dimension(warehouse: Warehouse, entity: str, batch: DataFrame, r
 def load_versioned_dimension(warehouse: Warehouse, entity: str, batch: DataFrame, run: Run) -> None:
     """Guarded Type 2 load of one dimension."""
     table, key, surrogate, monitored = E.VERSIONED_DIMENSIONS[entity]
-    checks.refuse_abnormal_drop(batch.count(), _current_count(warehouse, table, True), entity)
+    arrived = checks.refuse_repeated_keys(batch, [key], entity, nulls=True)
+    checks.refuse_abnormal_drop(arrived, _current_count(warehouse, table, True), entity)
     known = warehouse.read_or_none(table)
-    checks.refuse_repeated_keys(batch.filter(F.col(key).isNotNull()), [key], entity)
     if known is None:
         state = scd2.first_versions(batch, key, surrogate, run.now)
     else:
@@ -62,26 +65,36 @@ def load_versioned_dimension(warehouse: Warehouse, entity: str, batch: DataFrame
     warehouse.replace(table, state)
 
 
+def _together(tasks: Mapping[str, Callable[[], object]]) -> tuple[dict[str, object], dict[str, Exception]]:
+    """Run independent Spark actions at the same time, so that small tables do not leave the cluster idle."""
+    results, failures = {}, {}
+    with ThreadPoolExecutor(max_workers=max(1, len(tasks))) as pool:
+        pending = {name: pool.submit(task) for name, task in tasks.items()}
+        for name, future in pending.items():
+            try:
+                results[name] = future.result()
+            except Exception as error:
+                failures[name] = error
+    return results, failures
+
+
 def load_dimensions(warehouse: Warehouse, batches: Mapping[str, DataFrame | None], run: Run) -> dict[str, DataFrame]:
     """Load all dimensions. One failing entity does not stop the others but fails the job."""
-    failures: dict[str, str] = {}
-    changes: dict[str, DataFrame] = {}
-    for entity in [*E.SIMPLE_DIMENSIONS, *E.VERSIONED_DIMENSIONS]:
-        try:
-            batch = batches.get(entity)
-            if batch is None:
-                raise checks.LoadRefused("no processed data")
-            if entity in E.SIMPLE_DIMENSIONS:
-                found = load_simple_dimension(warehouse, entity, batch, run)
-                if found is not None:
-                    changes[entity] = found
-            else:
-                load_versioned_dimension(warehouse, entity, batch, run)
-        except Exception as error:
-            failures[entity] = str(error)
+
+    def load(entity: str) -> DataFrame | None:
+        batch = batches.get(entity)
+        if batch is None:
+            raise checks.LoadRefused("no processed data")
+        if entity in E.SIMPLE_DIMENSIONS:
+            return load_simple_dimension(warehouse, entity, batch, run)
+        return load_versioned_dimension(warehouse, entity, batch, run)
+
+    entities = [*E.SIMPLE_DIMENSIONS, *E.VERSIONED_DIMENSIONS]
+    changes, failures = _together({entity: partial(load, entity) for entity in entities})
     if failures:
-        raise checks.LoadRefused(f"dimension load failed for {sorted(failures)}: {failures}")
-    return changes
+        detail = {entity: str(error) for entity, error in failures.items()}
+        raise checks.LoadRefused(f"dimension load failed for {sorted(failures)}: {detail}")
+    return {entity: found for entity, found in changes.items() if found is not None}
 
 
 def _with_customer_key(warehouse: Warehouse, invoices: DataFrame) -> DataFrame:
@@ -145,7 +158,9 @@ def daily_run(
         "invoices": T.clean_invoices(raw["invoices"], order),
         "delinquency": T.transform_delinquency(raw["delinquency"], run.reference, order),
     }
-    landed = {entity: warehouse.land(df, entity) for entity, df in processed.items()}
+    landed, failures = _together({entity: partial(warehouse.land, df, entity) for entity, df in processed.items()})
+    for failure in failures.values():
+        raise failure
     invoices, bridge = T.invoice_tables(landed["invoices"], run.reference)
     changes = load_dimensions(warehouse, landed, run)
     load_facts(warehouse, invoices, run)

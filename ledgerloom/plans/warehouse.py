@@ -70,8 +70,7 @@ class Warehouse:
             self._create(table, df, path, None)
 
     def upsert(self, table: str, batch: DataFrame, keys: Sequence[str], frozen: Sequence[str] = ()) -> None:
-        """Upsert into an unpartitioned table, creating it on the first load."""
-        refuse_repeated_keys(batch, keys, table)
+        """Upsert into an unpartitioned table, creating it on the first load. The batch must be unique by key."""
         self.replace(table, upsert(self.read(table), batch, keys, frozen) if self.exists(table) else batch)
 
     def upsert_ranges(
