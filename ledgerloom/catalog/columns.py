@@ -8,6 +8,7 @@ from ledgerloom.catalog import inputs as I
 from ledgerloom.catalog.registry import query
 from ledgerloom.functions import billing, calendar, cleaning
 from ledgerloom.operators import allocation, dedupe, shaping
+from ledgerloom.operators.skew import hot_keys
 from ledgerloom.plans import entities as E
 
 SUPPLIER = "SELECT s_suppkey, s_name, s_acctbal FROM supplier"
@@ -299,7 +300,9 @@ NAMES = {"item_as": "item", "count_as": "n", "share_as": "share"}
 
 
 def bridge(spark, sf):
-    return allocation.allocate_rows(I.billed(spark, sf), "boleto", "item", "value", ["line"], **NAMES)
+    items, invoices = I.billed_items(spark, sf), I.invoices(spark, sf)
+    hot = hot_keys(items, "boleto")
+    return allocation.allocate_items(items, invoices, "boleto", "item", "value", **NAMES, hot=hot)
 
 
 @query("allocate_value", I.with_sql("billed bridge", "SELECT * FROM bridge"))

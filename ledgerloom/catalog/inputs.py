@@ -114,20 +114,14 @@ def stored(spark: SparkSession, sf: str) -> DataFrame:
 
 
 CTES["billed"] = """
-billed AS (SELECT l_orderkey AS boleto, l_partkey AS item, l_linenumber AS line, o_totalprice AS value
+billed AS (SELECT l_orderkey AS boleto, l_partkey AS item, o_totalprice AS value
            FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
 
 
-def billed(spark: SparkSession, sf: str) -> DataFrame:
+def billed_items(spark: SparkSession, sf: str) -> DataFrame:
     """One row per invoice line, repeats included."""
-    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber")
-    orders = table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
-    return lines.join(orders, lines.l_orderkey == orders.o_orderkey).select(
-        F.col("l_orderkey").alias("boleto"),
-        F.col("l_partkey").alias("item"),
-        F.col("l_linenumber").alias("line"),
-        F.col("o_totalprice").alias("value"),
-    )
+    lines = table(spark, sf, "lineitem")
+    return lines.select(F.col("l_orderkey").alias("boleto"), F.col("l_partkey").alias("item"))
 
 
 CTES["bridge"] = """

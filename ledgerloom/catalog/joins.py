@@ -11,7 +11,9 @@ from ledgerloom.functions import billing
 from ledgerloom.operators import scd2, views
 from ledgerloom.operators.lookup import lookup_join
 from ledgerloom.operators.shaping import append
+from ledgerloom.operators.skew import hot_keys
 from ledgerloom.operators.temporal import point_in_time_key, point_in_time_key_once
+from ledgerloom.session import settle
 
 FACT_SQL = "facts AS (SELECT l_orderkey, l_linenumber, l_partkey, CAST(l_shipdate AS DATE) AS day FROM lineitem)"
 PIT = "h.part = f.l_partkey AND f.day >= h.valido_de AND (h.valido_ate IS NULL OR f.day < h.valido_ate)"
@@ -27,15 +29,17 @@ def _with_sql(names, extra, body):
 
 @query("pit_join", _with_sql("history", FACT_SQL, f"SELECT f.*, h.sk FROM facts f LEFT JOIN history h ON {PIT}"))
 def pit_join(spark, sf):
-    return point_in_time_key(_facts(spark, sf), I.history(spark, sf), "l_partkey", "day", "part", "sk")
+    facts = _facts(spark, sf)
+    hot = hot_keys(facts, "l_partkey")
+    return point_in_time_key(facts, I.history(spark, sf), "l_partkey", "day", "part", "sk", hot)
 
 
-# Each version also comes with an open end, so that versions overlap; the latest start must win.
-@query("pit_join_dedupe", _with_sql("invoices history", "overlapping AS (SELECT part, sk, valido_de FROM history)", """
+# Each version lasts 30 days beyond the start of the next one; the latest start must win.
+@query("pit_join_dedupe", _with_sql("invoices history", "overlapping AS (SELECT part, sk, valido_de, valido_ate + 30 AS valido_ate FROM history)", """
 SELECT f.boleto, f.customer, f.emission, max(h.sk) AS sk FROM invoices f
-LEFT JOIN overlapping h ON h.part = f.customer AND f.emission >= h.valido_de GROUP BY 1, 2, 3"""))
+LEFT JOIN overlapping h ON h.part = f.customer AND f.emission >= h.valido_de AND (h.valido_ate IS NULL OR f.emission < h.valido_ate) GROUP BY 1, 2, 3"""))
 def pit_join_dedupe(spark, sf):
-    versions = I.history(spark, sf).withColumn("valido_ate", F.lit(None).cast("date"))
+    versions = I.history(spark, sf).withColumn("valido_ate", F.date_add("valido_ate", 30))
     facts = I.invoices(spark, sf).select("boleto", "customer", "emission")
     return point_in_time_key_once(facts, versions, ["boleto"], "customer", "emission", "part", "sk")
 
@@ -43,7 +47,7 @@ def pit_join_dedupe(spark, sf):
 @query("series_align", _with_sql("history", FACT_SQL, f"""
 SELECT f.day, count(*) AS facts, count(h.sk) AS resolved FROM facts f LEFT JOIN history h ON {PIT} GROUP BY 1"""))
 def series_align(spark, sf):
-    keyed = point_in_time_key(_facts(spark, sf), I.history(spark, sf), "l_partkey", "day", "part", "sk")
+    keyed = pit_join(spark, sf)
     return keyed.groupBy("day").agg(F.count("*").alias("facts"), F.count("sk").alias("resolved"))
 
 
@@ -97,20 +101,24 @@ def vehicles(spark, sf):
     )
 
 
-def _bridge(spark, sf):
+def _stored_bridge(spark, sf):
+    """The bridge as a stored table, and its hot keys."""
     names = {"boleto": "codigo_boleto", "item": "codigo_veiculo", "n": "qtd_veiculos_boleto", "share": "valor_rateado"}
-    return bridge(spark, sf).withColumnsRenamed(names)
+    stored = settle(bridge(spark, sf).withColumnsRenamed(names), "bridge")
+    return stored, {"hot_invoices": hot_keys(stored, "codigo_boleto"), "hot_vehicles": hot_keys(stored, "codigo_veiculo")}
 
 
 @query("delinquency_by_vehicle_current", _with_sql("invoices billed bridge history", SNAPSHOT_SQL, VIEW_SQL.format(key="", match="v.valido_ate IS NULL")))
 def delinquency_by_vehicle_current(spark, sf):
-    return views.by_current_owner(snapshot(spark, sf), _bridge(spark, sf), vehicles(spark, sf))
+    stored, hot = _stored_bridge(spark, sf)
+    return views.by_current_owner(snapshot(spark, sf), stored, vehicles(spark, sf), **hot)
 
 
 @query("delinquency_by_vehicle_historical", _with_sql("invoices billed bridge history", SNAPSHOT_SQL, VIEW_SQL.format(
     key="v.sk AS sk_vehicle,", match="f.dt_referencia >= v.valido_de AND (v.valido_ate IS NULL OR f.dt_referencia < v.valido_ate)")))
 def delinquency_by_vehicle_historical(spark, sf):
-    return views.by_owner_at_snapshot(snapshot(spark, sf), _bridge(spark, sf), vehicles(spark, sf))
+    stored, hot = _stored_bridge(spark, sf)
+    return views.by_owner_at_snapshot(snapshot(spark, sf), stored, vehicles(spark, sf), **hot)
 
 
 OWNER_SQL = """
@@ -122,7 +130,8 @@ FROM ({}) WHERE dt_referencia = DATE '2001-08-02' GROUP BY 1, 2, 3"""
 def overdue_by_owner(spark, sf):
     """The flagship report: overdue value per responsible and aging range today."""
     today = snapshot(spark, sf).filter(F.col("dt_referencia") == F.lit(I.REF))
-    view = views.by_current_owner(today, _bridge(spark, sf), vehicles(spark, sf))
+    stored, hot = _stored_bridge(spark, sf)
+    view = views.by_current_owner(today, stored, vehicles(spark, sf), **hot)
     return view.groupBy("codigo_voluntario", "nome_voluntario", "faixa_atraso").agg(
         F.count("*").alias("boletos"), F.round(F.sum("valor_rateado"), 6).alias("valor_em_atraso")
     )
@@ -136,7 +145,7 @@ UNION ALL SELECT 'vw_delinquency_by_vehicle_historico', count(*) FROM snapshot f
 def create_views(spark, sf):
     tables = {
         "fact_delinquency_snapshot": snapshot(spark, sf),
-        "bridge_invoices_vehicles": _bridge(spark, sf),
+        "bridge_invoices_vehicles": _stored_bridge(spark, sf)[0],
         "dim_customers": vehicles(spark, sf),
         "dim_vehicles": vehicles(spark, sf),
     }

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from ledgerloom.functions.billing import share
 from ledgerloom.functions.cleaning import split_list
 from ledgerloom.operators.dedupe import keep_first, with_group_count
+from ledgerloom.operators.skew import NONE_HOT, HotKeys, spread_left
 
 
 def allocate_unique(
@@ -31,36 +32,58 @@ def allocate_unique(
     )
 
 
-def allocate_rows(
-    df: DataFrame,
+def allocate_items(
+    items: DataFrame,
+    invoices: DataFrame,
     invoice: str,
     item: str,
     value: str,
-    order: list[str],
     item_as: str = "codigo_veiculo",
     count_as: str = "qtd_veiculos_boleto",
     share_as: str = "valor_rateado",
+    hot: HotKeys = NONE_HOT,
 ) -> DataFrame:
-    """Allocation for input with one row per (invoice, item), repeats allowed.
+    """Allocation for items kept apart from their invoices: (invoice, item) rows, repeats allowed.
 
-    The first value of a repeated pair wins. The dedupe key is the pair, so an
-    invoice with very many items still spreads over all tasks.
+    Pairs are made distinct first, which spreads an invoice with very many items
+    over all tasks, and counted with partial aggregation. Value and count meet at
+    one row per invoice, and only then is the share brought to the items.
     """
-    pairs = keep_first(df.filter(F.col(item).isNotNull()), [invoice, item], order)
-    counted = with_group_count(pairs.select(invoice, item, value), [invoice], item, count_as)
-    return counted.select(
-        invoice,
-        F.col(item).alias(item_as),
-        F.col(count_as),
-        share(F.col(value), F.col(count_as)).alias(share_as),
+    pairs = items.select(F.col(invoice).alias("__invoice"), F.col(item).alias(item_as))
+    pairs = pairs.filter(F.col(item_as).isNotNull()).distinct()
+    counts = pairs.groupBy("__invoice").agg(F.count(F.lit(1)).alias(count_as))
+    values = invoices.select(F.col(invoice), F.col(value))
+    shares = counts.join(values, counts["__invoice"] == values[invoice]).select(
+        invoice, count_as, share(F.col(value), F.col(count_as)).alias(share_as)
     )
+    extra = F.lit(True)
+    if hot:
+        pairs, shares = spread_left(pairs, shares, "__invoice", invoice, hot)
+        extra = pairs["__salt"] == shares["__right_salt"]
+    joined = pairs.join(shares, (pairs["__invoice"] == shares[invoice]) & extra)
+    return joined.select(invoice, item_as, count_as, share_as)
+
 
+def allocate(
+    df: DataFrame,
+    invoice: str,
+    items: str,
+    value: str,
+    order: list[str],
+    item_as: str = "codigo_veiculo",
+    count_as: str = "qtd_veiculos_boleto",
+    share_as: str = "valor_rateado",
+) -> DataFrame:
+    """Allocation for rows with an item list each, where an invoice may occur in several rows.
 
-def allocate(df: DataFrame, invoice: str, items: str, value: str, order: list[str], **names: str) -> DataFrame:
-    """Allocation for rows with an item list each, where an invoice may occur in several rows."""
+    The first value of a repeated (invoice, item) wins.
+    """
     exploded = df.select(invoice, value, *order, F.posexplode(items).alias("__pos", "__item"))
-    names = {"item_as": "codigo_veiculo", **names}
-    return allocate_rows(exploded, invoice, "__item", value, [*order, "__pos"], **names)
+    pairs = keep_first(exploded.filter("__item is not null"), [invoice, "__item"], [*order, "__pos"])
+    counted = with_group_count(pairs.select(invoice, "__item", value), [invoice], "__item", count_as)
+    return counted.select(
+        invoice, F.col("__item").alias(item_as), count_as, share(F.col(value), F.col(count_as)).alias(share_as)
+    )
 
 
 def stored_items(invoices: DataFrame, invoice: str, items: str, value: str) -> DataFrame:

@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ledgerloom.operators.dedupe import keep_last
+from ledgerloom.operators.skew import NONE_HOT, HotKeys, spread_left
 
 VALID_FROM, VALID_TO = "valido_de", "valido_ate"
 
@@ -26,15 +27,20 @@ def covers(day: Column, start: Column, end: Column) -> Column:
 
 
 def attach_version(
-    facts: DataFrame, versions: DataFrame, fact_key: str, fact_day: str, key: str, columns: Sequence[str]
+    facts: DataFrame,
+    versions: DataFrame,
+    fact_key: str,
+    fact_day: str,
+    key: str,
+    columns: Sequence[str],
+    hot: HotKeys = NONE_HOT,
 ) -> DataFrame:
     """Columns of the version that was valid on the fact's own day, null where there is none.
 
     One equi join on the key with the interval as residual condition: Spark picks
     a hash join when the versions are known to be small and a sort-merge join
     otherwise. A key has at most one version per day, so its side of the join
-    stays short; a hot fact key only makes the left side long, and a left join is
-    one that a skew join may split.
+    stays short. Fact keys found to be hot are spread over several tasks.
     """
     slim = versions.select(
         F.col(key).alias("__key"),
@@ -42,17 +48,27 @@ def attach_version(
         F.col(VALID_TO).alias("__to"),
         *columns,
     )
+    extra = F.lit(True)
+    if hot:
+        facts, slim = spread_left(facts, slim, fact_key, "__key", hot)
+        extra = facts["__salt"] == slim["__right_salt"]
     condition = (facts[fact_key] == slim["__key"]) & covers(facts[fact_day], slim["__from"], slim["__to"])
-    return facts.join(slim, condition, "left").drop("__key", "__from", "__to")
+    return facts.join(slim, condition & extra, "left").drop("__key", "__from", "__to", "__salt", "__right_salt")
 
 
 def point_in_time_key(
-    facts: DataFrame, versions: DataFrame | None, fact_key: str, fact_day: str, key: str, surrogate: str
+    facts: DataFrame,
+    versions: DataFrame | None,
+    fact_key: str,
+    fact_day: str,
+    key: str,
+    surrogate: str,
+    hot: HotKeys = NONE_HOT,
 ) -> DataFrame:
     """Surrogate key of the version valid on the fact's day; all null without a dimension."""
     if versions is None:
         return facts.withColumn(surrogate, F.lit(None).cast("bigint"))
-    return attach_version(facts, versions, fact_key, fact_day, key, [surrogate])
+    return attach_version(facts, versions, fact_key, fact_day, key, [surrogate], hot)
 
 
 def point_in_time_key_once(

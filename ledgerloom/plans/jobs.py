@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, functions as F
 from ledgerloom.operators import checks, scd2
 from ledgerloom.operators.allocation import allocate_from_text
 from ledgerloom.operators.dedupe import keep_last
+from ledgerloom.operators.skew import hot_keys
 from ledgerloom.operators.temporal import dimension_versions, point_in_time_key
 from ledgerloom.operators.upsert import audit_columns
 from ledgerloom.operators.views import create_views
@@ -100,8 +101,9 @@ def load_dimensions(warehouse: Warehouse, batches: Mapping[str, DataFrame | None
 def _with_customer_key(warehouse: Warehouse, invoices: DataFrame) -> DataFrame:
     dim = warehouse.read_or_none("dim_customers")
     versions = None if dim is None else dimension_versions(dim, "codigo_associado", "sk_customer")
+    hot = hot_keys(invoices, "codigo_associado")
     return point_in_time_key(
-        invoices, versions, "codigo_associado", "data_emissao", "codigo_associado", "sk_customer"
+        invoices, versions, "codigo_associado", "data_emissao", "codigo_associado", "sk_customer", hot
     )
 
 
