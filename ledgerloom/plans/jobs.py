@@ -99,12 +99,18 @@ def load_dimensions(warehouse: Warehouse, batches: Mapping[str, DataFrame | None
 
 
 def _with_customer_key(warehouse: Warehouse, invoices: DataFrame) -> DataFrame:
+    """Invoices with the customer version of their emission day, landed once.
+
+    The load then checks keys, finds the partitions it touches and writes without
+    repeating the join.
+    """
     dim = warehouse.read_or_none("dim_customers")
     versions = None if dim is None else dimension_versions(dim, "codigo_associado", "sk_customer")
     hot = hot_keys(invoices, "codigo_associado")
-    return point_in_time_key(
+    keyed = point_in_time_key(
         invoices, versions, "codigo_associado", "data_emissao", "codigo_associado", "sk_customer", hot
     )
+    return warehouse.land(keyed, "keyed")
 
 
 def load_facts(warehouse: Warehouse, invoices: DataFrame, run: Run) -> None:

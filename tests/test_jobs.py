@@ -182,3 +182,10 @@ def test_initial_load(spark, warehouse):
     assert facts["25"].pago == "n" and facts["25"].valor_boleto == 1.0 and facts["1"].sk_customer is None
     assert "criado_em" not in facts["1"].asDict()
     assert warehouse.read(jobs.BRIDGE).count() == 3
+
+
+def test_an_upsert_reads_only_the_ranges_it_touches(spark, loaded):
+    warehouse, _ = loaded
+    state = spark.table(warehouse.name(jobs.FACTS)).filter(F.col("id_range").isin([2])).select("codigo_boleto")
+    plan = state._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "id_range" in plan.split("PartitionFilters: [")[1].split("]")[0]

@@ -111,3 +111,13 @@ def test_windows(spark):
     assert sorted((r.id, r.window) for r in hits.collect()) == [(1, "NEW"), (3, "DUE"), (3, "NEW"), (3, "PAID"), (5, "PAID")]
     merged = windows.merge_windows(hits, "id", ["e"])
     assert sorted((r.id, r.window) for r in merged.collect()) == [(1, "NEW"), (3, "DUE"), (5, "PAID")]
+
+
+def test_window_days_and_columns_reach_the_scan(spark, tmp_path):
+    path = str(tmp_path / "invoices")
+    data = [(1, date(2026, 7, 1), date(2026, 7, 1), date(2026, 7, 1), "unused")]
+    spark.createDataFrame(data, "id int, e date, p date, v date, other string").write.parquet(path)
+    hits = windows.incremental_windows(spark.read.parquet(path), date(2026, 7, 31), "e", "p", "v").select("id", "window")
+    plan = hits._jdf.queryExecution().executedPlan().toString()
+    pushed = plan.split("PushedFilters: [")[1].split("ReadSchema")[0]
+    assert "2026-07-24" in pushed and "2026-08-30" in pushed and "other" not in plan.split("ReadSchema")[1]
