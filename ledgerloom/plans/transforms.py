@@ -22,19 +22,20 @@ def conform(df: DataFrame, entity: E.Entity, order: Sequence[str]) -> DataFrame:
     """Apply an entity's column rules, keep the first row per key, drop empty rows.
 
     ``order`` names the columns that give the ingest order; they are not part of
-    the result. Only the key is cleaned before the dedupe; the other columns are
-    cleaned in one projection over the rows that are left.
+    the result. All casts are one projection, so they run fused with the scan.
     """
     df = drop(rename(normalise_names(df), entity.renamed), entity.dropped)
     require(df, [*entity.text, *entity.days, *entity.numbers, *order])
     # The order columns are set aside first: one of them may be cleaned as well.
     ranked = {f"__order_{i}": F.col(name) for i, name in enumerate(order)}
     internal = [name for name in order if name.startswith("__")]
-    rules = {name: clean_text(F.col(name)) for name in entity.text if name != entity.key}
+    rules = {name: clean_text(F.col(name)) for name in entity.text}
     rules |= {name: clean_date(F.col(name)) for name in entity.days}
     rules |= {name: clean_number(F.col(name), kind) for name, kind in entity.numbers.items()}
-    first = keep_first(df.withColumns({**ranked, entity.key: clean_text(F.col(entity.key))}), [entity.key], list(ranked))
-    return drop_empty_rows(first.withColumns(rules).drop(*ranked, *internal))
+    # The dedupe stands between the rules and the filter on purpose: pushed through the rules, a
+    # filter on all columns would hold every rule again, and planning grows beyond all bounds.
+    first = keep_first(df.withColumns(ranked).withColumns(rules), [entity.key], list(ranked))
+    return drop_empty_rows(first.drop(*ranked, *internal))
 
 
 def transform_customers(raw: DataFrame, statuses: DataFrame, reference: date, order: Sequence[str]) -> DataFrame:
