@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -37,15 +37,19 @@ def with_row_id(df: DataFrame, name: str) -> DataFrame:
     return df.withColumn(name, F.monotonically_increasing_id())
 
 
-def map_rows(df: DataFrame, function: Callable[[dict], Iterator[tuple] | Sequence[tuple]], schema: str) -> DataFrame:
-    """``function`` gives the output rows of each input row.
+class PerTask:
+    """Wraps a function without arguments that each task calls once, to make the function for its rows."""
 
-    ``function`` may be built per task: if it has an attribute ``per_task``, that is called once for each task to make it.
-    """
+    def __init__(self, make: Callable[[], Callable]):
+        self.make = make
+
+
+def map_rows(df: DataFrame, function: Callable[..., Iterable[tuple]] | PerTask, schema: str) -> DataFrame:
+    """``function`` takes the columns of a row and gives its output rows. Holds one Arrow batch and about 8 MB of output."""
 
     def run(batches):
         names = [field.split()[0] for field in schema.split(", ")]
-        make = function.per_task() if hasattr(function, "per_task") else function
+        make = function.make() if isinstance(function, PerTask) else function
         for batch in batches:
             rows: list[tuple] = []
             size = 0
