@@ -114,16 +114,20 @@ def _encoder(pattern_text: str, ranks: dict[bytes, int]) -> PerTask:
 
         find, encode = regex.compile(pattern_text).findall, PieceEncoder(ranks)
 
-        def run(row, k, piece):
-            yield row, k, b"".join(map(encode.__getitem__, find(piece)))
+        def run(*row):
+            yield (*row[:-1], b"".join(map(encode.__getitem__, find(row[-1]))))
 
         return run
 
     return PerTask(per_task)
 
 
-def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text_col: str = "text", chunk: int = CHUNK_CHARS, overlap: int = OVERLAP_CHARS) -> DataFrame:
-    """Columns row (the row's number) and ids (binary, little-endian unsigned 32-bit integers), for every row.
+def _kinds(df: DataFrame) -> str:
+    return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema)
+
+
+def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, keep: tuple[str, ...] = (), text_col: str = "text", chunk: int = CHUNK_CHARS, overlap: int = OVERLAP_CHARS) -> DataFrame:
+    """Columns row (the row's number), those in ``keep``, and ids (binary, little-endian unsigned 32-bit integers), for every row.
 
     A text longer than ``chunk`` characters is cut into chunks that overlap by ``overlap``. Tasks pre-tokenise the
     chunks in parallel, each from its own start, which may lie inside a pre-token. Two neighbours resynchronise at
@@ -133,8 +137,9 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text_col: str
     piece, so the ids are those of the whole text in every case. Shorter texts are one piece and are not moved.
     Null texts count as empty and give no ids. Rows may repeat; other columns are ignored.
     """
-    rows = with_row_id(docs.select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")), "row")
-    short = map_rows(rows.where(F.length("text") <= chunk).select("row", F.lit(0), "text"), _encoder(pattern, ranks), "row long, k int, ids binary")
+    rows = with_row_id(docs.select(*keep, F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_text")), "row").select("row", *keep, F.col("_text").alias("text"))
+    kept = rows.select("row", *keep)
+    short = map_rows(rows.where(F.length("text") <= chunk), _encoder(pattern, ranks), f"{_kinds(kept)}, ids binary")
     long = rows.where(F.length("text") > chunk)
     count = F.ceil(F.length("text") / F.lit(chunk)).cast("int")
     cut = long.select("row", "text", count.alias("n"), F.explode(F.sequence(F.lit(0), count - 1)).alias("k"))
@@ -160,12 +165,12 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text_col: str
     encoded = map_rows(pieces, _encoder(pattern, ranks), "row long, k int, ids binary")
     whole = encoded.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("k", "ids"))).alias("parts"))
     whole = whole.select("row", F.aggregate("parts", F.lit(b"").cast("binary"), lambda a, p: F.concat(a, p["ids"])).alias("ids"))
-    return short.select("row", "ids").unionByName(whole)
+    return short.unionByName(long.select("row", *keep).join(whole, "row"))
 
 
 def decode(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
     """Columns row and data: the bytes of the ids put together, valid UTF-8 or not."""
-    tokens = [t for t, _ in sorted(ranks.items(), key=lambda x: x[1])]
+    tokens = tokens_of(ranks)
 
     def run(row, ids):
         yield row, decode_ids(ids, tokens)
@@ -173,21 +178,30 @@ def decode(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
     return map_rows(encoded.select("row", "ids"), run, "row long, data binary")
 
 
-def digests(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
-    """Columns row, n_tokens, ids_sha256, decoded_sha256, made as the ids stream by."""
-    tokens = [t for t, _ in sorted(ranks.items(), key=lambda x: x[1])]
+def tokens_of(ranks: dict[bytes, int]) -> list[bytes]:
+    return [t for t, _ in sorted(ranks.items(), key=lambda x: x[1])]
 
-    def run(row, ids):
-        yield row, len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(decode_ids(ids, tokens)).hexdigest()
 
-    return map_rows(encoded.select("row", "ids"), run, "row long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+def with_digests(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
+    """Adds n_tokens, ids_sha256 and decoded_sha256, of the ids and of the bytes decoded from them; ids last of the given."""
+    tokens = tokens_of(ranks)
 
+    def run(*row):
+        ids = row[-1]
+        yield (*row, len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(decode_ids(ids, tokens)).hexdigest())
 
-@query("op2_bpe")
-def op2_bpe(spark, sf_dir):
+    return map_rows(encoded, run, f"{_kinds(encoded)}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+
+
+def public_bpe() -> tuple[dict[bytes, int], str]:
+    """Ranks and pattern of the public byte-level vocabulary."""
     import public_tokenizers
 
-    docs = table(spark, sf_dir, "documents", "doc_id", "text")
-    ranks = read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
-    encoded = digests(encode(docs, ranks, public_tokenizers.PATTERN), ranks)
-    return with_row_id(docs.select("doc_id"), "row").join(encoded, "row").drop("row")
+    return read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken")), public_tokenizers.PATTERN
+
+
+@query("op2_bpe")
+def op2_bpe(spark, sf_dir):
+    ranks, pattern = public_bpe()
+    encoded = encode(table(spark, sf_dir, "documents", "doc_id", "text"), ranks, pattern, keep=("doc_id",))
+    return with_digests(encoded, ranks).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")

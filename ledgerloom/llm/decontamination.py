@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections import defaultdict
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -143,21 +145,41 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     tables give none; other columns are ignored.
     """
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    out = docs.sparkSession.createDataFrame([], "doc_id long, item_id long, score double, start_word long, end_word long")
+    for items in _blocks(texts, benchmark, item_col, item_text_col, least):
+        out = out.unionByName(_found(texts, items, least))
+    return out
+
+
+def without_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", least: float = LEAST_SCORE) -> DataFrame:
+    """The rows of ``docs``, all columns, that hold a copy of no item."""
+    place, kept = docs.columns.index(text_col), docs
+    for items in _blocks(docs.select(F.col(text_col).cast("string").alias("text")), benchmark, item_col, item_text_col, least):
+
+        def clean(batches, items=items):
+            for batch in batches:
+                yield batch.filter(pa.array([next(matches(items, t.as_py(), least), None) is None for t in batch.column(place)], pa.bool_()))
+
+        kept = kept.mapInArrow(clean, docs.schema)
+    return kept
+
+
+def _blocks(texts: DataFrame, benchmark: DataFrame, item_col: str, item_text_col: str, least: float) -> Iterator[Items]:
+    """The benchmark in blocks of about ``BLOCK_BYTES``, each with the seeds that are rare in the texts."""
     questions = benchmark.select(F.col(item_col).cast("long").alias("item_id"), F.col(item_text_col).cast("string").alias("text"))
     total = questions.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = -(-total // BLOCK_BYTES)
-    out = docs.sparkSession.createDataFrame([], "doc_id long, item_id long, score double, start_word long, end_word long")
     for block in range(blocks):
         part = questions.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
-        found = _against(texts, Items([tuple(r) for r in part.collect()]), least)
-        out = found if block == 0 else out.unionByName(found)
-    return out
+        items = Items([tuple(r) for r in part.collect()])
+        items.keep_rarest(_frequency(texts, items), least)
+        yield items
 
 
-def _against(texts: DataFrame, items: Items, least: float) -> DataFrame:
-    def count(batches):
-        import pyarrow as pa
+def _frequency(texts: DataFrame, items: Items) -> dict[tuple[int, int], int]:
+    """In how many texts each seed of the block stands."""
 
+    def count(batches):
         counts = {n: np.zeros(len(grams), np.int64) for n, grams in items.grams.items()}
         for batch in batches:
             for text in batch.column(0):
@@ -168,9 +190,11 @@ def _against(texts: DataFrame, items: Items, least: float) -> DataFrame:
             seen = np.flatnonzero(c)
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(seen), n)), pa.array(items.grams[n][seen]), pa.array(c[seen])], names=["n", "code", "docs"])
 
-    frequency = texts.select("text").mapInArrow(count, "n long, code long, docs long").groupBy("n", "code").agg(F.sum("docs").alias("docs"))
-    items.keep_rarest({(r.n, r.code): r.docs for r in frequency.collect()}, least)  # a row for each seed of the block
+    rows = texts.select("text").mapInArrow(count, "n long, code long, docs long").groupBy("n", "code").agg(F.sum("docs").alias("docs"))
+    return {(r.n, r.code): r.docs for r in rows.collect()}  # a row for each seed of the block at most
+
 
+def _found(texts: DataFrame, items: Items, least: float) -> DataFrame:
     def find(doc_id, text):
         for item, score, start, end in matches(items, text, least):
             for name in items.names[item]:

@@ -65,6 +65,14 @@ def test_edited_copies_against_brute_force(spark, monkeypatch, block):
         assert smith_waterman(own, words_of(text)[r.start_word : r.end_word]) / len(own) == pytest.approx(r.score)
 
 
+def test_filter_drops_these_rows_only(spark):
+    item = "alpha beta gamma delta epsilon zeta eta theta iota kappa"
+    docs = [(1, f"x {item} y"), (2, None), (3, "clean words alone"), (None, item), (4, item.replace("zeta", "other")), (5, "alpha beta gamma"), (3, "clean words alone")]
+    kept = D.without_contaminated(spark.createDataFrame([(*d, "c", "c") for d in docs], DOCS), spark.createDataFrame([(7, item, 1)], ITEMS)).collect()
+    assert [r.doc_id for r in kept] == [2, 3, 5, 3]
+    assert kept[0].asDict().keys() == {"doc_id", "text", "item_id", "score"}
+
+
 def test_empty_tables(spark):
     docs, items = spark.createDataFrame([(1, "a b c", "", "")], DOCS), spark.createDataFrame([(1, "a b c", 1)], ITEMS)
     assert D.contaminated(docs.limit(0), items).count() == 0
