@@ -54,41 +54,43 @@ def scan_with_predicate(spark, sf):
     return stored_items(I.stored(spark, sf), "boleto", "items", "value")
 
 
-_STOP = """
-SELECT p.slice, p.page, p.position, p.id, p.user_id, p.value FROM paged p
-LEFT JOIN (SELECT slice, min(page) AS last FROM ({stops}) GROUP BY slice) s ON s.slice = p.slice
-WHERE s.last IS NULL OR p.page <= s.last"""
-_SHORT = "SELECT slice, page FROM counted WHERE n < {size}"
-_TOTAL = " UNION ALL SELECT c.slice, c.page FROM counted c JOIN declared d ON d.slice = c.slice WHERE seen >= total AND c.page >= {first}"
+_PAGES = I.with_sql("paged", "SELECT slice, page, position, id, user_id, value FROM paged")
 
 
-def _flatten(spark, sf, bodies, size, total):
-    records = pages.flatten_pages(I.paged(spark, sf, bodies), I.PAGE_RECORD, "items", size, total)
+def _flatten(spark, sf, bodies):
+    records = pages.flatten_pages(I.paged(spark, sf, bodies), I.PAGE_RECORD, "items")
     return records.withColumn("position", F.col("position").cast("bigint"))
 
 
-@query("pages_by_offset", I.with_sql("paged", _STOP.format(stops=_SHORT.format(size=60) + _TOTAL.format(first=0))))
+@query("pages_by_offset", _PAGES)
 def pages_by_offset(spark, sf):
-    return _flatten(spark, sf, "object", 60, "total")
+    return _flatten(spark, sf, "object")
 
 
-@query("pages_by_number", I.with_sql("paged", _STOP.format(stops=_SHORT.format(size=85))))
+@query("pages_by_number", _PAGES)
 def pages_by_number(spark, sf):
-    return _flatten(spark, sf, "mixed", 85, None)
+    return _flatten(spark, sf, "list")
 
 
-@query("pages_invoices", I.with_sql("paged", _STOP.format(stops=_SHORT.format(size=60) + _TOTAL.format(first=1))))
+@query("pages_invoices", _PAGES)
 def pages_invoices(spark, sf):
-    return _flatten(spark, sf, "mixed", 60, "total")
+    return _flatten(spark, sf, "mixed")
 
 
 @query("page_total_check", I.with_sql("paged", """
 SELECT d.slice, total AS declared, count(*) AS received, count(*) >= total AS complete
-FROM declared d JOIN (""" + _STOP.format(stops=_SHORT.format(size=85)) + ") r ON r.slice = d.slice GROUP BY d.slice, total"))
+FROM declared d JOIN paged r ON r.slice = d.slice GROUP BY d.slice, total"""))
 def page_total_check(spark, sf):
-    landed_pages = I.paged(spark, sf, "object")
-    records = pages.flatten_pages(landed_pages, I.PAGE_RECORD, "items", 85)
-    return pages.total_shortfall(landed_pages, records, I.PAGE_RECORD, "items", "total")
+    return pages.total_shortfall(I.paged(spark, sf, "object"), I.PAGE_RECORD, "items", "total")
+
+
+@query("pages_behind_stop", I.with_sql("paged", """
+SELECT c.slice, last_page, count(*) AS pages_behind, CAST(sum(n) AS BIGINT) AS records_behind
+FROM counted c JOIN (SELECT c.slice, min(page) AS last_page FROM counted c JOIN declared d ON d.slice = c.slice
+                     WHERE n < 60 OR seen >= total GROUP BY c.slice) s ON s.slice = c.slice AND page > last_page
+GROUP BY c.slice, last_page"""))
+def pages_behind_stop(spark, sf):
+    return pages.pages_behind_stop(I.paged(spark, sf, "object"), I.PAGE_RECORD, "items", 60, "total")
 
 
 @query("reference_list", "SELECT p_partkey, p_name, p_retailprice FROM part")

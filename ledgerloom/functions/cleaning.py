@@ -22,6 +22,7 @@ DAY_AND_TIME = r"^\d{4}-\d{1,2}-\d{1,2}[T ]\d{2}:\d{2}(:\d{2}(\.\d+)?)?(Z|[+-]\d
 OFFSET_AT_END = r"(Z|[+-]\d{2}:?\d{2})$"
 NO_SECONDS = r"([T ]\d{2}:\d{2})(Z|[+-]\d{2}:?\d{2})?$"
 NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
+WHOLE = r"^[+-]?[0-9]+$"
 INFINITE = r"(?i)^[+-]?inf(inity)?$"
 
 
@@ -59,7 +60,10 @@ def clean_number(value: Column, to: str = "double") -> Column:
     """
     text = trim_blanks(value)
     number = F.when(text.rlike(NUMBER) | text.rlike(INFINITE), text.try_cast("double"))
-    return number if to == "double" else F.rint(number).try_cast(to)
+    if to == "double":
+        return number
+    # A whole number need not go through a double, which holds 53 bits.
+    return F.when(text.rlike(WHOLE), text.try_cast(to)).otherwise(F.rint(number).try_cast(to))
 
 
 def first_of_list(items: Column) -> Column:
@@ -98,6 +102,6 @@ def parse_records(text: Column, record_ddl: str) -> Column:
     return F.from_json(text, f"array<{record_ddl}>")
 
 
-def parse_map(text: Column) -> Column:
-    """JSON object with free keys as a map of texts."""
-    return F.from_json(text, "map<string,string>")
+def parse_map(text: Column, strict: bool = False) -> Column:
+    """JSON object with free keys as a map of texts. With ``strict`` a text that is not JSON raises; else it gives null."""
+    return F.from_json(text, "map<string,string>", {"mode": "FAILFAST"} if strict else {})

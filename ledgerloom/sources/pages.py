@@ -1,49 +1,50 @@
 """Flattening landed API pages into records.
 
-A landed page is a row (slice, page number, body). The client stopped asking
-for more at a page that was empty, short, or reached the declared total; pages
-that were landed after that point do not belong to the answer.
+A landed page is a row (slice, page number, body). Every record that was landed
+is kept. A client stops asking for more at a page that is empty, short, or
+reaches the declared total; pages landed behind such a point, and slices that
+hold less than was declared, are reported, not dropped.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ledgerloom.functions.cleaning import parse_records
 from ledgerloom.operators.running import running_total
-from ledgerloom.session import settle
 
+STRICT = {"mode": "FAILFAST"}
 
-def _read_bodies(pages: DataFrame, body: str, record_ddl: str, items_key: str, total_key: str | None) -> DataFrame:
-    is_list = F.ltrim(F.col(body)).startswith("[")
+
+def _read_bodies(pages: DataFrame, body: str, record_ddl: str, items_key: str, total_key: str | None = None) -> DataFrame:
+    """Items, their count and the declared total of each page; a body that is missing or not JSON raises."""
+    missing = F.raise_error(F.lit(f"a landed page has no '{body}'")).cast("string")
+    text = F.when(F.trim(F.col(body)) != "", F.col(body)).otherwise(missing)
+    is_list = F.ltrim(text).startswith("[")
     total = f", `{total_key}`: bigint" if total_key else ""
-    document = F.from_json(F.col(body), f"struct<`{items_key}`: array<{record_ddl}>{total}>")
-    items: Column = F.when(is_list, parse_records(F.col(body), record_ddl)).otherwise(document[items_key])
-    # A body without the key declares zero, so the client stopped right there.
-    declared = F.when(~is_list, F.coalesce(document[total_key], F.lit(0))) if total_key else F.lit(None).cast("bigint")
+    document = F.when(~is_list, F.from_json(text, f"struct<`{items_key}`: array<{record_ddl}>{total}>", STRICT))
+    items: Column = F.when(is_list, F.from_json(text, f"array<{record_ddl}>", STRICT)).otherwise(document[items_key])
+    declared = document[total_key] if total_key else F.lit(None).cast("bigint")
     return pages.withColumns({"__items": items, "__declared": declared}).withColumn(
         "__count", F.coalesce(F.size("__items"), F.lit(0)).cast("bigint")
     )
 
 
-def _last_pages(counts: DataFrame, slice_column: str, page: str, page_size: int, has_total: bool) -> DataFrame:
-    """Per slice the page at which the client stopped, null if it never did."""
-    short = F.col("__count") < page_size
-    if not has_total:
-        return counts.groupBy(slice_column).agg(F.min(F.when(short, F.col(page))).alias("__last"))
-    totals = (
-        counts.filter("__declared is not null")
-        .groupBy(slice_column)
-        .agg(F.min_by("__declared", page).alias("__total"), F.min(page).alias("__known_from"))
-        .withColumnRenamed(slice_column, "__slice")
-    )
-    summed = running_total(counts, slice_column, page, "__count", "__seen")
-    known = summed.join(totals, summed[slice_column].eqNullSafe(totals["__slice"]), "left")
-    reached = (F.col(page) >= F.col("__known_from")) & (F.col("__seen") >= F.col("__total"))
-    return known.groupBy(slice_column).agg(F.min(F.when(short | reached, F.col(page))).alias("__last"))
+def flatten_pages(
+    pages: DataFrame, record_ddl: str, items_key: str, slice_column: str = "slice", page: str = "page", body: str = "body"
+) -> DataFrame:
+    """Records of all landed pages, with slice, page and position. A body may be an object or a bare list."""
+    parsed = _read_bodies(pages, body, record_ddl, items_key)
+    records = parsed.select(slice_column, page, F.posexplode("__items").alias("position", "__record"))
+    return records.select(slice_column, page, "position", "__record.*")
 
 
-def flatten_pages(
+def _declared(parsed: DataFrame, slice_column: str, page: str) -> DataFrame:
+    """Per slice the total of its first page that declares one, and that page."""
+    known = parsed.filter("__declared is not null").groupBy(slice_column)
+    return known.agg(F.min_by("__declared", page).alias("declared"), F.min(page).alias("__known_from"))
+
+
+def pages_behind_stop(
     pages: DataFrame,
     record_ddl: str,
     items_key: str,
@@ -53,28 +54,27 @@ def flatten_pages(
     page: str = "page",
     body: str = "body",
 ) -> DataFrame:
-    """Records of all pages up to the stopping page, with slice, page and position.
+    """Slices with pages behind the one at which a client would have stopped, and how many records those hold.
 
-    A body may be an object or a bare list. With ``total_key`` the total comes
-    from the first object page of the slice and is known from that page on;
-    without one only an empty or short page stops. Only page numbers and counts
-    travel through the stopping rule, never the bodies.
+    A page stops if it holds fewer than ``page_size`` records or, from the page on that declares a total, if the
+    records up to it reach that total. Only page numbers and counts travel, never the bodies.
     """
-    parsed = _read_bodies(pages, body, record_ddl, items_key, total_key)
-    counts = parsed.select(slice_column, page, "__count", "__declared")
-    last = _last_pages(counts, slice_column, page, page_size, total_key is not None)
-    # One row per slice. Settled, it is broadcast by its size and the bodies are not shuffled by slice.
-    last = settle(last.withColumnRenamed(slice_column, "__slice"), "last-pages")
-    kept = parsed.join(last, parsed[slice_column].eqNullSafe(last["__slice"]), "left").filter(
-        F.col("__last").isNull() | (F.col(page) <= F.col("__last"))
+    counts = _read_bodies(pages, body, record_ddl, items_key, total_key).select(slice_column, page, "__count", "__declared")
+    totals = _declared(counts, slice_column, page).withColumnRenamed(slice_column, "__slice")
+    summed = running_total(counts, slice_column, page, "__count", "__seen")
+    known = summed.join(totals, summed[slice_column].eqNullSafe(totals["__slice"]), "left")
+    reached = F.coalesce((F.col(page) >= F.col("__known_from")) & (F.col("__seen") >= F.col("declared")), F.lit(False))
+    stops = (F.col("__count") < page_size) | reached
+    last = known.groupBy(slice_column).agg(F.min(F.when(stops, F.col(page))).alias("last_page"))
+    last = last.filter("last_page is not null").withColumnRenamed(slice_column, "__slice")
+    behind = counts.join(last, counts[slice_column].eqNullSafe(last["__slice"])).filter(F.col(page) > F.col("last_page"))
+    return behind.groupBy(slice_column, "last_page").agg(
+        F.count(F.lit(1)).alias("pages_behind"), F.sum("__count").alias("records_behind")
     )
-    records = kept.select(slice_column, page, F.posexplode("__items").alias("position", "__record"))
-    return records.select(slice_column, page, "position", "__record.*")
 
 
 def total_shortfall(
     pages: DataFrame,
-    records: DataFrame,
     record_ddl: str,
     items_key: str,
     total_key: str,
@@ -82,9 +82,8 @@ def total_shortfall(
     page: str = "page",
     body: str = "body",
 ) -> DataFrame:
-    """Declared and received number of records per slice and whether some are missing."""
-    parsed = _read_bodies(pages, body, record_ddl, items_key, total_key).filter("__declared is not null")
-    declared = parsed.groupBy(slice_column).agg(F.min_by("__declared", page).alias("declared"))
-    received = records.groupBy(slice_column).agg(F.count("*").alias("received"))
-    joined = declared.join(received, slice_column, "left").na.fill(0, ["received"])
-    return joined.withColumn("complete", F.col("received") >= F.col("declared"))
+    """Declared and received number of records per slice and whether some are missing; bodies are read once."""
+    counts = _read_bodies(pages, body, record_ddl, items_key, total_key).groupBy(slice_column)
+    first = F.min_by("__declared", F.when(F.col("__declared").isNotNull(), F.col(page)))
+    report = counts.agg(first.alias("declared"), F.sum("__count").alias("received")).filter("declared is not null")
+    return report.withColumn("complete", F.col("received") >= F.col("declared"))

@@ -9,57 +9,69 @@ from ledgerloom.sources import landed, pages, windows
 RECORD = "struct<id: bigint>"
 
 
-def flatten(spark, bodies, page_size, total_key=None, items_key="items"):
-    rows = [(s, p, json.dumps(body)) for s, p, body in bodies]
-    df = spark.createDataFrame(rows, "slice string, page int, body string")
-    records = pages.flatten_pages(df, RECORD, items_key, page_size, total_key)
+def landed_pages(spark, bodies):
+    rows = [(s, p, body if isinstance(body, str) or body is None else json.dumps(body)) for s, p, body in bodies]
+    return spark.createDataFrame(rows, "slice string, page int, body string")
+
+
+def flatten(spark, bodies, items_key="items"):
+    records = pages.flatten_pages(landed_pages(spark, bodies), RECORD, items_key)
     assert records.columns == ["slice", "page", "position", "id"]
     return [(r.slice, r.id) for r in records.orderBy("slice", "page", "position").collect()]
 
 
+def behind(spark, bodies, page_size, total_key=None):
+    report = pages.pages_behind_stop(landed_pages(spark, bodies), RECORD, "items", page_size, total_key)
+    return sorted(map(tuple, report.collect()))
+
+
 def items(*ids):
     return [{"id": i} for i in ids]
 
 
-def test_pages_by_number_end_at_a_short_or_empty_page(spark):
-    short = [("a", 0, {"items": items(1, 2)}), ("a", 1, {"items": items(3)}), ("a", 2, {"items": items(4, 5)})]
-    assert flatten(spark, short, 2) == [("a", 1), ("a", 2), ("a", 3)]
-    empty = [("a", 0, {"items": items(1, 2)}), ("a", 1, {"items": []}), ("a", 2, {"items": items(4, 5)})]
-    assert flatten(spark, empty, 2) == [("a", 1), ("a", 2)]
-    assert flatten(spark, [("a", 0, {})], 2) == []
-    assert flatten(spark, [("a", 0, items(1))], 2) == [("a", 1)]
+def test_all_landed_pages_are_kept(spark):
+    bodies = [("a", 0, {"items": items(1, 2)}), ("a", 1, items(3)), ("a", 2, {"items": [], "total": 2}), ("a", 3, {}), ("a", 4, {"items": items(4, 5)})]
+    assert flatten(spark, bodies) == [("a", i) for i in range(1, 6)]
+    assert flatten(spark, [("a", 0, {})]) == []
+
+
+@pytest.mark.parametrize("bad", ['{"items": [{"id": 2}, {"id"', "", None, '{"items": [{"id": "x"}]}'])
+def test_an_unreadable_page_raises(spark, bad):
+    bodies = [("a", 0, {"items": items(1)}), ("a", 1, bad), ("a", 2, {"items": items(3)})]
+    with pytest.raises(Exception, match="MALFORMED|landed page|CANNOT_PARSE"):
+        flatten(spark, bodies)
 
 
-def test_pages_never_ended_are_all_kept(spark):
+def test_pages_behind_a_short_or_empty_page_are_reported(spark):
+    short = [("a", 0, {"items": items(1, 2)}), ("a", 1, {"items": items(3)}), ("a", 2, {"items": items(4, 5)}), ("b", 0, items(6))]
+    assert behind(spark, short, 2) == [("a", 1, 1, 2)]
     full = [("a", p, items(2 * p, 2 * p + 1)) for p in range(5)]
-    assert flatten(spark, full, 2) == [("a", i) for i in range(10)]
+    assert behind(spark, full, 2) == []
 
 
-def test_pages_by_offset_end_at_the_total(spark):
+def test_pages_behind_the_declared_total_are_reported(spark):
     body = lambda total, *ids: {"items": items(*ids), "total": total}
-    assert flatten(spark, [("a", 0, body(3, 1, 2)), ("a", 1, body(3, 3))], 2, "total") == [("a", 1), ("a", 2), ("a", 3)]
-    assert flatten(spark, [("a", 0, body(0))], 2, "total") == []
     beyond = [("a", 0, body(4, 1, 2)), ("a", 1, body(9, 3, 4)), ("a", 2, body(9, 5, 6)), ("b", 0, body(9, 7, 8))]
-    assert flatten(spark, beyond, 2, "total") == [("a", 1), ("a", 2), ("a", 3), ("a", 4), ("b", 7), ("b", 8)]
-
-
-def test_object_without_a_total_keeps_only_its_page(spark):
-    bodies = [("a", 0, {"items": items(1, 2)}), ("a", 1, {"items": items(3, 4)})]
-    assert flatten(spark, bodies, 2, "total") == [("a", 1), ("a", 2)]
-
-
-def test_bare_lists_have_no_total_until_an_object_page(spark):
+    assert behind(spark, beyond, 2, "total") == [("a", 1, 1, 2)]
     lists = [("a", 0, items(1, 2)), ("a", 1, items(3, 4)), ("a", 2, {"items": items(5, 6), "total": 4}), ("a", 3, items(7, 8))]
-    assert flatten(spark, lists, 2, "total") == [("a", i) for i in range(1, 7)]
-    assert flatten(spark, lists[:2], 2, "total") == [("a", i) for i in range(1, 5)]
+    assert behind(spark, lists, 2, "total") == [("a", 2, 1, 2)]
+    assert behind(spark, lists[:2], 2, "total") == []
 
 
 def test_total_shortfall(spark):
-    body = json.dumps({"items": items(1, 2), "total": 3})
-    df = spark.createDataFrame([("a", 0, body)], "slice string, page int, body string")
-    records = pages.flatten_pages(df, RECORD, "items", 2, "total")
-    report = pages.total_shortfall(df, records, RECORD, "items", "total").first()
-    assert (report.declared, report.received, report.complete) == (3, 2, False)
+    df = landed_pages(spark, [("a", 0, items(1)), ("a", 1, {"items": items(1, 2), "total": 4}), ("b", 0, items(1))])
+    report = pages.total_shortfall(df, RECORD, "items", "total").collect()
+    assert [(r.slice, r.declared, r.received, r.complete) for r in report] == [("a", 4, 3, False)]
+
+
+def test_a_bad_line_raises(spark, tmp_path):
+    path = tmp_path / "bad.json"
+    path.write_text('{"codigo": 1}\n{"codigo": \n{"codigo": 3}\n')
+    with pytest.raises(Exception, match="MALFORMED"):
+        landed.read_records(spark, str(path), "codigo int").collect()
+    path.write_text('{"1": "ativo"')
+    with pytest.raises(Exception, match="MALFORMED"):
+        landed.read_lookup(spark, str(path), "c", "d").collect()
 
 
 def test_records_round_trip(spark, tmp_path):
@@ -91,6 +103,12 @@ def test_dated_tables(spark, tmp_path):
     back = spark.read.parquet(path)
     assert sorted(r.v for r in back.collect()) == [1, 5]
     assert [r.v for r in landed.latest_slice(back, "dt").collect()] == [5]
+    newest = landed.read_latest(spark, path, "dt")
+    assert [(r.v, r.dt) for r in newest.collect()] == [(5, date(2026, 1, 2))]
+    with pytest.raises(FileNotFoundError):
+        landed.latest_slice(back.limit(0), "dt")
+    with pytest.raises(FileNotFoundError):
+        landed.read_latest(spark, str(tmp_path / "nothing"), "dt")
 
 
 def test_slices(spark):
