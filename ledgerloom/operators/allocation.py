@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, functions as F
 from ledgerloom.functions.billing import share
 from ledgerloom.functions.cleaning import split_list
 from ledgerloom.operators.dedupe import keep_first, with_group_count
-from ledgerloom.operators.skew import NONE_HOT, HotKeys, spread_left
+from ledgerloom.operators.skew import NONE_HOT, spread_left
+from ledgerloom.session import settle
 
 
 def allocate_unique(
@@ -41,7 +42,7 @@ def allocate_items(
     item_as: str = "codigo_veiculo",
     count_as: str = "qtd_veiculos_boleto",
     share_as: str = "valor_rateado",
-    hot: HotKeys = NONE_HOT,
+    hot: DataFrame | None = NONE_HOT,
 ) -> DataFrame:
     """Allocation for items kept apart from their invoices: (invoice, item) rows, repeats allowed.
 
@@ -57,7 +58,9 @@ def allocate_items(
         invoice, count_as, share(F.col(value), F.col(count_as)).alias(share_as)
     )
     extra = F.lit(True)
-    if hot:
+    if hot is not None:
+        # Salts go by position, which is settled here, behind the shuffle of distinct().
+        pairs = settle(pairs, "allocation-pairs")
         pairs, shares = spread_left(pairs, shares, "__invoice", invoice, hot)
         extra = pairs["__salt"] == shares["__right_salt"]
     joined = pairs.join(shares, (pairs["__invoice"] == shares[invoice]) & extra)
@@ -79,7 +82,8 @@ def allocate(
     The first value of a repeated (invoice, item) wins.
     """
     exploded = df.select(invoice, value, *order, F.posexplode(items).alias("__pos", "__item"))
-    pairs = keep_first(exploded.filter("__item is not null"), [invoice, "__item"], [*order, "__pos"])
+    # Settled, as it is read twice and ties in the order must not be settled differently each time.
+    pairs = settle(keep_first(exploded.filter("__item is not null"), [invoice, "__item"], [*order, "__pos"]), "allocation")
     counted = with_group_count(pairs.select(invoice, "__item", value), [invoice], "__item", count_as)
     return counted.select(
         invoice, F.col("__item").alias(item_as), count_as, share(F.col(value), F.col(count_as)).alias(share_as)

@@ -2,23 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
-BROADCAST_ROWS = 100_000
-
-
-def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """A broadcast hint for a frame counted to be small; a larger one is left to the planner.
-
-    The count stops at the limit, so the check stays cheap on a frame of any size.
-    """
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+from ledgerloom.session import settle
 
 
 def lookup_join(df: DataFrame, lookup: DataFrame, code: str) -> DataFrame:
     """Attach the description of a code; null where the code is unknown.
 
-    A few codes cover all rows, so a shuffle by code would be badly skewed. The
-    list is broadcast when it is counted to be small.
+    A few codes cover all rows. The list is settled, so the planner knows its bytes and broadcasts it if they are
+    few; otherwise the runtime splits the rows of a hot code, which a left join allows.
     """
-    return df.join(broadcast_if_small(lookup), code, "left")
+    return df.join(settle(lookup, "code-list"), code, "left")

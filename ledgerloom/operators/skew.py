@@ -7,85 +7,72 @@ not hold, hot keys are looked up first and their rows are spread explicitly.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
-from math import ceil
-
 from pyspark.sql import Column, DataFrame, functions as F
 
-HOT_SHARE = 0.01
+from ledgerloom.session import settle
+
 TASK_ROWS = 5_000_000
 
+#: No key is hot.
+NONE_HOT = None
 
-@dataclass(frozen=True)
-class HotKeys:
-    """Number of parts to split each hot key into, and into how many to split null keys."""
 
-    parts: dict = field(default_factory=dict)
-    null_parts: int = 1
+def hot_keys(df: DataFrame, key: str, task_rows: int = TASK_ROWS) -> DataFrame | None:
+    """Columns ``hot_key``, ``parts``: the keys with more rows than one task should hold, null among them.
 
-    def __bool__(self) -> bool:
-        return bool(self.parts) or self.null_parts > 1
+    The limit is a number of rows, whatever the size of the frame, so the list is about as long as the frame has
+    tasks. Counting aggregates partially first. The list is settled, so the planner knows its size; it is none if
+    there are no such keys, so that joins need not be prepared for them.
+    """
+    counts = df.groupBy(F.col(key).alias("hot_key")).agg(F.count(F.lit(1)).alias("__rows")).filter(F.col("__rows") > task_rows)
+    found = settle(counts.select("hot_key", F.ceil(F.col("__rows") / task_rows).cast("int").alias("parts")), "hot-keys")
+    return NONE_HOT if found.isEmpty() else found
 
-    def parts_of(self, key: Column) -> Column:
-        """Parts of a row's key; one for a key that is not hot."""
-        found = F.when(key.isNull(), F.lit(self.null_parts))
-        for value, parts in self.parts.items():
-            found = found.when(key == F.lit(value), F.lit(parts))
-        return found.otherwise(F.lit(1))
 
+def _with_parts(df: DataFrame, key: str, hot: DataFrame) -> DataFrame:
+    """The frame with ``__parts``: into how many its key is split, one for a key that is not hot.
 
-NONE_HOT = HotKeys()
+    A left join, of which the runtime may split the left side.
+    """
+    joined = df.join(hot, df[key].eqNullSafe(hot["hot_key"]), "left")
+    return joined.select(*(df[f"`{c}`"] for c in df.columns), F.coalesce("parts", F.lit(1)).alias("__parts"))
 
 
-def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE, task_rows: int = TASK_ROWS) -> HotKeys:
-    """Keys with at least the share of all rows and more rows than one task should hold.
+def _salt() -> Column:
+    """Salts by position, so that rows that are equal in all columns are spread too.
 
-    No more than ``1 / share`` keys can qualify. A frequent-items pass over the
-    key column finds the candidates and a count of just these confirms them. A
-    frame too small to have a hot key only costs its row count.
+    Positions repeat as long as the frame is read from files; settle it before if it comes out of a shuffle.
     """
-    total = df.count()
-    if total <= task_rows:
-        return NONE_HOT
-    keys = df.select(F.col(key).alias("key"))
-    candidates = [value for value in keys.stat.freqItems(["key"], share).first()[0] if value is not None]
-    counted = keys.filter(F.col("key").isNull() | F.col("key").isin(candidates)).groupBy("key").count()
-    limit = max(share * total, task_rows)
-    # At most one row per candidate, which are at most 1 / share.
-    parts = {row["key"]: ceil(row["count"] / task_rows) for row in counted.collect() if row["count"] > limit}
-    return HotKeys({value: n for value, n in parts.items() if value is not None}, parts.get(None, 1))
-
-
-def _salt(df: DataFrame, parts: Column) -> Column:
-    return F.pmod(F.xxhash64(*df.columns), parts).cast("int")
+    return F.pmod(F.monotonically_increasing_id(), F.col("__parts")).cast("int")
 
 
-def _every_salt(parts: Column) -> Column:
-    return F.explode(F.sequence(F.lit(0), parts - 1))
+def _every_salt() -> Column:
+    return F.explode(F.sequence(F.lit(0), F.col("__parts") - 1))
 
 
-def spread_left(left: DataFrame, right: DataFrame, left_key: str, right_key: str, hot: HotKeys) -> tuple[DataFrame, DataFrame]:
+def spread_left(left: DataFrame, right: DataFrame, left_key: str, right_key: str, hot: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Both sides with a ``__salt`` to join on as well, for hot keys on the left.
 
     Rows of a hot key get one of its salts. The few right rows of a hot key are
     repeated once per salt, so every left row still meets each of them once.
     """
-    salted = left.withColumn("__salt", _salt(left, hot.parts_of(F.col(left_key))))
-    repeated = right.filter(F.col(right_key).isNotNull()).select("*", _every_salt(hot.parts_of(F.col(right_key))).alias("__salt"))
-    return salted, repeated.withColumnRenamed("__salt", "__right_salt")
+    salted = _with_parts(left, left_key, hot).withColumn("__salt", _salt()).drop("__parts")
+    known = _with_parts(right.filter(F.col(right_key).isNotNull()), right_key, hot)
+    return salted, known.select("*", _every_salt().alias("__right_salt")).drop("__parts")
 
 
-def left_join_hot_right(left: DataFrame, right: DataFrame, key: str, hot: HotKeys) -> DataFrame:
-    """Left join for hot keys on the right, which must have been found in the right frame itself.
+def left_join_hot_right(left: DataFrame, right: DataFrame, key: str, hot: DataFrame | None) -> DataFrame:
+    """Left join for hot keys on the right.
 
-    The left rows of a hot key are repeated once per salt. A hot key has right
-    rows, so a repeated left row that met none of them is a surplus copy.
+    The left rows of a hot key are repeated once per salt. A repeated left row that met nothing is a surplus copy,
+    unless it is the first and its key has no right rows at all.
     """
-    if not hot.parts:
+    if hot is None:
         return left.join(right, key, "left")
-    salted = right.filter(F.col(key).isNotNull())
-    salted = salted.withColumn("__salt", _salt(salted, hot.parts_of(F.col(key)))).withColumn("__met", F.lit(True))
-    parts = HotKeys(hot.parts).parts_of(F.col(key))
-    repeated = left.withColumn("__parts", parts).select("*", _every_salt(F.col("__parts")).alias("__salt"))
+    salted = _with_parts(right.filter(F.col(key).isNotNull()), key, hot).withColumn("__salt", _salt()).drop("__parts")
+    salted = salted.withColumn("__met", F.lit(True))
+    there = right.select(key).join(hot.filter("hot_key is not null"), right[key] == hot["hot_key"], "left_semi").distinct()
+    sure = hot.join(there, hot["hot_key"] == there[key], "left_semi")
+    repeated = _with_parts(left, key, sure).select("*", _every_salt().alias("__salt"))
     joined = repeated.join(salted, [key, "__salt"], "left").filter("__parts = 1 or __met")
     return joined.drop("__salt", "__parts", "__met")

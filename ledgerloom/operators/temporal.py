@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ledgerloom.operators.dedupe import keep_last
-from ledgerloom.operators.skew import NONE_HOT, HotKeys, spread_left
+from ledgerloom.operators.skew import NONE_HOT, spread_left
 
 VALID_FROM, VALID_TO = "valido_de", "valido_ate"
 
@@ -33,7 +33,7 @@ def attach_version(
     fact_day: str,
     key: str,
     columns: Sequence[str],
-    hot: HotKeys = NONE_HOT,
+    hot: DataFrame | None = NONE_HOT,
 ) -> DataFrame:
     """Columns of the version that was valid on the fact's own day, null where there is none.
 
@@ -49,7 +49,7 @@ def attach_version(
         *columns,
     )
     extra = F.lit(True)
-    if hot:
+    if hot is not None:
         facts, slim = spread_left(facts, slim, fact_key, "__key", hot)
         extra = facts["__salt"] == slim["__right_salt"]
     condition = (facts[fact_key] == slim["__key"]) & covers(facts[fact_day], slim["__from"], slim["__to"])
@@ -63,7 +63,7 @@ def point_in_time_key(
     fact_day: str,
     key: str,
     surrogate: str,
-    hot: HotKeys = NONE_HOT,
+    hot: DataFrame | None = NONE_HOT,
 ) -> DataFrame:
     """Surrogate key of the version valid on the fact's day; all null without a dimension."""
     if versions is None:
@@ -79,10 +79,11 @@ def point_in_time_key_once(
     fact_day: str,
     key: str,
     surrogate: str,
+    hot: DataFrame | None = NONE_HOT,
 ) -> DataFrame:
     """As ``point_in_time_key`` for a dimension whose versions may overlap: the latest start wins."""
     starts = versions.withColumn("__start", F.col(VALID_FROM))
-    matched = attach_version(facts, starts, fact_key, fact_day, key, [surrogate, "__start"])
+    matched = attach_version(facts, starts, fact_key, fact_day, key, [surrogate, "__start"], hot)
     return keep_last(matched, fact_id, ["__start", surrogate]).drop("__start")
 
 
@@ -96,7 +97,7 @@ def versions_from_changes(changes: DataFrame, key: str, day: str) -> DataFrame:
 
 
 def interval_faults(dim: DataFrame, key: str, flag: str = "vigente") -> DataFrame:
-    """Keys whose versions overlap, leave a gap, run backwards or have several current ones.
+    """Keys whose versions overlap, leave a gap, run backwards or have no or several current ones.
 
     Starts count +1 and ends -1. They are summed per key and day first, so the
     running depth only sees one row per key and calendar day however many
@@ -128,4 +129,4 @@ def interval_faults(dim: DataFrame, key: str, flag: str = "vigente") -> DataFram
         F.sum(F.when(F.col(flag), 1).otherwise(0)).alias("current_versions"),
     )
     joined = counts.join(sweep, key, "left").na.fill(0, ["overlaps", "gaps"])
-    return joined.filter("overlaps > 0 or gaps > 0 or inverted > 0 or current_versions > 1")
+    return joined.filter("overlaps > 0 or gaps > 0 or inverted > 0 or current_versions <> 1")
