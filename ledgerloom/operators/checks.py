@@ -8,6 +8,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerloom.functions.calendar import hours_since
+from ledgerloom.session import fresh_path
 
 # Limits of the guards.
 DROP_LIMIT = 0.3
@@ -56,14 +57,18 @@ def failed_slices(status: DataFrame, slice_column: str, error: str) -> DataFrame
     return status.filter(F.col(error).isNotNull()).select(slice_column, error).orderBy(slice_column)
 
 
-def refuse_incomplete(status: DataFrame, slice_column: str, error: str, entity: str, listed: int = 100) -> None:
-    """Raise if any slice failed. The message names the first failures and says how many there are."""
-    failures = failed_slices(status, slice_column, error)
-    first = failures.take(listed)
-    if first:
-        total = len(first) if len(first) < listed else failures.count()
-        detail = "; ".join(f"{row[0]}: {row[1]}" for row in first)
-        raise LoadRefused(f"{total} slice(s) of '{entity}' failed, refusing to write it: {detail}")
+def refuse_incomplete(status: DataFrame, slice_column: str, error: str, entity: str, shown: int = 100) -> None:
+    """Raise if any slice failed. All failures are written as a table, which the message names with their number.
+
+    The message itself shows the first of them.
+    """
+    path = fresh_path(status.sparkSession, f"{entity}-failures")
+    failed_slices(status, slice_column, error).write.parquet(path)
+    failures = status.sparkSession.read.schema(f"`{slice_column}` {status.schema[slice_column].dataType.simpleString()}, `{error}` string").parquet(path)
+    total = failures.count()
+    if total:
+        detail = "; ".join(f"{row[0]}: {row[1]}" for row in failures.orderBy(slice_column).take(shown))
+        raise LoadRefused(f"{total} slice(s) of '{entity}' failed, refusing to write it; all are listed in {path}: {detail}")
 
 
 def table_ages(tables: Mapping[str, tuple[DataFrame, str]], now: datetime) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -10,6 +11,7 @@ from functools import partial
 
 from pyspark.sql import DataFrame, functions as F
 
+from ledgerloom.functions.cleaning import clean_text, split_list
 from ledgerloom.operators import checks, scd2
 from ledgerloom.operators.allocation import allocate_from_text
 from ledgerloom.operators.dedupe import keep_last
@@ -48,11 +50,20 @@ def load_simple_dimension(warehouse: Warehouse, entity: str, batch: DataFrame, r
     checks.refuse_abnormal_drop(arrived, _current_count(warehouse, table, False), entity)
     changes = None
     if entity in E.CODE_LISTS and known is not None:
-        changes = warehouse.land(checks.coverage_diff(known, batch, key, E.CODE_LISTS[entity]), f"{entity}-changes")
+        changes = _coverage(warehouse, entity, known, batch, key)
     warehouse.upsert(table, audit_columns(batch, run.now, run.reference), [key], CREATED_ONCE)
     return changes
 
 
+def _coverage(warehouse: Warehouse, entity: str, known: DataFrame, batch: DataFrame, key: str) -> DataFrame | None:
+    """Changes of a code list. It only informs, so its failure is told and does not stop the load."""
+    try:
+        return warehouse.land(checks.coverage_diff(known, batch, key, E.CODE_LISTS[entity]), f"{entity}-changes")
+    except Exception as error:
+        warnings.warn(f"codes of '{entity}' could not be compared: {error}", stacklevel=2)
+        return None
+
+
 def load_versioned_dimension(warehouse: Warehouse, entity: str, batch: DataFrame, run: Run) -> None:
     """Guarded Type 2 load of one dimension."""
     table, key, surrogate, monitored = E.VERSIONED_DIMENSIONS[entity]
@@ -135,7 +146,9 @@ def load_snapshot(warehouse: Warehouse, delinquency: DataFrame, run: Run) -> Non
 
 def backfill_bridge(warehouse: Warehouse, run: Run) -> None:
     """Rebuild the bridge from the vehicles stored as text with each invoice."""
-    rebuilt = allocate_from_text(warehouse.read(FACTS), "codigo_boleto", "veiculo", "valor_boleto")
+    codes = F.array_join(F.transform(split_list(F.col("veiculo")), clean_text), ",")
+    facts = warehouse.read(FACTS).withColumn("veiculo", codes)
+    rebuilt = warehouse.land(allocate_from_text(facts, "codigo_boleto", "veiculo", "valor_boleto"), "bridge")
     load_bridge(warehouse, rebuilt, run)
 
 
@@ -149,12 +162,20 @@ def initial_load(warehouse: Warehouse, history: DataFrame, run: Run, order: Sequ
 
 
 def daily_run(
-    warehouse: Warehouse, raw: Mapping[str, DataFrame], lookup: DataFrame, run: Run, order: Sequence[str]
+    warehouse: Warehouse,
+    raw: Mapping[str, DataFrame],
+    lookup: DataFrame,
+    run: Run,
+    order: Sequence[str],
+    status: Mapping[str, DataFrame] | None = None,
 ) -> dict[str, DataFrame]:
-    """Transform every entity, then load dimensions, facts, bridge and snapshot in that order.
+    """Transform every entity, load dimensions, facts, bridge and snapshot in that order, then refresh the views.
 
-    Each transformed table is landed once, since its load reads it several times.
+    Each transformed table is landed once, since its load reads it several times. With ``status``, a frame of slice
+    and error for each extraction by entity, no entity with a failed slice is loaded, nor any other.
     """
+    for entity, slices in (status or {}).items():
+        checks.refuse_incomplete(slices, "slice", "error", entity)
     processed = {
         "statuses": T.transform_statuses(raw["statuses"], order),
         "invoice_statuses": T.transform_invoice_statuses(raw["invoice_statuses"], order),
@@ -170,17 +191,18 @@ def daily_run(
     for failure in failures.values():
         raise failure
     invoices, bridge = T.invoice_tables(landed["invoices"], run.reference)
+    bridge = warehouse.land(bridge, "bridge")
     changes = load_dimensions(warehouse, landed, run)
     load_facts(warehouse, invoices, run)
     load_bridge(warehouse, bridge, run)
     load_snapshot(warehouse, landed["delinquency"], run)
+    register_views(warehouse)
     return changes
 
 
-def register_views(warehouse: Warehouse, prefix: str = "") -> list[str]:
-    """The four reporting views over the current tables."""
-    tables = ["dim_customers", "dim_vehicles", SNAPSHOT, BRIDGE]
-    return create_views({table: warehouse.read(table) for table in tables}, prefix)
+def register_views(warehouse: Warehouse) -> list[str]:
+    """The four reporting views in the warehouse's catalog; they read what the tables hold when they are read."""
+    return create_views(warehouse.spark, warehouse.database)
 
 
 def warehouse_ages(warehouse: Warehouse, now: datetime) -> DataFrame:

@@ -109,9 +109,10 @@ def invoice_tables(clean: DataFrame, reference: date) -> tuple[DataFrame, DataFr
     """Invoices with their rules applied, and the allocation of each to its vehicles.
 
     One row per invoice is left after the clean-up, so the allocation needs no
-    shuffle of its own.
+    shuffle of its own. Vehicle codes are cleaned as those of the dimension are, so the two join.
     """
-    bridge = allocate_unique(clean, "codigo_boleto", "veiculo", "valor_boleto")
+    codes = clean.withColumn("veiculo", F.transform(F.col("veiculo").cast("array<string>"), clean_text))
+    bridge = allocate_unique(codes, "codigo_boleto", "veiculo", "valor_boleto")
     return apply_invoice_rules(clean.withColumn("veiculo", join_list(F.col("veiculo"))), reference), bridge
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app_name: str = "ledgerloom", cores: str = "*", shuffle_partitions: int = 8) -> SparkSession:
-    """A local session for tests and benches; on a cluster use the session you are given."""
+    """A local session for tests and benches, with a folder of its own; on a cluster use the session you are given."""
     return (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app_name)
@@ -19,24 +19,15 @@ def build_session(app_name: str = "ledgerloom", cores: str = "*", shuffle_partit
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "16g")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="ledgerloom-"))
         .getOrCreate()
     )
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach, as the cluster names it in ``spark.checkpoint.dir``.
-
-    Only a local session may fall back to a fresh temporary folder: there all
-    executors live in this one process.
-    """
+    """Folder every executor can reach, as the cluster names it in ``spark.checkpoint.dir``; else one in the warehouse."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
-    fallback = tempfile.mkdtemp(prefix="ledgerloom-")
-    spark.conf.set("spark.checkpoint.dir", fallback)
-    return fallback
+    return (configured or f"{spark.conf.get('spark.sql.warehouse.dir')}/settled").rstrip("/")
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:

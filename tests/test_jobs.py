@@ -85,8 +85,8 @@ def test_days_and_rerun(spark, loaded):
     assert customers.count() == 3 and customers.select("sk_customer").distinct().count() == 3
 
     bridge = {(r.codigo_boleto, r.codigo_veiculo): r for r in warehouse.read(jobs.BRIDGE).collect()}
-    assert set(bridge) == {("1", "V1"), ("1", "V2"), ("1", "V3"), ("25", "V1")}
-    assert bridge["1", "V2"].criado_em == DAY1.now and bridge["1", "V3"].criado_em == DAY2.now
+    assert set(bridge) == {("1", "v1"), ("1", "v2"), ("1", "v3"), ("25", "v1")}
+    assert bridge["1", "v2"].criado_em == DAY1.now and bridge["1", "v3"].criado_em == DAY2.now
 
     snapshot = warehouse.read(jobs.SNAPSHOT)
     assert sorted((r.codigo_boleto, r.dt_referencia) for r in snapshot.collect()) == [("1", DAY1.reference), ("1", DAY2.reference)]
@@ -97,20 +97,38 @@ def test_days_and_rerun(spark, loaded):
 
 def test_views(spark, loaded):
     warehouse, _ = loaded
-    names = jobs.register_views(warehouse, "t_")
-    assert len(names) == 4
-    current, then = spark.table("t_vw_delinquency_by_vehicle_atual"), spark.table("t_vw_delinquency_by_vehicle_historico")
+    # The views stand since day 1 and show what was loaded on day 2.
+    view = lambda name: spark.table(f"{warehouse.database}.{name}")
+    current, then = view("vw_delinquency_by_vehicle_atual"), view("vw_delinquency_by_vehicle_historico")
     assert len(current.columns) == 16 and set(then.columns) - set(current.columns) == {"sk_vehicle"}
-    # Vehicle codes of the bridge are kept as the source wrote them, those of the dimension are lowered.
-    assert current.filter("codigo_voluntario is not null").count() == 0
-    lowered = warehouse.read(jobs.BRIDGE).withColumn("codigo_veiculo", F.lower("codigo_veiculo"))
+    owners = lambda df: {(r.dt_referencia, r.codigo_veiculo): r.codigo_voluntario for r in df.collect()}
+    assert owners(current)[DAY1.reference, "v1"] == "20" and owners(current)[DAY2.reference, "v2"] == "10"
+    assert owners(then)[DAY1.reference, "v1"] == "10"
+    assert owners(then)[DAY2.reference, "v1"] == "20"
     from ledgerloom.operators.views import by_current_owner, by_owner_at_snapshot
 
-    snapshot, vehicles = warehouse.read(jobs.SNAPSHOT), warehouse.read("dim_vehicles")
-    owners = lambda df: {(r.dt_referencia, r.codigo_veiculo): r.codigo_voluntario for r in df.collect()}
-    assert owners(by_current_owner(snapshot, lowered, vehicles))[DAY1.reference, "v1"] == "20"
-    assert owners(by_owner_at_snapshot(snapshot, lowered, vehicles))[DAY1.reference, "v1"] == "10"
-    assert owners(by_owner_at_snapshot(snapshot, lowered, vehicles))[DAY2.reference, "v1"] == "20"
+    snapshot, vehicles, bridge = warehouse.read(jobs.SNAPSHOT), warehouse.read("dim_vehicles"), warehouse.read(jobs.BRIDGE)
+    order = lambda df: sorted(map(str, df.select(*sorted(current.columns)).collect()))
+    assert order(by_current_owner(snapshot, bridge, vehicles)) == order(current)
+    assert order(by_owner_at_snapshot(snapshot, bridge, vehicles)) == order(then)
+    before = view("dim_vehicles_current").count()
+    warehouse.replace("dim_vehicles", vehicles.filter("codigo_veiculo <> 'v2'"))
+    assert view("dim_vehicles_current").count() == before - 1
+    warehouse.replace("dim_vehicles", vehicles)
+
+
+def test_a_failed_slice_stops_the_day(spark, warehouse):
+    status = {"vehicles": spark.createDataFrame([(1, None), (2, "ReadTimeout")], "slice int, error string")}
+    with pytest.raises(checks.LoadRefused, match="1 slice.*2: ReadTimeout"):
+        jobs.daily_run(warehouse, sources(spark, 1), spark.createDataFrame([("1", "x")], "a string, b string"), DAY1, ORDER, status)
+
+
+def test_a_failing_code_comparison_does_not_stop_the_load(spark, warehouse):
+    first = spark.createDataFrame([("1", "x")], "codigo_situacao_boleto string, descricao_situacao_boleto string")
+    jobs.load_simple_dimension(warehouse, "invoice_statuses", first, DAY1)
+    with pytest.warns(UserWarning, match="could not be compared"):
+        assert jobs.load_simple_dimension(warehouse, "invoice_statuses", first.drop("descricao_situacao_boleto"), DAY2) is None
+    assert warehouse.read("dim_status_invoice").count() == 1
 
 
 def test_ages_and_backfill(spark, loaded):
@@ -123,9 +141,9 @@ def test_ages_and_backfill(spark, loaded):
 
 def test_bridge_can_drop_vehicles_that_left(spark, loaded):
     warehouse, _ = loaded
-    batch = spark.createDataFrame([("1", "V3", 1, 300.0)], "codigo_boleto string, codigo_veiculo string, qtd_veiculos_boleto bigint, valor_rateado double")
+    batch = spark.createDataFrame([("1", "v3", 1, 300.0)], "codigo_boleto string, codigo_veiculo string, qtd_veiculos_boleto bigint, valor_rateado double")
     jobs.load_bridge(warehouse, batch, DAY2, whole_parents=True)
-    assert sorted((r.codigo_boleto, r.codigo_veiculo) for r in warehouse.read(jobs.BRIDGE).collect()) == [("1", "V3"), ("25", "V1")]
+    assert sorted((r.codigo_boleto, r.codigo_veiculo) for r in warehouse.read(jobs.BRIDGE).collect()) == [("1", "v3"), ("25", "v1")]
 
 
 def test_empty_snapshot_clears_its_day(spark, loaded):

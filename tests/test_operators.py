@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.operators import allocation, checks, dedupe, running, shaping, temporal, upsert
-from ledgerloom.operators.lookup import broadcast_if_small, lookup_join
+from ledgerloom.operators.lookup import lookup_join
 
 NOW, REF = datetime(2026, 7, 17, 3), date(2026, 7, 17)
 
@@ -178,7 +178,7 @@ def test_interval_faults(spark):
     ]
     dim = spark.createDataFrame(data, "k string, valido_de date, valido_ate date, vigente boolean")
     found = {r.k: r for r in temporal.interval_faults(dim, "k").collect()}
-    assert set(found) == {"overlap", "gap", "backwards", "two"}
+    assert set(found) == {"closed", "overlap", "gap", "backwards", "two"} and found["closed"].current_versions == 0
     assert found["overlap"].overlaps == 1 and found["overlap"].gaps == 0
     assert found["gap"].gaps == 1 and found["gap"].overlaps == 0
     assert found["backwards"].inverted == 1 and found["two"].current_versions == 2
@@ -275,8 +275,10 @@ def test_completeness(spark):
     failed = spark.createDataFrame([(17, "ReadTimeout"), (2, "ConnectionError"), (3, None)], kind)
     with pytest.raises(checks.LoadRefused, match="2 slice.*2: ConnectionError; 17: ReadTimeout"):
         checks.refuse_incomplete(failed, "slice", "error", "vehicles")
-    with pytest.raises(checks.LoadRefused, match="2 slice.*2: ConnectionError$"):
-        checks.refuse_incomplete(failed, "slice", "error", "vehicles", listed=1)
+    with pytest.raises(checks.LoadRefused, match="2 slice.*2: ConnectionError$") as refused:
+        checks.refuse_incomplete(failed, "slice", "error", "vehicles", shown=1)
+    path = str(refused.value).split("listed in ")[1].split(": 2:")[0]
+    assert rows(spark.read.parquet(path), "slice") == [(2, "ConnectionError"), (17, "ReadTimeout")]
 
 
 def test_freshness(spark):
@@ -302,6 +304,3 @@ def test_lookup_join(spark):
     df = spark.createDataFrame([("1",), ("9",)], "code string")
     lookup = spark.createDataFrame([("1", "Ativo")], "code string, description string")
     assert rows(lookup_join(df, lookup, "code"), "code") == [("1", "Ativo"), ("9", None)]
-    hinted = lambda frame: "broadcast" in frame._jdf.queryExecution().logical().toString().lower()
-    big = spark.range(50)
-    assert hinted(broadcast_if_small(big, 50)) and not hinted(broadcast_if_small(big, 49))
