@@ -41,7 +41,8 @@ LEFT JOIN overlapping h ON h.part = f.customer AND f.emission >= h.valido_de AND
 def pit_join_dedupe(spark, sf):
     versions = I.history(spark, sf).withColumn("valido_ate", F.date_add("valido_ate", 30))
     facts = I.invoices(spark, sf).select("boleto", "customer", "emission")
-    return point_in_time_key_once(facts, versions, ["boleto"], "customer", "emission", "part", "sk")
+    hot = hot_keys(facts, "customer")
+    return point_in_time_key_once(facts, versions, ["boleto"], "customer", "emission", "part", "sk", hot)
 
 
 @query("series_align", _with_sql("history", FACT_SQL, f"""
@@ -137,26 +138,39 @@ def overdue_by_owner(spark, sf):
     )
 
 
-@query("create_views", _with_sql("invoices billed bridge history", SNAPSHOT_SQL, """
-SELECT 'dim_customers_current' AS view_name, count(*) AS row_count FROM vehicles WHERE valido_ate IS NULL
-UNION ALL SELECT 'dim_vehicles_current', count(*) FROM vehicles WHERE valido_ate IS NULL
-UNION ALL SELECT 'vw_delinquency_by_vehicle_atual', count(*) FROM snapshot f LEFT JOIN bridge b ON b.boleto = f.codigo_boleto
-UNION ALL SELECT 'vw_delinquency_by_vehicle_historico', count(*) FROM snapshot f LEFT JOIN bridge b ON b.boleto = f.codigo_boleto"""))
+_VIEW_OUTPUT = """
+SELECT '{name}' AS view_name, count(*) AS row_count, count(codigo_voluntario) AS owners, count(DISTINCT codigo_voluntario) AS distinct_owners,
+       round(sum({value}), 2) AS total FROM ({source})"""
+
+
+@query("create_views", _with_sql("invoices billed bridge history", SNAPSHOT_SQL, " UNION ALL ".join([
+    *(_VIEW_OUTPUT.format(name=name, value="CAST(codigo_veiculo AS DOUBLE)", source="SELECT owner AS codigo_voluntario, part AS codigo_veiculo FROM vehicles WHERE valido_ate IS NULL")
+      for name in ("dim_customers_current", "dim_vehicles_current")),
+    _VIEW_OUTPUT.format(name="vw_delinquency_by_vehicle_atual", value="valor_rateado", source=VIEW_SQL.format(key="", match="v.valido_ate IS NULL")),
+    _VIEW_OUTPUT.format(name="vw_delinquency_by_vehicle_historico", value="valor_rateado", source=VIEW_SQL.format(
+        key="v.sk AS sk_vehicle,", match="f.dt_referencia >= v.valido_de AND (v.valido_ate IS NULL OR f.dt_referencia < v.valido_ate)"))])))
 def create_views(spark, sf):
+    warehouse = I.new_warehouse(spark, "views")
+    # The views are made over empty tables: what they show must be what is loaded afterwards.
     tables = {
         "fact_delinquency_snapshot": snapshot(spark, sf),
         "bridge_invoices_vehicles": _stored_bridge(spark, sf)[0],
         "dim_customers": vehicles(spark, sf),
         "dim_vehicles": vehicles(spark, sf),
     }
-    names = views.create_views(tables, "catalog_")
-    counts = [
-        spark.table(name).agg(F.count("*").alias("row_count")).select(
-            F.lit(name.removeprefix("catalog_")).alias("view_name"), "row_count"
-        )
-        for name in names
-    ]
-    return append(*counts)
+    for name, frame in tables.items():
+        warehouse.replace(name, frame.limit(0))
+    names = views.create_views(spark, warehouse.database)
+    for name, frame in tables.items():
+        warehouse.replace(name, frame)
+    shown = []
+    for name in names:
+        value = "valor_rateado" if name.startswith("vw_") else "codigo_veiculo"
+        shown.append(spark.table(f"{warehouse.database}.{name}").agg(
+            F.lit(name).alias("view_name"), F.count("*").alias("row_count"), F.count("codigo_voluntario").alias("owners"),
+            F.count_distinct("codigo_voluntario").alias("distinct_owners"), F.round(F.sum(F.col(value).cast("double")), 2).alias("total"),
+        ).select("view_name", "row_count", "owners", "distinct_owners", "total"))
+    return append(*shown)
 
 
 def _dim_and_batch(spark, sf):
@@ -208,10 +222,11 @@ def max_valid_to(spark, sf):
 
 
 @query("lookup_join", """
-SELECT e.event_id, u.c_name AS description FROM events e LEFT JOIN customer u ON u.c_custkey = e.user_id AND u.c_acctbal >= 0""")
+SELECT e.event_id, u.c_name AS description FROM events e LEFT JOIN (SELECT CASE WHEN c_acctbal < 0 THEN -c_custkey ELSE c_custkey END AS c_custkey, c_name FROM customer) u ON u.c_custkey = e.user_id""")
 def lookup(spark, sf):
-    known = I.table(spark, sf, "customer").filter("c_acctbal >= 0")
-    codes = known.select(F.col("c_custkey").alias("user_id"), F.col("c_name").alias("description"))
+    known = I.table(spark, sf, "customer")
+    code = F.when(F.col("c_acctbal") < 0, -F.col("c_custkey")).otherwise(F.col("c_custkey"))
+    codes = known.select(code.alias("user_id"), F.col("c_name").alias("description"))
     events = I.table(spark, sf, "events").select("event_id", "user_id")
     return lookup_join(events, codes, "user_id").select("event_id", "description")
 

@@ -214,10 +214,10 @@ def allocation_check(spark, sf):
 
 @query("allocation_faults", I.with_sql("billed bridge", """
 SELECT b.boleto, round(sum(share), 2) AS allocated FROM bridge b JOIN orders ON o_orderkey = b.boleto
-WHERE o_orderpriority <> '1-URGENT' GROUP BY b.boleto, o_totalprice HAVING abs(sum(share) - o_totalprice * 0.9) >= 0.01"""))
+GROUP BY b.boleto, o_totalprice HAVING abs(sum(share) - o_totalprice * 0.9) >= 0.01"""))
 def allocation_faults(spark, sf):
     """Invoices billed ten percent less than was allocated must all be found."""
-    orders = I.table(spark, sf, "orders").filter("o_orderpriority <> '1-URGENT'")
+    orders = I.table(spark, sf, "orders")
     billed = orders.select(F.col("o_orderkey").alias("boleto"), (F.col("o_totalprice") * 0.9).alias("billed"))
     faults = checks.allocation_faults(bridge(spark, sf), billed, "boleto", "share", "billed")
     return faults.select("boleto", F.round("allocated", 2).alias("allocated"))
@@ -236,16 +236,14 @@ def drop_guard(spark, sf):
 
 
 _CODES = """
-known AS (SELECT DISTINCT l_suppkey AS code, 'S' || l_suppkey AS description FROM lineitem WHERE l_quantity >= 49.5 AND l_returnflag = 'R' AND l_discount < 0.03),
-incoming AS (SELECT DISTINCT l_suppkey AS code, 'S' || l_suppkey AS description FROM lineitem WHERE l_quantity < 1.5 AND l_returnflag = 'N' AND l_discount < 0.03)"""
+known AS (SELECT DISTINCT l_suppkey AS code, 'S' || l_suppkey AS description FROM lineitem),
+incoming AS (SELECT DISTINCT CASE WHEN l_suppkey % 9 = 0 THEN -l_suppkey ELSE l_suppkey END AS code, 'S' || l_suppkey AS description FROM lineitem)"""
 
 
 def _codes(spark, sf):
-    def codes(condition):
-        chosen = I.table(spark, sf, "lineitem").filter(condition)
-        return chosen.select(F.col("l_suppkey").alias("code"), F.expr("'S' || l_suppkey").alias("description")).distinct()
-
-    return codes("l_quantity >= 49.5 and l_returnflag = 'R' and l_discount < 0.03"), codes("l_quantity < 1.5 and l_returnflag = 'N' and l_discount < 0.03")
+    """All supplier codes, and the same with every ninth one renamed."""
+    lines = I.table(spark, sf, "lineitem").select(F.col("l_suppkey").alias("code"), F.expr("'S' || l_suppkey").alias("description")).distinct()
+    return lines, lines.withColumn("code", F.expr("CASE WHEN code % 9 = 0 THEN -code ELSE code END"))
 
 
 _DIFF = f"""WITH {_CODES}
@@ -285,9 +283,9 @@ def key_unique(spark, sf):
 
 
 @query("fk_orphans", """
-SELECT o_custkey, count(*) AS occurrences FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal >= 0) GROUP BY 1""")
+SELECT o_custkey, count(*) AS occurrences FROM orders WHERE o_custkey NOT IN (SELECT CASE WHEN c_acctbal < 0 THEN -c_custkey ELSE c_custkey END FROM customer) GROUP BY 1""")
 def fk_orphans(spark, sf):
-    known = I.table(spark, sf, "customer").filter("c_acctbal >= 0")
+    known = I.table(spark, sf, "customer").select(F.expr("CASE WHEN c_acctbal < 0 THEN -c_custkey ELSE c_custkey END").alias("c_custkey"))
     return checks.orphans(I.table(spark, sf, "orders"), "o_custkey", known, "c_custkey")
 
 
@@ -296,14 +294,17 @@ def fk_orphans(spark, sf):
 fixed AS (SELECT part, valido_de, CASE WHEN valido_ate IS NOT NULL THEN valido_de + 60 END AS valido_ate,
                  lead(valido_de) OVER (PARTITION BY part ORDER BY valido_de) AS next_start FROM history),
 reach AS (SELECT *, max(COALESCE(valido_ate, DATE '9999-01-01')) OVER (PARTITION BY part ORDER BY valido_de) AS reached FROM fixed)
-SELECT part, count(CASE WHEN next_start < reached THEN 1 END) > 0 AS overlapping, count(CASE WHEN next_start > reached THEN 1 END) AS gaps
-FROM reach GROUP BY part HAVING count(CASE WHEN next_start <> reached THEN 1 END) > 0""")
+SELECT part, count(CASE WHEN next_start < reached THEN 1 END) > 0 AS overlapping, count(CASE WHEN next_start > reached THEN 1 END) AS gaps,
+       CAST(0 AS BIGINT) AS inverted, CAST(CASE WHEN part % 7 = 0 THEN 0 ELSE 1 END AS BIGINT) AS current_versions
+FROM reach GROUP BY part HAVING count(CASE WHEN next_start <> reached THEN 1 END) > 0 OR part % 7 = 0""")
 def interval_health(spark, sf):
     last = F.col("valido_ate").isNull()
     fixed = I.history(spark, sf).select(
-        "part", "valido_de", F.when(~last, F.date_add("valido_de", 60)).alias("valido_ate"), last.alias("vigente")
+        "part", "valido_de", F.when(~last, F.date_add("valido_de", 60)).alias("valido_ate"),
+        (last & (F.col("part") % 7 != 0)).alias("vigente"),
     )
-    return interval_faults(fixed, "part").select("part", (F.col("overlaps") > 0).alias("overlapping"), "gaps")
+    found = interval_faults(fixed, "part")
+    return found.select("part", (F.col("overlaps") > 0).alias("overlapping"), "gaps", "inverted", "current_versions")
 
 
 # --- entity transforms -------------------------------------------------------------------------
