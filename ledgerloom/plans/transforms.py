@@ -14,7 +14,7 @@ from ledgerloom.functions.cleaning import (
 from ledgerloom.operators.allocation import allocate_unique
 from ledgerloom.operators.dedupe import keep_first
 from ledgerloom.operators.lookup import lookup_join
-from ledgerloom.operators.shaping import drop, drop_empty_rows, normalise_names, null_where, rename, require
+from ledgerloom.operators.shaping import drop, normalise_names, null_where, rename, require
 from ledgerloom.plans import entities as E
 
 
@@ -22,7 +22,8 @@ def conform(df: DataFrame, entity: E.Entity, order: Sequence[str]) -> DataFrame:
     """Apply an entity's column rules, keep the first row per key, drop empty rows.
 
     ``order`` names the columns that give the ingest order; they are not part of
-    the result. All casts are one projection, so they run fused with the scan.
+    the result. Only the key is cleaned before the dedupe; the other rules are
+    applied once to the rows that stay.
     """
     df = drop(rename(normalise_names(df), entity.renamed), entity.dropped)
     require(df, [*entity.text, *entity.days, *entity.numbers, *order])
@@ -30,12 +31,18 @@ def conform(df: DataFrame, entity: E.Entity, order: Sequence[str]) -> DataFrame:
     ranked = {f"__order_{i}": F.col(name) for i, name in enumerate(order)}
     internal = [name for name in order if name.startswith("__")]
     rules = {name: clean_text(F.col(name)) for name in entity.text}
-    rules |= {name: clean_date(F.col(name)) for name in entity.days}
-    rules |= {name: clean_number(F.col(name), kind) for name, kind in entity.numbers.items()}
-    # The dedupe stands between the rules and the filter on purpose: pushed through the rules, a
-    # filter on all columns would hold every rule again, and planning grows beyond all bounds.
-    first = keep_first(df.withColumns(ranked).withColumns(rules), [entity.key], list(ranked))
-    return drop_empty_rows(first.drop(*ranked, *internal))
+    typed = {name: clean_date(F.col(name)) for name in entity.days}
+    typed |= {name: clean_number(F.col(name), kind) for name, kind in entity.numbers.items()}
+    first = keep_first(df.withColumns({**ranked, "__key": rules[entity.key]}), ["__key"], list(ranked))
+    # A row is empty if it is so after cleaning. Said of the raw columns, as far as these decide it, the filter does
+    # not hold every rule again.
+    plain = [name for name in df.columns if name not in typed and name not in internal and name != entity.key]
+    filled = F.col("__key").isNotNull()
+    for value in [*(F.col(name) for name in plain), *typed.values()]:
+        filled = filled | value.isNotNull()
+    rules |= typed
+    rules[entity.key] = F.col("__key")
+    return first.filter(filled).withColumns(rules).drop(*ranked, *internal, "__key")
 
 
 def transform_customers(raw: DataFrame, statuses: DataFrame, reference: date, order: Sequence[str]) -> DataFrame:
