@@ -10,8 +10,9 @@ from datetime import date, datetime
 from functools import partial
 
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import StructType
 
-from ledgerloom.functions.cleaning import clean_text, split_list
+from ledgerloom.functions.cleaning import clean_date, clean_text, split_list
 from ledgerloom.operators import checks, scd2
 from ledgerloom.operators.allocation import allocate_from_text
 from ledgerloom.operators.dedupe import keep_last
@@ -21,6 +22,8 @@ from ledgerloom.operators.upsert import audit_columns
 from ledgerloom.operators.views import create_views
 from ledgerloom.plans import entities as E, transforms as T
 from ledgerloom.plans.warehouse import Warehouse
+from ledgerloom.sources.landed import INGEST_ORDER, read_records
+from ledgerloom.sources.windows import incremental_windows, merge_windows
 
 FACTS, BRIDGE, SNAPSHOT = "fact_invoices", "bridge_invoices_vehicles", "fact_delinquency_snapshot"
 BRIDGE_KEYS = ["codigo_boleto", "codigo_veiculo"]
@@ -152,11 +155,19 @@ def backfill_bridge(warehouse: Warehouse, run: Run) -> None:
     load_bridge(warehouse, rebuilt, run)
 
 
-def initial_load(warehouse: Warehouse, history: DataFrame, run: Run, order: Sequence[str]) -> None:
-    """All months at once: the last record per invoice wins, then the same rules and loads as every day."""
+def initial_load(
+    warehouse: Warehouse, history: DataFrame, run: Run, order: Sequence[str], status: DataFrame | None = None
+) -> None:
+    """All months at once: the last record per invoice wins, then the same rules and loads as every day.
+
+    ``status`` holds slice and error of each month's extraction; nothing is loaded if one failed.
+    """
+    if status is not None:
+        checks.refuse_incomplete(status, "slice", "error", "invoices")
     latest = keep_last(history, ["codigo_boleto"], order)
     clean = warehouse.land(T.clean_invoices(latest, order), "initial-invoices")
     invoices, bridge = T.invoice_tables(clean, run.reference)
+    bridge = warehouse.land(bridge, "initial-bridge")
     warehouse.upsert_ranges(FACTS, _with_customer_key(warehouse, invoices), ["codigo_boleto"])
     load_bridge(warehouse, bridge, run)
 
@@ -200,6 +211,28 @@ def daily_run(
     return changes
 
 
+def invoices_of_the_day(landed: DataFrame, run: Run, order: Sequence[str]) -> DataFrame:
+    """Landed invoices in a window by emission, payment or due day; the last window and record of each wins."""
+    days = {"__emission": "data_emissao", "__payment": "data_pagamento", "__due": "data_vencimento"}
+    dated = landed.withColumns({name: clean_date(F.col(source)) for name, source in days.items()})
+    hits = incremental_windows(dated, run.reference, *days)
+    return merge_windows(hits, "codigo_boleto", list(order)).drop("window", "window_rank", *days)
+
+
+def daily_pipeline(
+    warehouse: Warehouse,
+    landing: str,
+    schemas: Mapping[str, StructType | str],
+    lookup: DataFrame,
+    run: Run,
+    status: Mapping[str, DataFrame] | None = None,
+) -> dict[str, DataFrame]:
+    """``daily_run`` over a landing folder with a folder of JSON records for each entity, read in ingest order."""
+    raw = {name: read_records(warehouse.spark, f"{landing}/{name}", kind, ordered=True) for name, kind in schemas.items()}
+    raw["invoices"] = invoices_of_the_day(raw["invoices"], run, INGEST_ORDER)
+    return daily_run(warehouse, raw, lookup, run, INGEST_ORDER, status)
+
+
 def register_views(warehouse: Warehouse) -> list[str]:
     """The four reporting views in the warehouse's catalog; they read what the tables hold when they are read."""
     return create_views(warehouse.spark, warehouse.database)

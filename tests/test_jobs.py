@@ -117,6 +117,20 @@ def test_views(spark, loaded):
     warehouse.replace("dim_vehicles", vehicles)
 
 
+def test_a_day_from_its_landing_folder(spark, warehouse, tmp_path):
+    day = sources(spark, 1)
+    for entity, df in day.items():
+        df.coalesce(1).write.json(str(tmp_path / "landing" / entity))
+    lookup = spark.createDataFrame([("1", "Ativo")], "codigo_situacao string, descricao_situacao string")
+    jobs.daily_pipeline(warehouse, str(tmp_path / "landing"), {entity: df.schema for entity, df in day.items()}, lookup, DAY1)
+    facts = {r.codigo_boleto: r for r in warehouse.read(jobs.FACTS).collect()}
+    # The second record of invoice 25 has no day, so it is in no window.
+    assert set(facts) == {"1", "25"} and facts["25"].valor_boleto == 100.0 and facts["1"].dias_em_atraso == 20
+    assert {"__file", "__row", "window"} & set(warehouse.read(jobs.FACTS).columns) == set()
+    late = Run(date(2026, 12, 1), datetime(2026, 12, 1, 3))
+    assert jobs.invoices_of_the_day(day["invoices"], late, ORDER).count() == 0
+
+
 def test_a_failed_slice_stops_the_day(spark, warehouse):
     status = {"vehicles": spark.createDataFrame([(1, None), (2, "ReadTimeout")], "slice int, error string")}
     with pytest.raises(checks.LoadRefused, match="1 slice.*2: ReadTimeout"):
