@@ -579,14 +579,7 @@ def initial_load(spark, sf):
     return facts.join(parts, "codigo_boleto", "left")
 
 
-@query("daily_run", """
-SELECT 'dim_customers' AS table_name, count(*) AS row_count FROM customer UNION ALL SELECT 'dim_vehicles', count(*) FROM part
-UNION ALL SELECT t, count(*) FROM supplier, (VALUES ('dim_cooperatives'), ('dim_regionals'), ('dim_volunteers')) d(t) GROUP BY t
-UNION ALL SELECT t, count(*) FROM part, (VALUES ('dim_status'), ('dim_status_invoice')) d(t) GROUP BY t
-UNION ALL SELECT 'fact_invoices', count(*) FROM orders
-UNION ALL SELECT 'bridge_invoices_vehicles', CAST(sum(CASE o_orderstatus WHEN 'F' THEN 2 WHEN 'O' THEN 1 ELSE 0 END) AS BIGINT) FROM orders
-UNION ALL SELECT 'fact_delinquency_snapshot', 2 * count(*) FROM orders""")
-def daily_run(spark, sf):
+def _two_days(spark, sf):
     """Two days of the whole load; the second changes nothing but stamps and adds a snapshot day."""
     warehouse = I.new_warehouse(spark, "daily")
     structs = F.expr("array(named_struct('codigo_cooperativa', codigo_voluntario))")
@@ -603,9 +596,40 @@ def daily_run(spark, sf):
     }
     for run in (DAY1, DAY2):
         jobs.daily_run(warehouse, raw, _lookup(spark, sf), run, ORDER)
+    return warehouse
+
+
+@query("daily_run", """
+SELECT 'dim_customers' AS table_name, count(*) AS row_count FROM customer UNION ALL SELECT 'dim_vehicles', count(*) FROM part
+UNION ALL SELECT t, count(*) FROM supplier, (VALUES ('dim_cooperatives'), ('dim_regionals'), ('dim_volunteers')) d(t) GROUP BY t
+UNION ALL SELECT t, count(*) FROM part, (VALUES ('dim_status'), ('dim_status_invoice')) d(t) GROUP BY t
+UNION ALL SELECT 'fact_invoices', count(*) FROM orders
+UNION ALL SELECT 'bridge_invoices_vehicles', CAST(sum(CASE o_orderstatus WHEN 'F' THEN 2 WHEN 'O' THEN 1 ELSE 0 END) AS BIGINT) FROM orders
+UNION ALL SELECT 'fact_delinquency_snapshot', 2 * count(*) FROM orders""")
+def daily_run(spark, sf):
+    warehouse = _two_days(spark, sf)
     tables = [spec[0] for spec in (*E.SIMPLE_DIMENSIONS.values(), *E.VERSIONED_DIMENSIONS.values())]
     result = None
     for table in [*tables, jobs.FACTS, jobs.BRIDGE, jobs.SNAPSHOT]:
         counted = checks.row_count(warehouse.read(table)).select(F.lit(table).alias("table_name"), "row_count")
         result = counted if result is None else result.unionByName(counted)
     return result
+
+
+@query("daily_pipeline", _invoice_sql(f""", bridge AS ({_BRIDGE_ROWS}),
+facts AS (SELECT *, {BUCKET_SQL.format('dias_em_atraso')} AS faixa_atraso,
+  {STATUS_SQL.format(flag='pago', paid='valor_pagamento', billed='valor_boleto')} AS status_pagamento, valor_pagamento - valor_boleto AS diferenca_pagamento
+  FROM (SELECT {_CLEAN_COLUMNS}, CASE WHEN pago = 'y' THEN NULL ELSE {_OVERDUE} END AS dias_em_atraso FROM clean))
+SELECT f.codigo_boleto, f.valor_boleto, f.dias_em_atraso, f.faixa_atraso, f.status_pagamento, f.diferenca_pagamento,
+       count(b.codigo_veiculo) AS vehicles, round(sum(b.valor_rateado), 2) AS allocated
+FROM facts f LEFT JOIN bridge b ON b.codigo_boleto = f.codigo_boleto GROUP BY ALL"""))
+def daily_pipeline(spark, sf):
+    """The values that two days leave: each invoice as loaded, with what was allocated to its vehicles."""
+    warehouse = _two_days(spark, sf)
+    parts = warehouse.read(jobs.BRIDGE).groupBy("codigo_boleto").agg(
+        F.count("codigo_veiculo").alias("vehicles"), F.round(F.sum("valor_rateado"), 2).alias("allocated")
+    )
+    facts = warehouse.read(jobs.FACTS).join(parts, "codigo_boleto", "left").na.fill(0, ["vehicles"])
+    return facts.select(
+        "codigo_boleto", "valor_boleto", "dias_em_atraso", "faixa_atraso", "status_pagamento", "diferenca_pagamento", "vehicles", "allocated"
+    )
