@@ -87,10 +87,10 @@ def page_total_check(spark, sf):
 @query("pages_behind_stop", I.with_sql("paged", """
 SELECT c.slice, last_page, count(*) AS pages_behind, CAST(sum(n) AS BIGINT) AS records_behind
 FROM counted c JOIN (SELECT c.slice, min(page) AS last_page FROM counted c JOIN declared d ON d.slice = c.slice
-                     WHERE n < 60 OR seen >= total GROUP BY c.slice) s ON s.slice = c.slice AND page > last_page
+                     WHERE n < 120 OR seen >= total GROUP BY c.slice) s ON s.slice = c.slice AND page > last_page
 GROUP BY c.slice, last_page"""))
 def pages_behind_stop(spark, sf):
-    return pages.pages_behind_stop(I.paged(spark, sf, "object"), I.PAGE_RECORD, "items", 60, "total")
+    return pages.pages_behind_stop(I.paged(spark, sf, "object"), I.PAGE_RECORD, "items", 120, "total")
 
 
 @query("reference_list", "SELECT p_partkey, p_name, p_retailprice FROM part")
