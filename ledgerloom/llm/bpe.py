@@ -17,7 +17,7 @@ from ledgerloom.session import settle
 CHUNK_CHARS = 1 << 16
 OVERLAP_CHARS = 1 << 11
 #: Distinct pre-tokens whose ids a task keeps; the store is emptied when full.
-KEPT_PIECES = 300_000
+KEPT_PIECES = 100_000
 
 
 @lru_cache(maxsize=2)

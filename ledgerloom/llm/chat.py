@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ledgerloom.llm.common import query, table, to_batch
+from ledgerloom.llm.common import in_arrow, query, table, to_batch
 from ledgerloom.session import settle
 
 BUDGET, HISTORY = 1024, 256
@@ -164,7 +164,7 @@ def digests(back: DataFrame) -> DataFrame:
 
     kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
     dealt = rows.repartition("conv_id").sortWithinPartitions("conv_id", "window")
-    return dealt.mapInArrow(run, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
+    return in_arrow(dealt, run, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
 
 
 @query("op3_chat")

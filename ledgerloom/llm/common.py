@@ -11,6 +11,10 @@ from pyspark.sql import functions as F
 
 from ledgerloom.session import settle
 
+BATCH_BYTES, SPARKS_OWN = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
+#: Rows of an Arrow batch that stand as Python objects at once, and about how many bytes of output wait for a batch.
+ROWS_AT_ONCE, OUTPUT_BYTES = 128, 4_000_000
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
@@ -33,10 +37,26 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
 
 
 def with_row_id(df: DataFrame, name: str) -> DataFrame:
-    """A number for each row, the same each time the same files are read; ids in the data may repeat or be null."""
+    """A number for each row; ids in the data may repeat or be null.
+
+    It is the same each time the same files are read, whichever columns are asked for. A frame that comes out of a
+    shuffle has no such order: settle it first.
+    """
     return df.withColumn(name, F.monotonically_increasing_id())
 
 
+def in_arrow(df: DataFrame, function: Callable, schema) -> DataFrame:
+    """``mapInArrow`` with batches that suit texts of any length.
+
+    Spark's own limit of 64 MB for a batch, held on both sides of two Python workers and on the way back, is more
+    than a small executor has to spare. A limit that the session has set is left as it is.
+    """
+    conf = df.sparkSession.conf
+    if conf.get(BATCH_BYTES, None) == SPARKS_OWN:
+        conf.set(BATCH_BYTES, "4194304b")
+    return df.mapInArrow(function, schema)
+
+
 class PerTask:
     """Wraps a function without arguments that each task calls once, to make the function for its rows."""
 
@@ -45,7 +65,7 @@ class PerTask:
 
 
 def map_rows(df: DataFrame, function: Callable[..., Iterable[tuple]] | PerTask, schema: str) -> DataFrame:
-    """``function`` takes the columns of a row and gives its output rows. Holds one Arrow batch and about 8 MB of output."""
+    """``function`` takes the columns of a row and gives its output rows. Holds an Arrow batch and little more."""
 
     def run(batches):
         names = [field.split()[0] for field in schema.split(", ")]
@@ -53,13 +73,14 @@ def map_rows(df: DataFrame, function: Callable[..., Iterable[tuple]] | PerTask,
         for batch in batches:
             rows: list[tuple] = []
             size = 0
-            for row in zip(*(column.to_pylist() for column in batch.columns)):
-                for out in make(*row):
-                    rows.append(out)
-                    size += 64 + sum(len(x) for x in out if isinstance(x, (str, bytes, list)))
-                if size > 8_000_000:
-                    yield to_batch(rows, names, types)
-                    rows, size = [], 0
+            for start in range(0, batch.num_rows, ROWS_AT_ONCE):
+                for row in zip(*(column.to_pylist() for column in batch.slice(start, ROWS_AT_ONCE).columns)):
+                    for out in make(*row):
+                        rows.append(out)
+                        size += 64 + sum(len(x) for x in out if isinstance(x, (str, bytes, list)))
+                    if size > OUTPUT_BYTES:
+                        yield to_batch(rows, names, types)
+                        rows, size = [], 0
             if rows:
                 yield to_batch(rows, names, types)
 
@@ -67,7 +88,7 @@ def map_rows(df: DataFrame, function: Callable[..., Iterable[tuple]] | PerTask,
     from pyspark.sql.types import StructType
 
     types = to_arrow_schema(StructType.fromDDL(schema)).types
-    return df.mapInArrow(run, schema)
+    return in_arrow(df, run, schema)
 
 
 def to_batch(rows: Sequence[tuple], names: Sequence[str], types: Sequence[pa.DataType]) -> pa.RecordBatch:

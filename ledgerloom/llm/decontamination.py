@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import map_rows, query, table
+from ledgerloom.llm.common import in_arrow, map_rows, query, table
 from ledgerloom.llm.passages import Vocabulary, lookup, words_of
 
 SEED_WORDS = 3
@@ -160,7 +160,7 @@ def without_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str =
             for batch in batches:
                 yield batch.filter(pa.array([next(matches(items, t.as_py(), least), None) is None for t in batch.column(place)], pa.bool_()))
 
-        kept = kept.mapInArrow(clean, docs.schema)
+        kept = in_arrow(kept, clean, docs.schema)
     return kept
 
 
@@ -190,7 +190,7 @@ def _frequency(texts: DataFrame, items: Items) -> dict[tuple[int, int], int]:
             seen = np.flatnonzero(c)
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(seen), n)), pa.array(items.grams[n][seen]), pa.array(c[seen])], names=["n", "code", "docs"])
 
-    rows = texts.select("text").mapInArrow(count, "n long, code long, docs long").groupBy("n", "code").agg(F.sum("docs").alias("docs"))
+    rows = in_arrow(texts.select("text"), count, "n long, code long, docs long").groupBy("n", "code").agg(F.sum("docs").alias("docs"))
     return {(r.n, r.code): r.docs for r in rows.collect()}  # a row for each seed of the block at most
 
 

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import PerTask, by_group, components, group_roots, map_rows, query, table, tiled, with_row_id
+from ledgerloom.llm.common import PerTask, by_group, components, group_roots, in_arrow, map_rows, query, table, tiled, with_row_id
 from ledgerloom.session import settle
 
 THRESHOLD = 0.93
@@ -202,7 +202,7 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=["node", "links", "root"])
 
-    linked = settle(dealt.repartition("gid").sortWithinPartitions("gid").mapInArrow(run, "node long, links long, root long"), "links")
+    linked = settle(in_arrow(dealt.repartition("gid").sortWithinPartitions("gid"), run, "node long, links long, root long"), "links")
     classes = components(linked.select(F.col("node").alias("a"), F.col("root").alias("b")))
     counts = linked.groupBy("node").agg(F.sum("links").alias("links"))
     nodes = distinct.join(found.select("node"), "node", "left_semi").join(counts, "node", "left").join(classes, "node", "left")

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import by_group, components, group_roots, query, table, tiled, with_row_id
+from ledgerloom.llm.common import by_group, components, group_roots, in_arrow, query, table, tiled, with_row_id
 from ledgerloom.session import settle
 
 RADIUS = 3
@@ -53,7 +53,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), fps], names=["doc_id", "row", "fp"])
 
     rows = with_row_id(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")), "row")
-    return rows.select("doc_id", "row", "text").mapInArrow(run, "doc_id long, row long, fp long")
+    return in_arrow(rows.select("doc_id", "row", "text"), run, "doc_id long, row long, fp long")
 
 
 def _words(bits: np.ndarray) -> np.ndarray:
@@ -133,11 +133,10 @@ def links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
     shifts = np.cumsum([0, *BLOCKS[:-1]]).tolist()
     keys = []
     for t, chosen in enumerate(itertools.combinations(range(len(BLOCKS)), KEPT)):
-        key, used = F.lit(t).cast("long"), 0
+        key = F.lit(t).cast("long")
         for b in chosen:
             part = F.shiftrightunsigned("fp", shifts[b]).bitwiseAND(F.lit((1 << BLOCKS[b]) - 1).cast("long"))
             key = F.shiftleft(key, BLOCKS[b]).bitwiseOR(part)
-            used += BLOCKS[b]
         keys.append(key)
     spread = fps.select("fp", F.explode(F.array(*keys)).alias("key"))
     dealt = tiled(spread, "key", F.col("fp"), TILE_ROWS).select("gid", "fp")
@@ -155,7 +154,7 @@ def links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
                 if len(moved):
                     yield pa.RecordBatch.from_arrays([pa.array(own[moved]), pa.array(own[roots[moved]])], names=["a", "b"])
 
-    return dealt.repartition("gid").sortWithinPartitions("gid").mapInArrow(run, "a long, b long")
+    return in_arrow(dealt.repartition("gid").sortWithinPartitions("gid"), run, "a long, b long")
 
 
 def simhash(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from ledgerloom.llm.common import PerTask, map_rows, query, table
+from ledgerloom.llm.common import PerTask, in_arrow, map_rows, query, table
 from ledgerloom.session import settle
 
 #: Labelled texts that the classifier learns from, chosen by the hash of the text: a bounded sample.
@@ -25,7 +25,7 @@ ROUNDS = 150
 LEAST_TEXTS = 4
 THRESHOLD = 0.3
 ORDER = 3
-KEPT_TOKENS = 200_000
+KEPT_TOKENS = 100_000
 
 # What a sign can stand for.
 LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "€": "e", "(": "c"}
@@ -166,7 +166,7 @@ def char_counts(texts: DataFrame) -> dict[str, int]:
         counts = gram_counts(words)
         return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["gram", "n"])
 
-    return dict(tuple(r) for r in texts.mapInArrow(run, "gram string, n long").groupBy("gram").agg(F.sum("n")).collect())
+    return dict(tuple(r) for r in in_arrow(texts, run, "gram string, n long").groupBy("gram").agg(F.sum("n")).collect())
 
 
 def boost(rows: list[tuple[int, list[int]]], features: int) -> tuple[float, np.ndarray]:
@@ -274,7 +274,7 @@ def with_score(docs: DataFrame, scorer: Scorer, name: str, text_col: str = "text
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], names=names)
 
     names = schema.names
-    return docs.mapInArrow(run, schema)
+    return in_arrow(docs, run, schema)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> DataFrame:
