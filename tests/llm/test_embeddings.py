@@ -77,6 +77,22 @@ def test_recall_at_the_threshold(filters):
     assert met.mean() >= 0.97
 
 
+@pytest.mark.parametrize("filters, pairs", [(65_536, 1500), (1_048_576, 500)])
+def test_few_pairs_are_missed_with_many_filters(filters, pairs):
+    rng = np.random.default_rng(filters + 1)
+    words, every = 4 * int(filters**0.5), 16
+    a = rng.standard_normal((pairs, 64))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    b = np.array([near(rng, x, 0.9301) for x in a])
+    shared = np.zeros((E.CODES, pairs), int)
+    for number in range(E.CODES):
+        code = E.ProductCode(number, 64, words, every, E.cap(filters))
+        shared[number] = [len(np.intersect1d(p, q)) for p, q in zip(code.decode(a), code.decode(b))]
+    print(filters, (shared.sum(axis=0) == 0).mean(), shared.mean())
+    assert (shared.sum(axis=0) == 0).mean() <= 0.005
+    assert shared.mean() >= 0.9 * E.SHARED
+
+
 def test_rotation_keeps_lengths():
     code = E.ProductCode(0, 50, 512, 16, 2.0)
     x = np.random.default_rng(0).standard_normal((5, 50))
