@@ -32,17 +32,21 @@ LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "
 #: Costs in nats, of the channel: a letter written as a sign, a letter put in between, a letter said once more, a sign
 #: that stands for itself.
 SIGN_COST, SEPARATOR_COST, REPEAT_COST, LITERAL_COST = 1.0, 0.5, 0.7, 4.0
+#: A space that ends a word; below 0, as the run without any such end is read anyway.
+BREAK_COST = -1.0
 
 LETTER = re.compile(r"[^\W\d_]")
 WORD = re.compile(r"[^\W\d_]+")
 #: The model knows the Latin letters that signs can stand for and their accented neighbours; others count as one.
 OTHER = re.compile("[^a-zß-öø-ÿ]")
 SIGNS = "".join(LEET)
-#: A token with a sign between letters (or in front of one), a letter three times in a row, or letters with separators.
-NOISY = re.compile(rf"[^\W\d_][{re.escape(SIGNS)}]+[^\W\d_]|^[{re.escape(SIGNS)}][^\W\d_]{{2}}|([^\W\d_])\1\1|^[^\W\d_](?:[.\-_*~/,][^\W\d_]){{2,}}[.,!?]*$")
-#: Single letters or signs in a row, spaced out.
-SPACED = re.compile(rf"(?<!\S)(?:[^\W\d_]|[{re.escape(SIGNS)}])(?: (?:[^\W\d_]|[{re.escape(SIGNS)}])){{2,}}(?!\S)")
+#: A token with a sign beside a letter, a letter twice in a row, or separators between letters.
+NOISY = re.compile(rf"[^\W\d_][{re.escape(SIGNS)}]|[{re.escape(SIGNS)}][^\W\d_]|([^\W\d_])\1|[^\W\d_][\W_]+[^\W\d_]")
+#: Single letters or signs in a row, spaced out; punctuation may stand at both ends.
+SPACED = re.compile(rf"(?<!\w)(?:[^\W\d_]|[{re.escape(SIGNS)}])(?:[^\S\n]+(?:[^\W\d_]|[{re.escape(SIGNS)}])){{2,}}(?!\w)")
 MARGINS = re.compile(r"^[^\w@$!|+€(]+|[^\w@$]+$")
+#: Margins that leave the signs at the end, which may be punctuation or letters.
+OUTER = re.compile(r"^[^\w@$!|+€(]+|[^\w@$!|+€(]+$")
 
 
 def gram_counts(words: Counter) -> Counter:
@@ -88,10 +92,12 @@ def lattice(token: str) -> list[tuple[list[tuple[str, float]], bool]]:
         run = j - i
         if LETTER.match(c):
             # One or two letters meant, the rest said once more.
-            options = [(c * k, REPEAT_COST * (run - k)) for k in (1, 2) if k <= run] if run > 2 else [(c * run, 0.0)]
+            options = [(c * k, REPEAT_COST * (run - k)) for k in (1, 2) if k <= run]
         elif c in LEET:
             letters = [(x * k, SIGN_COST * k + REPEAT_COST * (run - k)) for x in LEET[c] for k in (1, 2) if k <= run]
             options = [*letters, ("", LITERAL_COST * run)]
+        elif c == " ":
+            options = [("", 0.0), (" ", BREAK_COST)]
         else:
             options = [("", SEPARATOR_COST)]
         out.append(options)
@@ -100,7 +106,10 @@ def lattice(token: str) -> list[tuple[list[tuple[str, float]], bool]]:
 
 
 def restore(token: str, model: CharModel) -> str:
-    """The likeliest word behind a lower-cased token: Viterbi over its lattice, the state being the last two letters."""
+    """The likeliest word behind a lower-cased token: Viterbi over its lattice, the state being the last two letters.
+
+    A space in the token is left out or parts two words, and then stands in the result.
+    """
     states = {"^^": (0.0, "")}
     for options in lattice(token):
         following: dict[str, tuple[float, str]] = {}
@@ -108,8 +117,12 @@ def restore(token: str, model: CharModel) -> str:
             for letters, channel in options:
                 total, at = cost + channel, state
                 for letter in letters:
-                    total += model.cost(at + letter)
-                    at = at[1] + letter
+                    if letter == " ":
+                        total += model.cost(at + "$")
+                        at = "^^"
+                    else:
+                        total += model.cost(at + letter)
+                        at = at[1] + letter
                 if at not in following or (total, text + letters) < following[at]:
                     following[at] = (total, text + letters)
         states = following
@@ -129,9 +142,9 @@ class Reader(dict):
 
     def __missing__(self, token: str) -> tuple[str, ...]:
         words = WORD.findall(token)
-        core = MARGINS.sub("", token)
-        if NOISY.search(core) and (restored := restore(core, self.model)):
-            words.append(restored)
+        for core in {MARGINS.sub("", token), OUTER.sub("", token)}:
+            if NOISY.search(core) and (restored := restore(core, self.model)) and restored not in words:
+                words.append(restored)
         found = tuple(f for word in words for f in self.wanted(word))
         if len(token) <= 64:
             if len(self) >= KEPT_TOKENS:
@@ -145,7 +158,12 @@ class Reader(dict):
             lowered = unicodedata.normalize("NFC", lowered)
         found = {f for token in set(lowered.split()) for f in self[token]}
         for spaced in {m.group() for m in SPACED.finditer(lowered)}:
-            found.update(self.wanted(restore(spaced.replace(" ", ""), self.model)))
+            # As one word, also without a one-letter word at either end, and parted where the model says so.
+            letters = spaced.split()
+            whole = [letters, letters[1:], letters[:-1], letters[1:-1]]
+            restored = {restore("".join(x), self.model) for x in whole if len(x) > 2 or x is letters}
+            for word in restored.union(restore(" ".join(letters), self.model).split()):
+                found.update(self.wanted(word))
         return found
 
 
@@ -280,7 +298,7 @@ def with_score(docs: DataFrame, scorer: Scorer, name: str, text_col: str = "text
 def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> DataFrame:
     """Columns doc_id, held_out, score, predicted, for every row; scores depend on the text alone.
 
-    Tokens that look disguised (signs among letters, letters repeated or spaced out) are decoded: a lattice of what
+    Tokens that may be disguised (signs or separators beside letters, letters repeated or spaced out) are decoded: a lattice of what
     each stretch can stand for, searched for the word likeliest under a character trigram model of all texts and a
     channel that makes signs, separators and repeats cost. A logistic model on words and word beginnings, plain and
     restored, scores the text. Null and empty texts score as texts without words. Null ids and repeated rows keep

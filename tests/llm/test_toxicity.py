@@ -22,6 +22,19 @@ def test_restores_the_word(model, token):
     assert T.restore(token, model) in BAD
 
 
+@pytest.mark.parametrize("text", ["i d i o t.", "(i d i o t)", "i d i o t,", "a i d i o t", "iidiioott", "stuupid", "1d107", "idio7", "idio+", "5(um", "id-iot", "sc*um", "id.iot", "l o o o s e r"])
+def test_disguises_reach_the_decoder(text):
+    from collections import Counter
+
+    words = {w: 40 for w in BAD} | {w: 60 for w in "the and of this that person with these words there student list stop trip some morning".split()}
+    model = T.CharModel(dict(T.gram_counts(Counter(words | {"a": 200}))))
+    assert T.Reader(model, lambda word: [word]).read(text) & set(BAD)
+
+
+def test_spaced_words_are_parted(model):
+    assert {"stupid", "idiot"} <= T.Reader(model, lambda word: [word]).read("you s t u p i d i d i o t!")
+
+
 def test_viterbi_finds_the_cheapest_path(model):
     import itertools
 
