@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator, Sequence
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -45,6 +46,17 @@ def with_row_id(df: DataFrame, name: str) -> DataFrame:
     return df.withColumn(name, F.monotonically_increasing_id())
 
 
+@contextmanager
+def setting(spark: SparkSession, key: str, value: str):
+    """A setting of the session while an action runs or a stream starts; what the session had comes back."""
+    own = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if own is None else spark.conf.set(key, own)
+
+
 def in_arrow(df: DataFrame, function: Callable, schema) -> DataFrame:
     """``mapInArrow`` with batches that suit texts of any length.
 
