@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
-from ledgerloom.llm.common import query, setting, table
+from ledgerloom.llm.common import query, table
 from ledgerloom.session import fresh_path
 
 FILTERS = "ABCDE"
@@ -21,9 +21,9 @@ BIT = {letter: 1 << i for i, letter in enumerate(FILTERS)}
 ORDERS = ["".join(p) for p in itertools.permutations(FILTERS)]
 BLANKS = r"[\x20\x09-\x0D]+"
 CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-#: Groups that rows which need no state are gathered in, so that each does not cost a call.
-SURE_GROUPS = 1024
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: Texts that share a state on the average, as a state costs a call of Python for each batch.
+TEXTS_OF_STATE = 64
+FIRST, LATER, NO_ID = 0, 1, 2
 CHANGES = "doc_id long, part string, mask int, n long"
 CHANGED = ["doc_id", "part", "mask", "n"]
 
@@ -40,11 +40,11 @@ def own_mask(text: Column) -> Column:
     ).cast("int")
 
 
-def thinned(batches):
+def thinned(batches, groups: int):
     """Per Arrow batch and text, only the rows of the smallest id go on to the text's state.
 
     The others have a smaller id in sight, and rows without an id compare with nothing: both are counted here and
-    travel under keys of their own, so a text that a third of all rows hold sends a row for each batch.
+    travel by id, so a text that a third of all rows hold sends a row for each batch to the group of its state.
     """
     for batch in batches:
         if not batch.num_rows:
@@ -52,45 +52,42 @@ def thinned(batches):
         rows = pa.Table.from_batches([batch])
         rows = rows.join(rows.group_by("key").aggregate([("doc_id", "min")]), "key")
         later = pc.fill_null(pc.greater(rows["doc_id"], rows["doc_id_min"]), False)
-        sure = pc.or_(later, pc.is_null(rows["doc_id"]))
-        groups = [b"" if i is None else str(i % SURE_GROUPS).encode() for i in rows["doc_id"].to_pylist()]  # nulls alone: pandas would make the rest floats
-        mask = pc.add(rows["mask"], pc.multiply(later.cast(pa.int32()), BIT["E"]))
-        key = pc.if_else(sure, pa.array(groups, pa.binary()), rows["key"])
-        out = pa.table({"key": key, "sure": sure, "doc_id": rows["doc_id"], "part": rows["part"], "mask": mask.cast(pa.int32())})
-        out = out.group_by(["key", "sure", "doc_id", "part", "mask"]).aggregate([([], "count_all")])
-        out = out.select(["key", "sure", "doc_id", "part", "mask", "count_all"]).rename_columns(["key", "sure", "doc_id", "part", "mask", "n"])
+        kind = pc.if_else(pc.is_null(rows["doc_id"]), NO_ID, pc.if_else(later, LATER, FIRST)).cast(pa.int32())
+        keys, ids = rows["key"].to_pylist(), pc.fill_null(rows["doc_id"], 0).to_pylist()
+        group = [(int.from_bytes(k[:8]) if t == FIRST else i) % groups for k, i, t in zip(keys, ids, kind.to_pylist())]
+        mask = pc.add(rows["mask"], pc.multiply(later.cast(pa.int32()), BIT["E"])).cast(pa.int32())
+        out = pa.table({"group": pa.array(group, pa.int64()), "kind": kind, "key": pa.array([k.hex() for k in keys]), "doc_id": pa.array(ids, pa.int64()), "part": rows["part"], "mask": mask})
+        out = out.set_column(2, "key", pc.if_else(pc.equal(out["kind"], FIRST), out["key"], ""))
+        out = out.group_by(out.column_names).aggregate([([], "count_all")]).rename_columns([*out.column_names, "n"])
         yield from out.combine_chunks().to_batches()
 
 
 def retracting(key, frames, state):
-    """Changes of the counters that new rows of a text bring; the state holds its smallest id and that id's parts.
+    """Changes of the counters that new rows of a group of texts bring; for each text the state holds the smallest id
+    and how many rows of it each part has.
 
     A larger id fails E. A smaller id takes the place of the one held, whose rows so far counted as first: they are
     taken back (n below 0) and counted again as failing E.
     """
-    if key[1]:
-        for frame in frames:
-            yield frame[CHANGED]
-        return
-    rows = [row for frame in frames for row in zip(*(frame[c].tolist() for c in CHANGED))]
-    least, parts = state.get if state.exists else (None, "{}")
-    held = json.loads(parts)
-    smallest = min(row[0] for row in rows)
-    mask = rows[0][2]
+    held = json.loads(state.get[0]) if state.exists else {}
     out = []
-    if least is not None and smallest < least:
-        for part, n in held.items():
-            out += [(least, part, mask, -n), (least, part, mask | BIT["E"], n)]
-    if least is None or smallest < least:
-        least, held = smallest, {}
-    for doc_id, part, _, n in rows:
-        if doc_id == least:
-            held[part] = held.get(part, 0) + n
-            out.append((doc_id, part, mask, n))
-        else:
-            out.append((doc_id, part, mask | BIT["E"], n))
-    state.update((least, json.dumps(held)))
-    yield pd.DataFrame(out, columns=CHANGED)
+    for frame in frames:
+        for kind, text, doc_id, part, mask, n in zip(*(frame[c].tolist() for c in ("kind", "key", "doc_id", "part", "mask", "n"))):
+            if kind != FIRST:
+                out.append((None if kind == NO_ID else doc_id, part, mask, n))
+                continue
+            least, parts = held.get(text, (doc_id, {}))
+            if doc_id < least:
+                for p, k in parts.items():
+                    out += [(least, p, mask, -k), (least, p, mask | BIT["E"], k)]
+                least, parts = doc_id, {}
+            if doc_id == least:
+                parts[part] = parts.get(part, 0) + n
+                held[text] = (least, parts)
+            out.append((doc_id, part, mask if doc_id == least else mask | BIT["E"], n))
+    state.update((json.dumps(held),))
+    doc_ids, *rest = zip(*out)
+    yield pd.DataFrame({"doc_id": pd.array(doc_ids, dtype="Int64"), **dict(zip(CHANGED[1:], rest))})
 
 
 def changes(spark: SparkSession, path: str, id_col: str = "doc_id", text_col: str = "text", part_col: str = "source", files_per_batch: int | None = None) -> DataFrame:
@@ -98,7 +95,10 @@ def changes(spark: SparkSession, path: str, id_col: str = "doc_id", text_col: st
 
     Summed over all rows, n is the number of rows of that id and part which fail the filters of the mask. A batch
     takes as many files as the cluster has cores, unless said otherwise. State and progress lie in the shared folder:
-    a lost executor repeats its tasks, and the sink's log keeps a file of a repeated task from counting twice.
+    a lost executor repeats its tasks, and the sink's log keeps a file of a repeated task from counting twice. The
+    number of states follows the number of rows, which Parquet's footers tell. States are kept by the session's state
+    store (``spark.sql.streaming.stateStore.providerClass``): some 60 bytes a text, in memory by Spark's default, on
+    disk with RocksDB, which is the one to set for billions of texts.
     """
     files_per_batch = files_per_batch or spark.sparkContext.defaultParallelism
     schema = spark.read.parquet(path).select(id_col, part_col, text_col).schema
@@ -106,13 +106,12 @@ def changes(spark: SparkSession, path: str, id_col: str = "doc_id", text_col: st
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = rows.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(part_col).cast("string"), F.lit("")).alias("part"), text.alias("text"))
     rows = rows.select(F.unhex(F.sha2("text", 256)).alias("key"), "doc_id", "part", own_mask(F.col("text")).alias("mask"))
-    keyed = rows.mapInArrow(thinned, f"key binary, sure boolean, {CHANGES}").groupBy("key", "sure")
-    changed = keyed.applyInPandasWithState(retracting, CHANGES, "least long, parts string", "append", GroupStateTimeout.NoTimeout)
+    groups = spark.read.parquet(path).count() // TEXTS_OF_STATE + 1
+    keyed = rows.mapInArrow(lambda batches: thinned(batches, groups), f"group long, kind int, key string, {CHANGES}").groupBy("group")
+    changed = keyed.applyInPandasWithState(retracting, CHANGES, "held string", "append", GroupStateTimeout.NoTimeout)
     out = fresh_path(spark, "audit-changes")
-    with setting(spark, "spark.sql.streaming.stateStore.providerClass", ROCKSDB):
-        stream = changed.writeStream.outputMode("append").format("parquet").option("path", out)
-        stream = stream.option("checkpointLocation", fresh_path(spark, "audit-progress")).trigger(availableNow=True).start()
-    stream.awaitTermination()
+    stream = changed.writeStream.outputMode("append").format("parquet").option("path", out)
+    stream.option("checkpointLocation", fresh_path(spark, "audit-progress")).trigger(availableNow=True).start().awaitTermination()
     return spark.read.schema(CHANGES).parquet(out)
 
 
