@@ -14,7 +14,8 @@ from ledgerloom.operators.running import number_new_keys
 from ledgerloom.operators.temporal import interval_faults
 from ledgerloom.plans import entities as E, jobs, transforms as T
 from ledgerloom.plans.jobs import Run
-from ledgerloom.session import settle
+from ledgerloom.session import fresh_path, settle
+from ledgerloom.sources import landed
 
 ORDER = ["__seq"]
 FIRST, NEXT = datetime(2001, 8, 1, 3, 0, 0), I.NOW
@@ -579,11 +580,9 @@ def initial_load(spark, sf):
     return facts.join(parts, "codigo_boleto", "left")
 
 
-def _two_days(spark, sf):
-    """Two days of the whole load; the second changes nothing but stamps and adds a snapshot day."""
-    warehouse = I.new_warehouse(spark, "daily")
+def _daily_raw(spark, sf):
     structs = F.expr("array(named_struct('codigo_cooperativa', codigo_voluntario))")
-    raw = {
+    return {
         "statuses": I.raw_entity(spark, sf, "part", E.STATUSES, {"situacao": "p_type"}),
         "invoice_statuses": I.raw_entity(spark, sf, "part", E.INVOICE_STATUSES, {"considerado_inadimplencia": "p_type", "pago": "p_type"}),
         "volunteers": I.raw_entity(spark, sf, "supplier", E.VOLUNTEERS).withColumn("cooperativas", structs),
@@ -594,6 +593,12 @@ def _two_days(spark, sf):
         "invoices": _invoice_raw(spark, sf),
         "delinquency": _invoice_raw(spark, sf),
     }
+
+
+def _two_days(spark, sf):
+    """Two days of the whole load; the second changes nothing but stamps and adds a snapshot day."""
+    warehouse = I.new_warehouse(spark, "daily")
+    raw = _daily_raw(spark, sf)
     for run in (DAY1, DAY2):
         jobs.daily_run(warehouse, raw, _lookup(spark, sf), run, ORDER)
     return warehouse
@@ -616,14 +621,14 @@ def daily_run(spark, sf):
     return result
 
 
-@query("daily_pipeline", _invoice_sql(f""", bridge AS ({_BRIDGE_ROWS}),
+@query("daily_run_values", _invoice_sql(f""", bridge AS ({_BRIDGE_ROWS}),
 facts AS (SELECT *, {BUCKET_SQL.format('dias_em_atraso')} AS faixa_atraso,
   {STATUS_SQL.format(flag='pago', paid='valor_pagamento', billed='valor_boleto')} AS status_pagamento, valor_pagamento - valor_boleto AS diferenca_pagamento
   FROM (SELECT {_CLEAN_COLUMNS}, CASE WHEN pago = 'y' THEN NULL ELSE {_OVERDUE} END AS dias_em_atraso FROM clean))
 SELECT f.codigo_boleto, f.valor_boleto, f.dias_em_atraso, f.faixa_atraso, f.status_pagamento, f.diferenca_pagamento,
        count(b.codigo_veiculo) AS vehicles, round(sum(b.valor_rateado), 2) AS allocated
 FROM facts f LEFT JOIN bridge b ON b.codigo_boleto = f.codigo_boleto GROUP BY ALL"""))
-def daily_pipeline(spark, sf):
+def daily_run_values(spark, sf):
     """The values that two days leave: each invoice as loaded, with what was allocated to its vehicles."""
     warehouse = _two_days(spark, sf)
     parts = warehouse.read(jobs.BRIDGE).groupBy("codigo_boleto").agg(
@@ -633,3 +638,49 @@ def daily_pipeline(spark, sf):
     return facts.select(
         "codigo_boleto", "valor_boleto", "dias_em_atraso", "faixa_atraso", "status_pagamento", "diferenca_pagamento", "vehicles", "allocated"
     )
+
+
+# Two days whose windows fall among the records' own days.
+EARLY, LATER, AGAIN = (Run(date(1995, 3, day), datetime(1995, 3, day, 3)) for day in (1, 2, 3))
+
+
+def _hit(day):
+    """SQL: in which of the day's windows a record falls."""
+    return f"""(data_emissao BETWEEN {day} - 7 AND {day} - 1 OR data_pagamento BETWEEN {day} - 30 AND {day} OR data_vencimento BETWEEN {day} - 30 AND {day} + 30)"""
+
+
+_DAILY_SQL = f""", dated AS (
+  SELECT *, CASE WHEN {_hit("DATE '1995-03-02'")} THEN DATE '1995-03-02' WHEN {_hit("DATE '1995-03-01'")} THEN DATE '1995-03-01' END AS updated,
+         CASE WHEN {_hit("DATE '1995-03-01'")} THEN DATE '1995-03-01' ELSE DATE '1995-03-02' END AS created FROM clean),
+parts AS (SELECT codigo_boleto, count(*) AS vehicles, round(sum(valor_rateado), 2) AS allocated FROM ({_BRIDGE_ROWS}) GROUP BY 1)
+SELECT d.codigo_boleto, valor_boleto, nosso_numero, CASE WHEN pago = 'y' THEN NULL ELSE GREATEST(updated - data_vencimento, 0) END AS dias_em_atraso,
+       {STATUS_SQL.format(flag='pago', paid='valor_pagamento', billed='valor_boleto')} AS status_pagamento, COALESCE(vehicles, 0) AS vehicles, allocated,
+       CAST(created AS VARCHAR) || ' 03:00:00' AS criado_em, CAST(updated AS VARCHAR) || ' 03:00:00' AS atualizado_em,
+       CAST(2 AS BIGINT) AS snapshots
+FROM dated d LEFT JOIN parts p ON p.codigo_boleto = d.codigo_boleto WHERE updated IS NOT NULL"""
+
+
+@query("daily_pipeline", _invoice_sql(_DAILY_SQL).replace("ORDER BY seq", "ORDER BY seq DESC"))
+def daily_pipeline(spark, sf):
+    """The job of a day over landed JSON: a first day, a second whose files lie beside those of the first, and a rerun.
+
+    All raw records land on both days, the repeated ones in a file of their own in front of the others. What is
+    left are the invoices in a window of either day, as of the last day that had them, with their vehicles.
+    """
+    warehouse, landing = I.new_warehouse(spark, "landed"), fresh_path(spark, "landing")
+    schemas = {}
+    for run in (EARLY, LATER, AGAIN):
+        for entity, raw in _daily_raw(spark, sf).items() if run is not AGAIN else ():
+            schemas[entity] = raw.drop(*ORDER).schema
+            for copy in (0, 1):
+                landed.write_records(raw.filter(F.col("__seq") == copy).drop(*ORDER), f"{landing}/{entity}/{run.reference}/{copy}")
+        jobs.daily_pipeline(warehouse, landing, schemas, _lookup(spark, sf), run)
+    parts = warehouse.read(jobs.BRIDGE).groupBy("codigo_boleto").agg(
+        F.count("codigo_veiculo").alias("vehicles"), F.round(F.sum("valor_rateado"), 2).alias("allocated")
+    )
+    days = warehouse.read(jobs.SNAPSHOT).groupBy("codigo_boleto").agg(F.count("*").alias("snapshots"))
+    facts = warehouse.read(jobs.FACTS).join(parts, "codigo_boleto", "left").na.fill(0, ["vehicles"]).join(days, "codigo_boleto", "left")
+    return facts.select(
+        "codigo_boleto", "valor_boleto", "nosso_numero", "dias_em_atraso", "status_pagamento", "vehicles", "allocated",
+        I.stamp_text("criado_em"), I.stamp_text("atualizado_em"), "snapshots",
+    )

@@ -22,8 +22,9 @@ from ledgerloom.operators.upsert import audit_columns
 from ledgerloom.operators.views import create_views
 from ledgerloom.plans import entities as E, transforms as T
 from ledgerloom.plans.warehouse import Warehouse
-from ledgerloom.sources.landed import INGEST_ORDER, read_records
+from ledgerloom.sources.landed import INGEST_ORDER
 from ledgerloom.sources.windows import incremental_windows, merge_windows
+from ledgerloom.streaming.landing import load_new_files
 
 FACTS, BRIDGE, SNAPSHOT = "fact_invoices", "bridge_invoices_vehicles", "fact_delinquency_snapshot"
 BRIDGE_KEYS = ["codigo_boleto", "codigo_veiculo"]
@@ -93,17 +94,21 @@ def _together(tasks: Mapping[str, Callable[[], object]]) -> tuple[dict[str, obje
     return results, failures
 
 
+def load_dimension(warehouse: Warehouse, entity: str, batch: DataFrame | None, run: Run) -> DataFrame | None:
+    """Guarded load of one dimension of either kind."""
+    if batch is None:
+        raise checks.LoadRefused("no processed data")
+    if entity in E.SIMPLE_DIMENSIONS:
+        return load_simple_dimension(warehouse, entity, batch, run)
+    return load_versioned_dimension(warehouse, entity, batch, run)
+
+
 def load_dimensions(warehouse: Warehouse, batches: Mapping[str, DataFrame | None], run: Run) -> dict[str, DataFrame]:
     """Load all dimensions. One failing entity does not stop the others but fails the job."""
+    return _each_dimension(lambda entity: load_dimension(warehouse, entity, batches.get(entity), run))
 
-    def load(entity: str) -> DataFrame | None:
-        batch = batches.get(entity)
-        if batch is None:
-            raise checks.LoadRefused("no processed data")
-        if entity in E.SIMPLE_DIMENSIONS:
-            return load_simple_dimension(warehouse, entity, batch, run)
-        return load_versioned_dimension(warehouse, entity, batch, run)
 
+def _each_dimension(load: Callable[[str], DataFrame | None]) -> dict[str, DataFrame]:
     entities = [*E.SIMPLE_DIMENSIONS, *E.VERSIONED_DIMENSIONS]
     changes, failures = _together({entity: partial(load, entity) for entity in entities})
     if failures:
@@ -172,6 +177,28 @@ def initial_load(
     load_bridge(warehouse, bridge, run)
 
 
+def _transforms(lookup: DataFrame, run: Run, order: Sequence[str]) -> dict[str, Callable[[DataFrame], DataFrame]]:
+    """For each entity, what makes its raw records fit to be loaded."""
+    return {
+        "statuses": lambda raw: T.transform_statuses(raw, order),
+        "invoice_statuses": lambda raw: T.transform_invoice_statuses(raw, order),
+        "volunteers": lambda raw: T.transform_volunteers(raw, order),
+        "cooperatives": lambda raw: T.transform_cooperatives(raw, order),
+        "regionals": lambda raw: T.transform_regionals(raw, order),
+        "customers": lambda raw: T.transform_customers(raw, lookup, run.reference, order),
+        "vehicles": lambda raw: T.transform_vehicles(raw, order),
+        "invoices": lambda raw: T.clean_invoices(raw, order),
+        "delinquency": lambda raw: T.transform_delinquency(raw, run.reference, order),
+    }
+
+
+def _load_invoices(warehouse: Warehouse, clean: DataFrame, run: Run) -> None:
+    invoices, bridge = T.invoice_tables(clean, run.reference)
+    bridge = warehouse.land(bridge, "bridge")
+    load_facts(warehouse, invoices, run)
+    load_bridge(warehouse, bridge, run)
+
+
 def daily_run(
     warehouse: Warehouse,
     raw: Mapping[str, DataFrame],
@@ -187,25 +214,12 @@ def daily_run(
     """
     for entity, slices in (status or {}).items():
         checks.refuse_incomplete(slices, "slice", "error", entity)
-    processed = {
-        "statuses": T.transform_statuses(raw["statuses"], order),
-        "invoice_statuses": T.transform_invoice_statuses(raw["invoice_statuses"], order),
-        "volunteers": T.transform_volunteers(raw["volunteers"], order),
-        "cooperatives": T.transform_cooperatives(raw["cooperatives"], order),
-        "regionals": T.transform_regionals(raw["regionals"], order),
-        "customers": T.transform_customers(raw["customers"], lookup, run.reference, order),
-        "vehicles": T.transform_vehicles(raw["vehicles"], order),
-        "invoices": T.clean_invoices(raw["invoices"], order),
-        "delinquency": T.transform_delinquency(raw["delinquency"], run.reference, order),
-    }
+    processed = {entity: transform(raw[entity]) for entity, transform in _transforms(lookup, run, order).items()}
     landed, failures = _together({entity: partial(warehouse.land, df, entity) for entity, df in processed.items()})
     for failure in failures.values():
         raise failure
-    invoices, bridge = T.invoice_tables(landed["invoices"], run.reference)
-    bridge = warehouse.land(bridge, "bridge")
     changes = load_dimensions(warehouse, landed, run)
-    load_facts(warehouse, invoices, run)
-    load_bridge(warehouse, bridge, run)
+    _load_invoices(warehouse, landed["invoices"], run)
     load_snapshot(warehouse, landed["delinquency"], run)
     register_views(warehouse)
     return changes
@@ -227,10 +241,44 @@ def daily_pipeline(
     run: Run,
     status: Mapping[str, DataFrame] | None = None,
 ) -> dict[str, DataFrame]:
-    """``daily_run`` over a landing folder with a folder of JSON records for each entity, read in ingest order."""
-    raw = {name: read_records(warehouse.spark, f"{landing}/{name}", kind, ordered=True) for name, kind in schemas.items()}
-    raw["invoices"] = invoices_of_the_day(raw["invoices"], run, INGEST_ORDER)
-    return daily_run(warehouse, raw, lookup, run, INGEST_ORDER, status)
+    """The day's loads from a landing folder with a folder of JSON records for each entity: what is new there, once.
+
+    Each entity is a stream of files with its own progress, kept with the warehouse, in the order of ``daily_run``:
+    all dimensions at the same time, then invoices in their windows and their bridge, then the snapshot and the views.
+    A rerun finds nothing new and changes nothing. After a failure the entities that were loaded stay loaded, and the
+    next run goes on with the files of those that were not, as of its own day. An entity without new files is left
+    as it is.
+    """
+    for entity, slices in (status or {}).items():
+        checks.refuse_incomplete(slices, "slice", "error", entity)
+    transforms = _transforms(lookup, run, INGEST_ORDER)
+
+    def take(entity: str, load: Callable[[DataFrame], None]) -> None:
+        progress = f"{warehouse.root}/_progress/{entity}"
+        load_new_files(warehouse.spark, f"{landing}/{entity}", schemas[entity], progress, load)
+
+    def dimension(entity: str) -> DataFrame | None:
+        changes = []
+
+        def load(raw: DataFrame) -> None:
+            batch = warehouse.land(transforms[entity](raw), entity)
+            changes.append(load_dimension(warehouse, entity, batch, run))
+
+        take(entity, load)
+        return changes[-1] if changes else None
+
+    def invoices(raw: DataFrame) -> None:
+        clean = transforms["invoices"](invoices_of_the_day(raw, run, INGEST_ORDER))
+        _load_invoices(warehouse, warehouse.land(clean, "invoices"), run)
+
+    def delinquency(raw: DataFrame) -> None:
+        load_snapshot(warehouse, warehouse.land(transforms["delinquency"](raw), "delinquency"), run)
+
+    found = _each_dimension(dimension)
+    take("invoices", invoices)
+    take("delinquency", delinquency)
+    register_views(warehouse)
+    return found
 
 
 def register_views(warehouse: Warehouse) -> list[str]:
