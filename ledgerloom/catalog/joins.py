@@ -9,10 +9,10 @@ from ledgerloom.catalog.columns import BUCKET_SQL, bridge
 from ledgerloom.catalog.registry import query
 from ledgerloom.functions import billing
 from ledgerloom.operators import scd2, views
+from ledgerloom.operators.as_of import as_of_key, as_of_once
 from ledgerloom.operators.lookup import lookup_join
 from ledgerloom.operators.shaping import append
 from ledgerloom.operators.skew import hot_keys
-from ledgerloom.operators.temporal import point_in_time_key, point_in_time_key_once
 from ledgerloom.session import settle
 
 FACT_SQL = "facts AS (SELECT l_orderkey, l_linenumber, l_partkey, CAST(l_shipdate AS DATE) AS day FROM lineitem)"
@@ -31,7 +31,7 @@ def _with_sql(names, extra, body):
 def pit_join(spark, sf):
     facts = _facts(spark, sf)
     hot = hot_keys(facts, "l_partkey")
-    return point_in_time_key(facts, I.history(spark, sf), "l_partkey", "day", "part", "sk", hot)
+    return as_of_key(facts, I.history(spark, sf), "l_partkey", "day", "part", "sk", hot)
 
 
 # Each version lasts 30 days beyond the start of the next one; the latest start must win.
@@ -42,7 +42,7 @@ def pit_join_dedupe(spark, sf):
     versions = I.history(spark, sf).withColumn("valido_ate", F.date_add("valido_ate", 30))
     facts = I.invoices(spark, sf).select("boleto", "customer", "emission")
     hot = hot_keys(facts, "customer")
-    return point_in_time_key_once(facts, versions, ["boleto"], "customer", "emission", "part", "sk", hot)
+    return as_of_once(facts, versions, ["boleto"], "customer", "emission", "part", "sk", hot)
 
 
 @query("series_align", _with_sql("history", FACT_SQL, f"""
