@@ -95,6 +95,16 @@ def scd2_apply(spark, sf):
     return state.select("part", "owner", "mark", "price", "quantity", "valido_de", "valido_ate", "vigente")
 
 
+@query("scd2_slices", I.with_sql("dim batch plan", I.SCD2_SQL))
+def scd2_slices(spark, sf):
+    """As ``scd2_apply`` over a stored dimension, of which only the open slice and that of the day are rewritten."""
+    warehouse = I.new_warehouse(spark, "slices")
+    warehouse.replace_slices("dim", settle(scd2.with_slice(I.dim(spark, sf)), "dim"), scd2.SLICE, ["sk"])
+    batch = settle(I.batch(spark, sf), "batch")
+    jobs.apply_versions(warehouse, "dim", batch, "part", "sk", I.MONITORED, Run(I.SPLIT, I.NOW))
+    return warehouse.read("dim").select("part", "owner", "mark", "price", "quantity", "valido_de", "valido_ate", "vigente")
+
+
 @query("materialized_changed_set", I.with_sql("dim batch plan", """
 SELECT p.part, count(d.part) AS closed FROM plan p JOIN dim d ON d.part = p.part AND d.vigente WHERE p.changed GROUP BY p.part"""))
 def materialized_changed_set(spark, sf):

@@ -8,20 +8,25 @@ gives the same versions.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerloom.functions.calendar import EPOCH, or_epoch
 from ledgerloom.operators.running import number_new_keys
 from ledgerloom.operators.shaping import any_distinct, current_versions
 from ledgerloom.operators.temporal import VALID_FROM, VALID_TO
+from ledgerloom.session import settle
 
 CURRENT, CREATED, UPDATED = "vigente", "criado_em", "atualizado_em"
 CONTROL = [VALID_FROM, VALID_TO, CURRENT, CREATED, UPDATED]
 
 CHANGED, MISSING, SAME = "changed", "missing", "same"
 
+#: Column that places a stored version: open ones together, closed ones by the day of their end.
+SLICE, OPEN = "fatia", "aberta"
+
 
 def batch_status(dim: DataFrame, batch: DataFrame, key: str, monitored: Sequence[str]) -> DataFrame:
     """Batch rows with their ``__status``: changed, missing (no current version) or same."""
@@ -98,6 +103,11 @@ def first_versions(batch: DataFrame, key: str, surrogate: str, now: datetime) ->
     return number_new_keys(opened, key, surrogate, F.lit(0).cast("bigint"))
 
 
+def highest_key(dim: DataFrame, surrogate: str) -> Column:
+    """The largest surrogate key so far, 0 without any."""
+    return dim.agg(F.coalesce(F.max(surrogate), F.lit(0)).cast("bigint")).scalar()
+
+
 def apply_batch(
     dim: DataFrame,
     batch: DataFrame,
@@ -106,6 +116,7 @@ def apply_batch(
     reference: date,
     surrogate: str,
     now: datetime,
+    highest: Column | None = None,
 ) -> DataFrame:
     """All versions after the batch was applied. The key must be unique in the batch.
 
@@ -175,6 +186,63 @@ def apply_batch(
         F.lit(now).cast(dim.schema[CREATED].dataType).alias(CREATED),
         F.lit(now).cast(dim.schema[UPDATED].dataType).alias(UPDATED),
     )
-    highest = dim.agg(F.coalesce(F.max(surrogate), F.lit(0)).cast("bigint")).scalar()
+    if highest is None:
+        highest = highest_key(dim, surrogate)
     numbered = number_new_keys(opened, key, surrogate, highest)
     return kept.unionByName(numbered, allowMissingColumns=True).select(*dim.columns)
+
+
+def with_slice(versions: DataFrame) -> DataFrame:
+    """Versions with the slice they are stored in."""
+    closed = F.coalesce(F.date_format(VALID_TO, "yyyy-MM-dd"), F.lit("sem-fim"))
+    return versions.withColumn(SLICE, F.when(F.col(CURRENT), F.lit(OPEN)).otherwise(closed))
+
+
+@dataclass(frozen=True)
+class SliceChanges:
+    """What a load leaves of the slices it touches: first ``closed`` is to be written, then ``opened``."""
+
+    closed: DataFrame | None
+    closed_slices: list[str]
+    opened: DataFrame
+
+
+def apply_to_slices(
+    stored: DataFrame,
+    batch: DataFrame,
+    key: str,
+    monitored: Sequence[str],
+    reference: date,
+    surrogate: str,
+    now: datetime,
+) -> SliceChanges:
+    """``apply_batch`` over versions stored by slice, rewriting only the open slice and that of the reference day.
+
+    Of closed versions only key, start, end and surrogate key are read, and those are kept of the keys that get a new
+    version, for the end of their last one. A closed version is changed in one case only: it has no day of its
+    own and its key comes back on that day; then its slice is rewritten as well. Written in the order closed, open, a
+    load that stops in between can be run again: a closing that is there already is not added twice.
+    """
+    current = stored.filter(F.col(SLICE) == OPEN)
+    closed = stored.filter(F.col(SLICE) != OPEN)
+    keys = settle(keys_to_open(current, batch, key, monitored), "keys-to-open")
+    narrow = closed.select(key, VALID_FROM, VALID_TO, surrogate, SLICE).join(keys, key, "left_semi")
+    past = settle(narrow.withColumn(CURRENT, F.lit(False)), "past-versions")
+    empty = F.col(VALID_TO) <= F.col(VALID_FROM)
+    # Days on which versions of these keys began and ended at once: as a rule none.
+    days = [row[0] for row in past.filter(empty).select(SLICE).distinct().collect()]
+    whole = closed.filter(F.col(SLICE).isin(days) & empty).join(keys, key, "left_semi")
+    stubs = past.filter(~F.coalesce(empty, F.lit(False))).withColumn(SLICE, F.lit(None).cast("string"))
+    before = current.unionByName(whole).unionByName(stubs, allowMissingColumns=True).withColumn("__known", F.lit(True))
+
+    state = apply_batch(before, batch, key, monitored, reference, surrogate, now, highest_key(stored, surrogate))
+    state = state.withColumnRenamed(SLICE, "__from_slice").filter("__known is null or __from_slice is not null")
+    state = settle(with_slice(state).drop("__known"), "versions")
+    moved = state.filter((F.col("__from_slice") != F.col(SLICE)) & F.col("__from_slice").isNotNull())
+    touched = {row[0] for row in moved.select(F.explode(F.array("__from_slice", SLICE))).distinct().collect()} - {OPEN}
+    opened = state.filter(F.col(SLICE) == OPEN).drop("__from_slice")
+    if not touched:
+        return SliceChanges(None, [], opened)
+    stay = closed.filter(F.col(SLICE).isin(sorted(touched))).join(moved.select(surrogate), surrogate, "left_anti")
+    closings = moved.filter(F.col(SLICE) != OPEN).drop("__from_slice")
+    return SliceChanges(stay.unionByName(closings, allowMissingColumns=True), sorted(touched), opened)

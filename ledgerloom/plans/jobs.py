@@ -43,7 +43,10 @@ def _current_count(warehouse: Warehouse, table: str, current_only: bool) -> int:
     state = warehouse.read_or_none(table)
     if state is None:
         return 0
-    return checks.row_count(state, F.col("vigente") if current_only else None).first()[0]
+    if current_only:
+        slices = warehouse.read_slices(table)
+        state = state.filter("vigente") if slices is None else slices.filter(F.col(scd2.SLICE) == scd2.OPEN)
+    return checks.row_count(state).first()[0]
 
 
 def load_simple_dimension(warehouse: Warehouse, entity: str, batch: DataFrame, run: Run) -> DataFrame | None:
@@ -73,12 +76,28 @@ def load_versioned_dimension(warehouse: Warehouse, entity: str, batch: DataFrame
     table, key, surrogate, monitored = E.VERSIONED_DIMENSIONS[entity]
     arrived = checks.refuse_repeated_keys(batch, [key], entity, nulls=True)
     checks.refuse_abnormal_drop(arrived, _current_count(warehouse, table, True), entity)
-    known = warehouse.read_or_none(table)
+    apply_versions(warehouse, table, batch, key, surrogate, monitored, run)
+
+
+def apply_versions(
+    warehouse: Warehouse, table: str, batch: DataFrame, key: str, surrogate: str, monitored: Sequence[str], run: Run
+) -> None:
+    """Type 2 load of a table of versions. Closed versions are left as they are, in files of the day they ended on.
+
+    A table that an earlier release keeps in one piece is rewritten whole, as before.
+    """
+    known, stored = warehouse.read_or_none(table), warehouse.read_slices(table)
     if known is None:
-        state = scd2.first_versions(batch, key, surrogate, run.now)
+        first = scd2.with_slice(scd2.first_versions(batch, key, surrogate, run.now))
+        warehouse.replace_slices(table, warehouse.land(first, table), scd2.SLICE, [surrogate])
+    elif stored is None:
+        warehouse.replace(table, scd2.apply_batch(known, batch, key, monitored, run.reference, surrogate, run.now))
     else:
-        state = scd2.apply_batch(known, batch, key, monitored, run.reference, surrogate, run.now)
-    warehouse.replace(table, state)
+        changes = scd2.apply_to_slices(stored, batch, key, monitored, run.reference, surrogate, run.now)
+        if changes.closed is not None:
+            landed = warehouse.land(changes.closed, table)
+            warehouse.replace_slices(table, landed, scd2.SLICE, [surrogate], changes.closed_slices)
+        warehouse.replace_slices(table, changes.opened, scd2.SLICE, [surrogate], [scd2.OPEN])
 
 
 def _together(tasks: Mapping[str, Callable[[], object]]) -> tuple[dict[str, object], dict[str, Exception]]:

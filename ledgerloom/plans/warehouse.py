@@ -20,6 +20,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ledgerloom.operators.checks import LoadRefused, refuse_repeated_keys
+from ledgerloom.operators.scd2 import SLICE
 from ledgerloom.operators.upsert import drop_absent_children, sync_columns, upsert
 from ledgerloom.session import settle
 
@@ -109,7 +110,12 @@ class Warehouse:
 
     def read(self, table: str) -> DataFrame:
         """Current state of a table, without the column that only places its rows."""
-        return self.spark.table(self.name(table)).drop(RANGE_COLUMN)
+        return self.spark.table(self.name(table)).drop(RANGE_COLUMN, SLICE)
+
+    def read_slices(self, table: str) -> DataFrame | None:
+        """A table of versions with the slice of each; none if the table is not there or not stored by slice."""
+        stored = self.spark.table(self.name(table)) if self.exists(table) else None
+        return stored if stored is not None and SLICE in stored.columns else None
 
     def read_or_none(self, table: str) -> DataFrame | None:
         return self.read(table) if self.exists(table) else None

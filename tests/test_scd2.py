@@ -139,3 +139,89 @@ def test_refresh_versions(spark):
     rows = {r.k: r for r in scd2.refresh_versions(dimension(spark), batch(spark), "k", ["m"], NOW).collect()}
     assert (rows["A"].n, rows["A"].atualizado_em) == ("y", NOW)
     assert (rows["B"].n, rows["B"].atualizado_em) == ("x", OLD)
+
+
+# --- versions stored by slice ------------------------------------------------------------------
+
+
+def files_of(warehouse, table):
+    from pathlib import Path
+
+    return {str(p): p.stat().st_mtime_ns for p in Path(warehouse.root, table).rglob("*.parquet")}
+
+
+def load(warehouse, new, reference=REF, now=NOW):
+    from ledgerloom.plans.jobs import Run, apply_versions
+
+    apply_versions(warehouse, "dim", new, "k", "sk", ["m"], Run(reference, now))
+
+
+def test_slices_give_the_state_that_the_whole_gives(spark, warehouse):
+    warehouse.replace_slices("dim", scd2.with_slice(dimension(spark)), scd2.SLICE, ["sk"])
+    load(warehouse, batch(spark))
+    assert state(warehouse.read("dim")) == AFTER and scd2.SLICE not in warehouse.read("dim").columns
+    whole = apply(dimension(spark), batch(spark))
+    # A rerun of the day, and a second day, as well; keys are unique throughout.
+    load(warehouse, batch(spark))
+    whole = apply(whole, batch(spark))
+    assert state(warehouse.read("dim")) == state(whole) == AFTER
+    again = spark.createDataFrame([("A", "9", "y"), ("B", "2", "z"), ("D", None, "x"), ("Z", "1", "q")], BATCH)
+    load(warehouse, again, NEXT, LATER)
+    whole = apply(whole, again, NEXT, LATER)
+    assert state(warehouse.read("dim")) == state(whole)
+    keys = [r.sk for r in warehouse.read("dim").collect()]
+    assert len(set(keys)) == len(keys)
+
+
+def test_closed_files_are_left_alone(spark, warehouse):
+    load(warehouse, batch(spark), date(2026, 6, 1), OLD)
+    changed = batch(spark).withColumn("m", scd2.F.concat("k", scd2.F.lit("!")))
+    load(warehouse, changed)
+    closed = {p: t for p, t in files_of(warehouse, "dim").items() if f"{scd2.SLICE}={REF}" in p}
+    assert closed
+    load(warehouse, changed.withColumn("m", scd2.F.lit("third")), NEXT, LATER)
+    after = files_of(warehouse, "dim")
+    assert {p: after.get(p) for p in closed} == closed and any(f"{scd2.SLICE}={NEXT}" in p for p in after)
+    assert warehouse.read("dim").count() == 3 * batch(spark).count()
+    # Without a change only the open slice is written.
+    before = {p: t for p, t in after.items() if f"{scd2.SLICE}={scd2.OPEN}" not in p}
+    load(warehouse, changed.withColumn("m", scd2.F.lit("third")), date(2026, 7, 3), datetime(2026, 7, 3, 3))
+    after = files_of(warehouse, "dim")
+    assert {p: after.get(p) for p in before} == before and {p for p in after if f"={scd2.OPEN}" not in p} == set(before)
+
+
+def test_a_load_that_stopped_after_the_closings_can_be_repeated(spark, warehouse, monkeypatch):
+    warehouse.replace_slices("dim", scd2.with_slice(dimension(spark)), scd2.SLICE, ["sk"])
+    real, calls = type(warehouse).replace_slices, []
+
+    def stops(self, *args, **options):
+        calls.append(args)
+        if len(calls) == 2:
+            raise OSError("driver lost")
+        return real(self, *args, **options)
+
+    monkeypatch.setattr(type(warehouse), "replace_slices", stops)
+    with pytest.raises(OSError):
+        load(warehouse, batch(spark))
+    monkeypatch.setattr(type(warehouse), "replace_slices", real)
+    load(warehouse, batch(spark))
+    assert state(warehouse.read("dim")) == AFTER
+
+
+def test_a_version_without_a_day_of_its_own_is_taken_up_again(spark, warehouse):
+    rows = [("A", "1", "x", EPOCH, REF, False, 1, OLD, OLD), ("A", "2", "x", REF, REF, False, 2, OLD, OLD), ("B", "1", "x", EPOCH, REF, False, 3, OLD, OLD)]
+    dim = spark.createDataFrame(rows, DIM)
+    warehouse.replace_slices("dim", scd2.with_slice(dim), scd2.SLICE, ["sk"])
+    new = spark.createDataFrame([("A", "3", "y")], BATCH)
+    load(warehouse, new, NEXT, LATER)
+    assert state(warehouse.read("dim")) == state(apply(dim, new, NEXT, LATER))
+    assert {r.sk for r in warehouse.read("dim").filter("vigente").collect()} == {2}
+
+
+def test_an_empty_batch_and_added_columns(spark, warehouse):
+    load(warehouse, batch(spark))
+    before = state(warehouse.read("dim"))
+    load(warehouse, batch(spark).limit(0), NEXT, LATER)
+    assert state(warehouse.read("dim")) == before
+    load(warehouse, batch(spark).withColumn("extra", scd2.F.lit("e")), NEXT, LATER)
+    assert {r.extra for r in warehouse.read("dim").filter("vigente").collect()} == {"e"} and state(warehouse.read("dim")) == before
