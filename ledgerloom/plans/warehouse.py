@@ -20,7 +20,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ledgerloom.operators.checks import LoadRefused, refuse_repeated_keys
-from ledgerloom.operators.scd2 import SLICE
+from ledgerloom.operators.scd2 import SLICE, with_slice
 from ledgerloom.operators.upsert import drop_absent_children, sync_columns, upsert
 from ledgerloom.session import settle
 
@@ -125,7 +125,11 @@ class Warehouse:
         return settle(df, label)
 
     def replace(self, table: str, df: DataFrame) -> None:
-        """Put a new state of an unpartitioned table in place; the frame may read the old one."""
+        """Put a new state of a table in place that is one piece or stored by slice; the frame may read the old one."""
+        if self.read_slices(table) is not None:
+            slices = [row[0] for row in self.spark.table(self.name(table)).select(SLICE).distinct().collect()]
+            self._put_slices(table, self.land(with_slice(df), table), SLICE, slices)
+            return
         path = f"{self.root}/{table}/{uuid.uuid4().hex}"
         known = self.exists(table)
         if known:
@@ -198,6 +202,9 @@ class Warehouse:
     def replace_slices(self, table: str, batch: DataFrame, column: str, keys: Sequence[str], slices: Sequence = ()) -> None:
         """Replace whole slices; a listed slice that the batch leaves out ends up empty."""
         refuse_repeated_keys(batch, keys, table)
+        self._put_slices(table, batch, column, slices)
+
+    def _put_slices(self, table: str, batch: DataFrame, column: str, slices: Sequence) -> None:
         if self.exists(table):
             batch = self._fit(table, sync_columns(batch, self.spark.table(self.name(table))))
         # One row per slice, and a batch covers one day.
