@@ -59,7 +59,7 @@ def digits_of(text: str) -> str:
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(start, number of the kind, end) of the four kinds, in order. Matches that fail a check are dropped."""
     out = [(s, 0, e) for s, e in emails(text)]
-    out += [(m.start(), 1, m.end()) for m in IP.finditer(text) if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m.group().split("."))]
+    out += [(m.start(), 1, m.end()) for m in IP.finditer(text) if all(len(p := part.lstrip("0")) <= 3 and int(p or "0") <= 255 for part in m.group().split("."))]
     for m in CARD.finditer(text):
         if 12 <= len(d := digits_of(m.group())) <= 19 and luhn(d):
             out.append((m.start(), 2, m.end()))

@@ -99,3 +99,10 @@ def test_whole_table(spark):
         names = [f"{P.KINDS[k]}:{s}:{e}" for s, k, e in base]
         assert r.base_sha256 == hashlib.sha256(",".join(names).encode()).hexdigest()
         assert set(names) <= set(r.spans.split(","))
+
+
+def test_thousands_of_digits_in_a_part_of_an_address():
+    from ledgerloom.llm.pii import base_spans
+
+    assert [s for s in base_spans("0" * 5000 + "1.2.3.4") if s[1] == 1] == [(0, 1, 5007)]
+    assert [s for s in base_spans("9" * 5000 + ".2.3.4 and 0.0.0.0") if s[1] == 1] == [(5011, 1, 5018)]
