@@ -26,19 +26,25 @@ def needed_score(words: int, least: float = LEAST_SCORE) -> int:
     return int(np.ceil(least * words - 1e-9)) if words >= EDITABLE_WORDS else words
 
 
-def seeds_kept(words: int, least: float = LEAST_SCORE) -> int:
-    """How many of an item's rarest seeds are enough: one more than the most that allowed edits can destroy.
+def seeds_kept(words: int, least: float = LEAST_SCORE, length: int = SEED_WORDS) -> int:
+    """How many of an item's rarest seeds of some words are enough: one more than the most that allowed edits can destroy.
 
-    Losing score s by changed or missing words takes s / 2 edits, which destroy three seeds each; by words put in
-    between, s edits, which destroy two each. So no copy within the bound loses all of the kept seeds.
+    Losing score s by changed or missing words takes s / 2 edits, which destroy ``length`` seeds each; by words put in
+    between, s edits, which destroy one less each. So no copy within the bound loses all of the kept seeds.
     """
-    return (SEED_WORDS - 1) * (words - needed_score(words, least)) + 1
+    spare = words - needed_score(words, least)
+    return max(spare // 2 * length, spare * (length - 1)) + 1
+
+
+def seed_length(words: int, least: float = LEAST_SCORE) -> int:
+    """Words of an item's seeds: three, or fewer if the item has not as many seeds as must be kept."""
+    return next(n for n in range(SEED_WORDS, 0, -1) if n == 1 or words - n + 1 >= seeds_kept(words, least, n))
 
 
 class Items:
-    """The items of a block: word numbers, and seeds by length (items of one or two words are their own seed)."""
+    """The items of a block: word numbers, and seeds by length."""
 
-    def __init__(self, rows: list[tuple]):
+    def __init__(self, rows: list[tuple], least: float = LEAST_SCORE):
         texts: dict[tuple, list] = defaultdict(list)
         for item_id, text in rows:
             if words := words_of(text):
@@ -49,7 +55,7 @@ class Items:
         self.grams: dict[int, np.ndarray] = {}
         found = defaultdict(set)
         for ids in self.words:
-            n = min(SEED_WORDS, len(ids))
+            n = seed_length(len(ids), least)
             found[n].update(self.vocabulary.gram_codes(ids, n)[0].tolist())
         for n, codes in found.items():
             self.grams[n] = np.array(sorted(codes), np.int64)
@@ -59,10 +65,10 @@ class Items:
         """Seeds that stay, by the number of documents that hold them; ties go to the earlier seed."""
         where = defaultdict(lambda: defaultdict(list))
         for item, ids in enumerate(self.words):
-            n = min(SEED_WORDS, len(ids))
+            n = seed_length(len(ids), least)
             codes = self.vocabulary.gram_codes(ids, n)[0].tolist()
             order = sorted(range(len(codes)), key=lambda p: (frequency.get((n, codes[p]), 0), p))
-            for p in order[: seeds_kept(len(ids), least)]:
+            for p in order[: seeds_kept(len(ids), least, n)]:
                 where[n][codes[p]].append((item, p))
         self.where = {n: dict(w) for n, w in where.items()}
         self.grams = {n: np.array(sorted(w), np.int64) for n, w in self.where.items()}
@@ -139,7 +145,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     of letters, digits and underscores. Every document is read twice: to count in how many documents each seed
     stands, then to find the rarest seeds of each item and align. No text is moved between tasks, however many
     documents share a passage. Seeds are rare for their item, not against a fixed limit, so an item that leaked
-    into a third of all documents still has seeds, and enough are kept that no copy within the bound is missed.
+    into a third of all documents still has seeds, and enough are kept that no copy within the bound is missed. Items of
+    fewer than ``EDITABLE_WORDS`` (8) words must be found word for word.
     A benchmark beyond ``BLOCK_BYTES`` is compared in blocks, each against all documents. Null and empty texts match
     nothing; items with equal words are reported each; repeated rows and null ids give rows of their own; empty
     tables give none; other columns are ignored.
@@ -171,7 +178,7 @@ def _blocks(texts: DataFrame, benchmark: DataFrame, item_col: str, item_text_col
     blocks = -(-total // BLOCK_BYTES)
     for block in range(blocks):
         part = questions.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
-        items = Items([tuple(r) for r in part.collect()])
+        items = Items([tuple(r) for r in part.collect()], least)
         items.keep_rarest(_frequency(texts, items), least)
         yield items
 

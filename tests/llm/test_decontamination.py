@@ -87,3 +87,44 @@ def test_whole_table(spark):
     found = {(r.doc_id, r.item_id): r.score for r in D.op7_decontamination(spark, path).collect()}
     assert {k for k, s in found.items() if s == 1} == whole
     assert whole
+
+
+def test_no_copy_within_the_bound_is_lost_at_any_length():
+    """Items of 8 to 20 words with the most edits that the score allows, against an alignment of the whole text."""
+    import random
+
+    import numpy as np
+
+    from ledgerloom.llm import decontamination as D
+
+    def whole(a, b):
+        above, best = [0] * (len(b) + 1), 0
+        for x in a:
+            row = [0]
+            for j, y in enumerate(b):
+                row.append(max(0, above[j] + (1 if x == y else -1), above[j + 1] - 1, row[j] - 1))
+            best, above = max(best, *row), row
+        return best
+
+    rng = random.Random(1)
+    for length in range(8, 21):
+        for _ in range(60):
+            words = [f"w{i}" for i in range(length)]
+            copy, spare = list(words), length - D.needed_score(length)
+            while spare > 0:
+                if rng.random() < 0.6 or spare == 1:
+                    copy.insert(rng.randrange(1, len(copy)), "foreign")
+                    spare -= 1
+                else:
+                    copy[rng.randrange(len(copy))] = "changed"
+                    spare -= 2
+            items = D.Items([(1, " ".join(words))])
+            items.keep_rarest({}, D.LEAST_SCORE)
+            found = list(D.matches(items, " ".join(["before"] * 5 + copy + ["after"] * 5), D.LEAST_SCORE))
+            score = whole(words, copy)
+            assert bool(found) == (score >= D.needed_score(length))
+            if found:
+                assert np.isclose(found[0][1], score / length)
+    items = D.Items([(1, "alpha beta gamma delta eps zeta eta theta")])
+    items.keep_rarest({}, D.LEAST_SCORE)
+    assert list(D.matches(items, "alpha beta x gamma delta x eps zeta x eta theta", D.LEAST_SCORE))
