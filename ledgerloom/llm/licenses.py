@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import bisect
+import heapq
 from collections import Counter
 
 import numpy as np
@@ -61,6 +63,19 @@ TEMPLATES = {
     "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
     "CC-BY-4.0-long": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
     "CC-BY-NC-4.0-long": "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
+    "CC-BY-ND-4.0": "Licensed under CC BY-ND 4.0.",
+    "CC-BY-NC-SA-4.0": "Licensed under CC BY-NC-SA 4.0.",
+    "CC-BY-NC-ND-4.0": "Licensed under CC BY-NC-ND 4.0.",
+    "CC-BY-SA-4.0-long": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+    "CC-BY-ND-4.0-long": "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.",
+    "CC-BY-NC-SA-4.0-long": "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.",
+    "CC-BY-NC-ND-4.0-long": "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License.",
+    "CC0-1.0": "This work is marked with CC0 1.0 Universal.",
+    "LGPL-3.0-notice": "This work is licensed under the GNU Lesser General Public License, version 3.",
+    "LGPL-2.1-notice": "This work is licensed under the GNU Lesser General Public License, version 2.1.",
+    "AGPL-3.0-notice": "This work is licensed under the GNU Affero General Public License, version 3.",
+    "BSL-1.0-notice": "Distributed under the Boost Software License, Version 1.0.",
+    "EPL-2.0-notice": "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0.",
 }
 
 
@@ -80,26 +95,47 @@ class Templates:
         self.overlap = [int(np.ceil(s * least / (2 - least) - 1e-9)) for s in self.sizes]
 
 
-def best_passage(codes: list[int], at: list[int], counts: Counter, size: int, largest: int, need: int, least: float):
-    """(dice, first, last bigram) of the passage most like a template, from its bigrams' places in the text.
+def passages(codes: list[int], at: list[int], counts: Counter, size: int, largest: int, need: int, least: float) -> list[tuple[float, int, int]]:
+    """(dice, first, last bigram) of passages that match a template, the most alike first, none over another.
 
-    A best passage begins and ends with a shared bigram. Ties go to the first.
+    ``codes`` and ``at`` are the template's bigrams that the text has, and where. A best passage begins and ends with a
+    shared bigram, and a passage is no longer than ``largest``, so each place looks that far ahead once, and again only
+    when a passage found cuts off its own. Ties go to the first.
     """
-    best = None
-    for i in range(len(at)):
-        if i + need > len(at) or at[i + need - 1] - at[i] >= largest:
-            continue
-        left, overlap = counts.copy(), 0
-        for j in range(i, len(at)):
+
+    def best_from(i: int, stop: int) -> tuple[float, int, int] | None:
+        if i + need > stop or at[i + need - 1] - at[i] >= largest:
+            return None
+        left: dict[int, int] = {}
+        best, overlap = None, 0
+        for j in range(i, stop):
             if at[j] - at[i] >= largest:
                 break
-            if left[codes[j]] > 0:
-                left[codes[j]] -= 1
+            taken = left.get(codes[j], 0)
+            if taken < counts[codes[j]]:
+                left[codes[j]] = taken + 1
                 overlap += 1
                 dice = 2 * overlap / (size + at[j] - at[i] + 1)
-                if dice >= least - 1e-12 and (best is None or dice > best[0]):
-                    best = (dice, at[i], at[j])
-    return best
+                if dice >= least - 1e-12 and (best is None or dice > -best[0]):
+                    best = (-dice, i, j)
+        return best
+
+    heap = [b for i in range(len(at)) if (b := best_from(i, len(at)))]
+    heapq.heapify(heap)
+    starts, ends, out = [], [], []  # of the passages found, in order of their place
+    while heap:
+        dice, i, j = heapq.heappop(heap)
+        k = bisect.bisect_right(starts, i)
+        if k and ends[k - 1] >= i:
+            continue
+        if k < len(starts) and starts[k] <= j:
+            if again := best_from(i, starts[k]):
+                heapq.heappush(heap, again)
+            continue
+        starts.insert(k, i)
+        ends.insert(k, j)
+        out.append((-dice, at[i], at[j]))
+    return out
 
 
 def found_in(templates: Templates, text: str | None) -> list[tuple[str, float, int, int]]:
@@ -113,18 +149,18 @@ def found_in(templates: Templates, text: str | None) -> list[tuple[str, float, i
         own = templates.member[t][which]
         places, need = at[hit[own]], templates.overlap[t]
         # Size bound: enough of the template's bigrams must lie within the largest passage that can match.
-        while len(places) >= need and (places[need - 1 :] - places[: len(places) - need + 1] < templates.largest[t]).any():
-            chosen = np.isin(at, places)
-            best = best_passage(codes[chosen].tolist(), places.tolist(), templates.counts[t], templates.sizes[t], templates.largest[t], need, templates.least)
-            if best is None:
-                break
-            found.append((name, best[0], best[1], best[2] + 2))
-            places = places[(places < best[1]) | (places > best[2])]
-    kept: list[tuple[str, float, int, int]] = []
+        if len(places) < need or not (places[need - 1 :] - places[: len(places) - need + 1] < templates.largest[t]).any():
+            continue
+        best = passages(codes[hit[own]].tolist(), places.tolist(), templates.counts[t], templates.sizes[t], templates.largest[t], need, templates.least)
+        found += [(name, dice, first, last + 2) for dice, first, last in best]
+    starts: list[int] = []
+    kept: list[tuple[str, float, int, int]] = []  # by place
     for one in sorted(found, key=lambda f: (-f[1], f[2] - f[3], f[2], f[0])):
-        if all(one[3] <= k[2] or one[2] >= k[3] for k in kept):
-            kept.append(one)
-    return sorted(kept, key=lambda f: f[2])
+        k = bisect.bisect_right(starts, one[2])
+        if (not k or kept[k - 1][3] <= one[2]) and (k == len(kept) or kept[k][2] >= one[3]):
+            starts.insert(k, one[2])
+            kept.insert(k, one)
+    return kept
 
 
 def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, id_col: str = "doc_id", text_col: str = "text", least: float = LEAST_DICE) -> DataFrame:
