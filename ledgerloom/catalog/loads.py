@@ -10,7 +10,7 @@ from ledgerloom.catalog import inputs as I
 from ledgerloom.catalog.columns import BUCKET_SQL, STATUS_SQL, bridge
 from ledgerloom.catalog.registry import query
 from ledgerloom.operators import checks, scd2, upsert
-from ledgerloom.operators.running import number_new_keys
+from ledgerloom.operators.running import number_dense, number_new_keys
 from ledgerloom.operators.temporal import interval_faults
 from ledgerloom.plans import entities as E, jobs, transforms as T
 from ledgerloom.plans.jobs import Run
@@ -114,8 +114,13 @@ def materialized_changed_set(spark, sf):
     return closed.groupBy("part").agg(F.count("*").alias("closed"))
 
 
-@query("surrogate_key", "SELECT count(*) AS keys, count(DISTINCT o_orderkey) AS distinct_keys, true AS above_highest FROM orders")
+@query("surrogate_key", "SELECT o_orderkey, 1000 + row_number() OVER (ORDER BY o_orderkey) AS sk FROM orders")
 def surrogate_key(spark, sf):
+    return number_dense(I.table(spark, sf, "orders").select("o_orderkey"), ["o_orderkey"], "sk", F.lit(1000).cast("bigint"))
+
+
+@query("surrogate_key_spread", "SELECT count(*) AS keys, count(DISTINCT o_orderkey) AS distinct_keys, true AS above_highest FROM orders")
+def surrogate_key_spread(spark, sf):
     orders = I.table(spark, sf, "orders").select("o_orderkey")
     numbered = number_new_keys(orders, "o_orderkey", "sk", F.lit(1000).cast("bigint"))
     return numbered.agg(

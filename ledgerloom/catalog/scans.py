@@ -12,7 +12,7 @@ from ledgerloom.functions import calendar
 from ledgerloom.operators.allocation import stored_items
 from ledgerloom.operators.temporal import dimension_versions
 from ledgerloom.session import fresh_path
-from ledgerloom.sources import landed, pages, windows
+from ledgerloom.sources import arrays, landed, pages, windows
 
 
 def _landed_json(spark, df, label):
@@ -26,6 +26,18 @@ def scan_raw_json(spark, sf):
     return _landed_json(spark, I.table(spark, sf, "events").select("event_id", "user_id", "event_type", "value"), "raw-events")
 
 
+@query("scan_json_array", "SELECT event_id, user_id, event_type, value FROM events")
+def scan_json_array(spark, sf):
+    """Files of one array each, of up to 2,000 records; a file of any size is read by as many tasks as it has splits."""
+    path = fresh_path(spark, "arrays")
+    events = I.table(spark, sf, "events").select("event_id", "user_id", "event_type", "value")
+    one = F.to_json(F.struct("event_id", "user_id", F.concat(F.col("event_type"), F.lit('"}, {"\\')).alias("event_type"), "value"))
+    files = events.groupBy(F.floor(F.col("event_id") / 2000).alias("file")).agg(F.array_join(F.collect_list(one), ", ").alias("records"))
+    files.select("file", F.concat(F.lit("[ "), F.col("records"), F.lit("]")).alias("value")).write.partitionBy("file").text(path)
+    read = arrays.read_array(spark, path, events.schema)
+    return read.withColumn("event_type", F.expr("left(event_type, length(event_type) - 7)"))
+
+
 @query("scan_status_lookup", "SELECT CAST(s_suppkey AS VARCHAR) AS code, s_name AS description FROM supplier")
 def scan_status_lookup(spark, sf):
     path = fresh_path(spark, "lookup")

@@ -14,7 +14,7 @@ from datetime import date, datetime
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerloom.functions.calendar import EPOCH, or_epoch
-from ledgerloom.operators.running import number_new_keys
+from ledgerloom.operators.running import number_dense
 from ledgerloom.operators.shaping import any_distinct, current_versions
 from ledgerloom.operators.temporal import VALID_FROM, VALID_TO
 from ledgerloom.session import settle
@@ -100,7 +100,7 @@ def first_versions(batch: DataFrame, key: str, surrogate: str, now: datetime) ->
             UPDATED: F.lit(now),
         }
     )
-    return number_new_keys(opened, key, surrogate, F.lit(0).cast("bigint"))
+    return number_dense(opened, [key], surrogate, F.lit(0).cast("bigint"))
 
 
 def highest_key(dim: DataFrame, surrogate: str) -> Column:
@@ -188,7 +188,7 @@ def apply_batch(
     )
     if highest is None:
         highest = highest_key(dim, surrogate)
-    numbered = number_new_keys(opened, key, surrogate, highest)
+    numbered = number_dense(opened, [key], surrogate, highest)
     return kept.unionByName(numbered, allowMissingColumns=True).select(*dim.columns)
 
 
