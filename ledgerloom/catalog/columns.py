@@ -317,6 +317,20 @@ def allocate_listed(spark, sf):
     return allocation.allocate_unique(I.listed(spark, sf), "boleto", "items", "value", **NAMES)
 
 
+# Finished invoices come in a second record, with other items and another value: the first value of an item counts.
+@query("allocate_repeated", I.with_sql("invoices listed", """
+SELECT boleto, item, count(*) OVER (PARTITION BY boleto) AS n, value / count(*) OVER (PARTITION BY boleto) AS share
+FROM (SELECT boleto, item, arg_min(value, copy) AS value FROM (
+  SELECT boleto, 0 AS copy, value, unnest(items) AS item FROM listed
+  UNION ALL SELECT boleto, 1, value * 2, unnest(items) + 1 FROM listed WHERE status = 'F') WHERE item IS NOT NULL GROUP BY 1, 2)"""))
+def allocate_repeated(spark, sf):
+    first = I.listed(spark, sf).select("boleto", "value", "items", "status", F.lit(0).alias("copy"))
+    second = first.filter("status = 'F'").withColumns(
+        {"items": F.transform("items", lambda item: item + 1), "value": F.col("value") * 2, "copy": F.lit(1)}
+    )
+    return allocation.allocate(first.unionByName(second), "boleto", "items", "value", ["copy"], **NAMES)
+
+
 @query("bridge_backfill", I.with_sql("invoices stored", """
 SELECT boleto, codigo_veiculo, count(*) OVER (PARTITION BY boleto) AS qtd_veiculos_boleto,
        value / count(*) OVER (PARTITION BY boleto) AS valor_rateado

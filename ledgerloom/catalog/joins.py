@@ -150,6 +150,32 @@ SELECT '{name}' AS view_name, count(*) AS row_count, count(codigo_voluntario) AS
     _VIEW_OUTPUT.format(name="vw_delinquency_by_vehicle_historico", value="valor_rateado", source=VIEW_SQL.format(
         key="v.sk AS sk_vehicle,", match="f.dt_referencia >= v.valido_de AND (v.valido_ate IS NULL OR f.dt_referencia < v.valido_ate)"))])))
 def create_views(spark, sf):
+    warehouse, names = _viewed(spark, sf)
+    shown = []
+    for name in names:
+        value = "valor_rateado" if name.startswith("vw_") else "codigo_veiculo"
+        shown.append(spark.table(f"{warehouse.database}.{name}").agg(
+            F.lit(name).alias("view_name"), F.count("*").alias("row_count"), F.count("codigo_voluntario").alias("owners"),
+            F.count_distinct("codigo_voluntario").alias("distinct_owners"), F.round(F.sum(F.col(value).cast("double")), 2).alias("total"),
+        ).select("view_name", "row_count", "owners", "distinct_owners", "total"))
+    return append(*shown)
+
+
+@query("view_current_rows", _with_sql("invoices billed bridge history", SNAPSHOT_SQL, VIEW_SQL.format(key="", match="v.valido_ate IS NULL")))
+def view_current_rows(spark, sf):
+    warehouse, _ = _viewed(spark, sf)
+    return spark.table(f"{warehouse.database}.vw_delinquency_by_vehicle_atual")
+
+
+@query("view_historical_rows", _with_sql("invoices billed bridge history", SNAPSHOT_SQL, VIEW_SQL.format(
+    key="v.sk AS sk_vehicle,", match="f.dt_referencia >= v.valido_de AND (v.valido_ate IS NULL OR f.dt_referencia < v.valido_ate)")))
+def view_historical_rows(spark, sf):
+    warehouse, _ = _viewed(spark, sf)
+    return spark.table(f"{warehouse.database}.vw_delinquency_by_vehicle_historico")
+
+
+def _viewed(spark, sf):
+    """A warehouse with its views, and their names."""
     warehouse = I.new_warehouse(spark, "views")
     # The views are made over empty tables: what they show must be what is loaded afterwards.
     tables = {
@@ -163,14 +189,7 @@ def create_views(spark, sf):
     names = views.create_views(spark, warehouse.database)
     for name, frame in tables.items():
         warehouse.replace(name, frame)
-    shown = []
-    for name in names:
-        value = "valor_rateado" if name.startswith("vw_") else "codigo_veiculo"
-        shown.append(spark.table(f"{warehouse.database}.{name}").agg(
-            F.lit(name).alias("view_name"), F.count("*").alias("row_count"), F.count("codigo_voluntario").alias("owners"),
-            F.count_distinct("codigo_voluntario").alias("distinct_owners"), F.round(F.sum(F.col(value).cast("double")), 2).alias("total"),
-        ).select("view_name", "row_count", "owners", "distinct_owners", "total"))
-    return append(*shown)
+    return warehouse, names
 
 
 def _dim_and_batch(spark, sf):
