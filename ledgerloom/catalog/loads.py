@@ -588,6 +588,22 @@ ON b.codigo_boleto = c.codigo_boleto""").replace("ORDER BY seq", "ORDER BY seq D
 def initial_load(spark, sf):
     warehouse = I.new_warehouse(spark, "initial")
     jobs.initial_load(warehouse, _invoice_raw(spark, sf), DAY2, ORDER)
+    return _loaded(warehouse)
+
+
+@query("initial_load_by_slice", _invoice_sql("""
+SELECT c.codigo_boleto, c.pago, c.valor_boleto, b.parts, round(b.allocated, 2) AS allocated FROM clean c
+LEFT JOIN (SELECT codigo_boleto, count(*) AS parts, sum(valor_rateado) AS allocated FROM (""" + _BRIDGE_ROWS + """) GROUP BY 1) b
+ON b.codigo_boleto = c.codigo_boleto""").replace("ORDER BY seq", "ORDER BY seq DESC"))
+def initial_load_by_slice(spark, sf):
+    """As ``initial_load``, in slices of some years of due days."""
+    warehouse = I.new_warehouse(spark, "slices")
+    history = _invoice_raw(spark, sf).withColumn("years", F.expr("cast(left(data_vencimento, 4) as int) div 3"))
+    jobs.initial_load_by_slice(warehouse, history, "years", DAY2, ORDER)
+    return _loaded(warehouse)
+
+
+def _loaded(warehouse):
     parts = warehouse.read(jobs.BRIDGE).groupBy("codigo_boleto").agg(
         F.count("*").alias("parts"), F.round(F.sum("valor_rateado"), 2).alias("allocated")
     )

@@ -188,7 +188,46 @@ def initial_load(
     """
     if status is not None:
         checks.refuse_incomplete(status, "slice", "error", "invoices")
-    latest = keep_last(history, ["codigo_boleto"], order)
+    _load_history(warehouse, history, run, order)
+
+
+def initial_load_by_slice(
+    warehouse: Warehouse,
+    history: DataFrame,
+    slice_column: str,
+    run: Run,
+    order: Sequence[str],
+    status: DataFrame | None = None,
+    ledger: str = "initial",
+) -> int:
+    """As ``initial_load``, slice by slice (a month of extraction, say); returns how many slices were loaded.
+
+    The state is that of the last record of each invoice by slice, then order. An invoice is loaded with its last slice
+    only, so no slice undoes what another did, and each reads its own records. Slices that are done are listed in a
+    table beside the warehouse's: a run that stopped goes on with the first that is not, and the slice it stopped in
+    is loaded again, to the same state. The history must be complete when the first run begins.
+    """
+    if status is not None:
+        checks.refuse_incomplete(status, "slice", "error", "invoices")
+    key, listed = "codigo_boleto", f"{warehouse.root}/_progress/{ledger}"
+    last = warehouse.land(history.groupBy(key).agg(F.max(slice_column).alias("__last")), "last-slices")
+    done = warehouse.spark.read.schema("slice string").option("recursiveFileLookup", True)
+    finished = {row[0] for row in done.parquet(listed).collect()} if warehouse.has_files(listed) else set()
+    # One row for each slice of the calendar.
+    slices = sorted(row[0] for row in last.select("__last").distinct().collect() if row[0] is not None)
+    todo = [value for value in slices if str(value) not in finished]
+    for value in todo:
+        own = last.filter(F.col("__last") == F.lit(value)).select(F.col(key).alias("__key"))
+        records = history.filter(F.col(slice_column) == F.lit(value))
+        records = records.join(own, records[key].eqNullSafe(own["__key"]), "left_semi")
+        _load_history(warehouse, records.drop(slice_column) if slice_column not in order else records, run, order)
+        marked = warehouse.spark.createDataFrame([(str(value),)], "slice string")
+        marked.coalesce(1).write.mode("append").parquet(listed)
+    return len(todo)
+
+
+def _load_history(warehouse: Warehouse, records: DataFrame, run: Run, order: Sequence[str]) -> None:
+    latest = keep_last(records, ["codigo_boleto"], order)
     clean = warehouse.land(T.clean_invoices(latest, order), "initial-invoices")
     invoices, bridge = T.invoice_tables(clean, run.reference)
     bridge = warehouse.land(bridge, "initial-bridge")

@@ -62,6 +62,9 @@ class Warehouse:
         files = place.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
         return list(files.listStatus(place)) if files.exists(place) else []
 
+    def has_files(self, path: str) -> bool:
+        return bool(self._folder(path))
+
     def _published(self, table: str) -> dict | None:
         """The last published description of a table: path, columns, partition column and layout."""
         folder = f"{self.root}/_published/{table}"

@@ -221,3 +221,31 @@ def test_an_upsert_reads_only_the_ranges_it_touches(spark, loaded):
     state = spark.table(warehouse.name(jobs.FACTS)).filter(F.col("id_range").isin([2])).select("codigo_boleto")
     plan = state._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [" in plan and "id_range" in plan.split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_initial_load_by_slice_goes_on_where_it_stopped(spark, warehouse, tmp_path, monkeypatch):
+    day = sources(spark, 1)["invoices"]
+    moved = day.filter("codigo_boleto = '1'").withColumns({"veiculo": F.array(), "valor_boleto": F.lit("7"), "seq": F.lit(9)})
+    other = day.filter("codigo_boleto = '1'").withColumns({"codigo_boleto": F.lit("31"), "seq": F.lit(10)})
+    months = [day.withColumn("month", F.lit("2026-05")), moved.withColumn("month", F.lit("2026-06")), other.withColumn("month", F.lit("2026-07"))]
+    history = months[0].unionByName(months[1]).unionByName(months[2])
+    whole = Warehouse(spark, str(tmp_path / "whole"), "wh_whole_history", range_size=10)
+    jobs.initial_load(whole, history.drop("month"), DAY1, ORDER)
+
+    real, calls = jobs.load_bridge, []
+
+    def stops(*args, **options):
+        calls.append(1)
+        if len(calls) == 2:
+            raise OSError("killed")
+        return real(*args, **options)
+
+    load = lambda: jobs.initial_load_by_slice(warehouse, history, "month", DAY1, ORDER)
+    monkeypatch.setattr(jobs, "load_bridge", stops)
+    with pytest.raises(OSError):
+        load()
+    assert load() == 2 and load() == 0  # the month it stopped in, and the one behind it
+    for table, columns in ((jobs.FACTS, ["codigo_boleto", "valor_boleto", "veiculo", "pago"]), (jobs.BRIDGE, ["codigo_boleto", "codigo_veiculo", "valor_rateado"])):
+        state = lambda w: sorted(map(str, w.read(table).select(*columns).collect()))
+        assert state(warehouse) == state(whole)
+    assert {r.codigo_boleto for r in warehouse.read(jobs.BRIDGE).collect()} == {"25", "31"}
