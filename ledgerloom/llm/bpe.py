@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import struct
 from functools import lru_cache
 
 import numpy as np
@@ -16,8 +17,10 @@ from ledgerloom.session import settle
 
 CHUNK_CHARS = 1 << 16
 OVERLAP_CHARS = 1 << 11
-#: Distinct pre-tokens whose ids a task keeps; the store is emptied when full.
+#: Distinct pre-tokens whose ids a task keeps: so many, and as many of those before that were not used since.
 KEPT_PIECES = 100_000
+#: Bytes up to which looking at all pairs again after each merge takes less than a heap of them.
+SCANNED_BYTES = 32
 
 
 @lru_cache(maxsize=2)
@@ -34,6 +37,8 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     """
     if piece in ranks:
         return [ranks[piece]]
+    if len(piece) <= SCANNED_BYTES:
+        return merge_short(piece, ranks)
     import heapq
 
     n = len(piece)
@@ -61,17 +66,39 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     return out
 
 
+def merge_short(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """As ``merge``, over a list of parts and the ranks of their pairs."""
+    none = len(ranks)
+    parts = [piece[i : i + 1] for i in range(len(piece))]
+    pairs = [ranks.get(a + b, none) for a, b in zip(parts, parts[1:])]
+    while pairs and (least := min(pairs)) < none:
+        i = pairs.index(least)
+        parts[i : i + 2] = [parts[i] + parts[i + 1]]
+        del pairs[i]
+        if i < len(pairs):
+            pairs[i] = ranks.get(parts[i] + parts[i + 1], none)
+        if i:
+            pairs[i - 1] = ranks.get(parts[i - 1] + parts[i], none)
+    return [ranks[p] for p in parts]
+
+
 class PieceEncoder(dict):
-    """Pre-token to its ids as little-endian unsigned 32-bit integers."""
+    """Pre-token to its ids as little-endian unsigned 32-bit integers.
+
+    When the store is full it becomes the older one, and what is still asked for comes back from there: frequent
+    pieces stay, whatever passes by.
+    """
 
     def __init__(self, ranks: dict[bytes, int]):
         super().__init__()
-        self.ranks = ranks
+        self.ranks, self.older = ranks, {}
 
     def __missing__(self, piece: str) -> bytes:
-        ids = np.array(merge(piece.encode("utf-8"), self.ranks), "<u4").tobytes()
+        if (ids := self.older.get(piece)) is None:
+            ids = struct.pack(f"<{len(found)}I", *found) if len(found := merge(piece.encode("utf-8"), self.ranks)) < 64 else np.array(found, "<u4").tobytes()
         if len(piece) <= 64:
             if len(self) >= KEPT_PIECES:
+                self.older = dict(self)
                 self.clear()
             self[piece] = ids
         return ids
@@ -108,14 +135,18 @@ def _zones(pattern_text: str) -> PerTask:
     return PerTask(per_task)
 
 
-def _encoder(pattern_text: str, ranks: dict[bytes, int]) -> PerTask:
+def _encoder(pattern_text: str, ranks: dict[bytes, int], digests: bool = False) -> PerTask:
+    """Ids in place of the last column, the text; on request with their digests, in the same pass."""
+    tokens = tokens_of(ranks) if digests else []
+
     def per_task():
         import regex
 
         find, encode = regex.compile(pattern_text).findall, PieceEncoder(ranks)
 
         def run(*row):
-            yield (*row[:-1], b"".join(map(encode.__getitem__, find(row[-1]))))
+            ids = b"".join(map(encode.__getitem__, find(row[-1])))
+            yield (*row[:-1], ids, *(digests_of(ids, tokens) if digests else ()))
 
         return run
 
@@ -126,8 +157,9 @@ def _kinds(df: DataFrame) -> str:
     return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema)
 
 
-def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, keep: tuple[str, ...] = (), text_col: str = "text", chunk: int = CHUNK_CHARS, overlap: int = OVERLAP_CHARS) -> DataFrame:
-    """Columns row (the row's number), those in ``keep``, and ids (binary, little-endian unsigned 32-bit integers), for every row.
+def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, keep: tuple[str, ...] = (), text_col: str = "text", chunk: int = CHUNK_CHARS, overlap: int = OVERLAP_CHARS, digests: bool = False) -> DataFrame:
+    """Columns row (the row's number), those in ``keep``, and ids (binary, little-endian unsigned 32-bit integers), for every row;
+    with ``digests`` also the columns of ``with_digests``, which short texts get in the same pass.
 
     A text longer than ``chunk`` characters is cut into chunks that overlap by ``overlap``. Tasks pre-tokenise the
     chunks in parallel, each from its own start, which may lie inside a pre-token. Two neighbours resynchronise at
@@ -139,12 +171,14 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, keep: tuple[s
     """
     rows = with_row_id(docs.select(*keep, F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_text")), "row").select("row", *keep, F.col("_text").alias("text"))
     kept = rows.select("row", *keep)
-    short = map_rows(rows.where(F.length("text") <= chunk), _encoder(pattern, ranks), f"{_kinds(kept)}, ids binary")
+    short = map_rows(rows.where(F.length("text") <= chunk), _encoder(pattern, ranks, digests), f"{_kinds(kept)}, ids binary{', ' + DIGESTS if digests else ''}")
     long = rows.where(F.length("text") > chunk)
     count = F.ceil(F.length("text") / F.lit(chunk)).cast("int")
-    cut = long.select("row", "text", count.alias("n"), F.explode(F.sequence(F.lit(0), count - 1)).alias("k"))
-    piece = F.substring(F.col("text"), F.col("k") * chunk + 1, F.lit(chunk + overlap))
-    chunks = settle(cut.select("row", "k", (F.col("k") == F.col("n") - 1).alias("last"), piece.alias("piece")).repartition("row", "k"), "chunks")
+    cut = long.select("row", *keep, F.col("text").alias("_text"), count.alias("_n"), F.explode(F.sequence(F.lit(0), count - 1)).alias("_k"))
+    piece = F.substring(F.col("_text"), F.col("_k") * chunk + 1, F.lit(chunk + overlap))
+    # What goes with a row is written with its first chunk: row numbers are taken once and hold from here on.
+    with_row = F.when(F.col("_k") == 0, F.struct("row", *keep)).alias("kept")
+    chunks = settle(cut.select("row", F.col("_k").alias("k"), (F.col("_k") == F.col("_n") - 1).alias("last"), piece.alias("piece"), with_row).repartition("row", "k"), "chunks")
     zones = map_rows(chunks.select("row", "k", "last", "piece", F.lit(chunk), F.lit(overlap)), _zones(pattern), "row long, k int, head array<long>, tail array<long>")
     w = Window.partitionBy("row").orderBy("k")
     common = F.array_min(F.array_intersect("head", F.lag("tail").over(w)))
@@ -165,7 +199,8 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, keep: tuple[s
     encoded = map_rows(pieces, _encoder(pattern, ranks), "row long, k int, ids binary")
     whole = encoded.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("k", "ids"))).alias("parts"))
     whole = whole.select("row", F.aggregate("parts", F.lit(b"").cast("binary"), lambda a, p: F.concat(a, p["ids"])).alias("ids"))
-    return short.unionByName(long.select("row", *keep).join(whole, "row"))
+    long = chunks.where("k = 0").select("kept.*").join(whole, "row").select("row", *keep, "ids")
+    return short.unionByName(with_digests(long, ranks) if digests else long)
 
 
 def decode(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
@@ -182,15 +217,21 @@ def tokens_of(ranks: dict[bytes, int]) -> list[bytes]:
     return [t for t, _ in sorted(ranks.items(), key=lambda x: x[1])]
 
 
+DIGESTS = "n_tokens long, ids_sha256 string, decoded_sha256 string"
+
+
+def digests_of(ids: bytes, tokens: list[bytes]) -> tuple[int, str, str]:
+    return len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(decode_ids(ids, tokens)).hexdigest()
+
+
 def with_digests(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
     """Adds n_tokens, ids_sha256 and decoded_sha256, of the ids and of the bytes decoded from them; ids last of the given."""
     tokens = tokens_of(ranks)
 
     def run(*row):
-        ids = row[-1]
-        yield (*row, len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(decode_ids(ids, tokens)).hexdigest())
+        yield (*row, *digests_of(row[-1], tokens))
 
-    return map_rows(encoded, run, f"{_kinds(encoded)}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return map_rows(encoded, run, f"{_kinds(encoded)}, {DIGESTS}")
 
 
 def public_bpe() -> tuple[dict[bytes, int], str]:
@@ -203,5 +244,5 @@ def public_bpe() -> tuple[dict[bytes, int], str]:
 @query("op2_bpe")
 def op2_bpe(spark, sf_dir):
     ranks, pattern = public_bpe()
-    encoded = encode(table(spark, sf_dir, "documents", "doc_id", "text"), ranks, pattern, keep=("doc_id",))
-    return with_digests(encoded, ranks).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+    encoded = encode(table(spark, sf_dir, "documents", "doc_id", "text"), ranks, pattern, keep=("doc_id",), digests=True)
+    return encoded.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")

@@ -67,3 +67,42 @@ def test_whole_table(spark, ranks, reference):
         ids = reference.encode_ordinary(d.text)
         want[d.doc_id] = (len(ids), hashlib.sha256(struct.pack(f"<{len(ids)}I", *ids)).hexdigest(), hashlib.sha256(d.text.encode()).hexdigest())
     assert got == want
+
+
+def test_short_and_long_merges_agree_and_a_full_store_keeps_what_is_asked_for(monkeypatch):
+    import random
+
+    from ledgerloom.llm import bpe
+
+    ranks, _ = bpe.public_bpe()
+    rng = random.Random(2)
+    for _ in range(400):
+        piece = "".join(rng.choice("aeinorst zä€1") for _ in range(rng.randint(1, 32))).encode()
+        scanned = bpe.merge(piece, ranks)
+        monkeypatch.setattr(bpe, "SCANNED_BYTES", 0)
+        assert bpe.merge(piece, ranks) == scanned
+        monkeypatch.undo()
+    monkeypatch.setattr(bpe, "KEPT_PIECES", 5)
+    encode = bpe.PieceEncoder(ranks)
+    want = bpe.PieceEncoder(ranks)["often"]
+    for i in range(40):
+        assert encode[f"word{i}"] and encode["often"] == want
+        assert len(encode) <= 5 and len(encode.older) <= 5
+
+
+def test_row_numbers_hold_when_the_splits_change(spark, tmp_path):
+    """Splits that differ between the call and the reading must not part a long text from its own columns."""
+    from ledgerloom.llm import bpe
+
+    ranks, pattern = bpe.public_bpe()
+    docs = [(i, f"text {i} " * (900 if i % 3 == 0 else 3)) for i in range(60)]
+    spark.createDataFrame(docs, "doc_id long, text string").repartition(6).write.parquet(str(tmp_path / "d"))
+    encoded = bpe.encode(spark.read.parquet(str(tmp_path / "d")), ranks, pattern, keep=("doc_id",), chunk=2000, overlap=200, digests=True)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+    try:
+        rows = encoded.collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    tokens = bpe.tokens_of(ranks)
+    assert {r.doc_id: bpe.decode_ids(r.ids, tokens).decode() for r in rows} == dict(docs) and len(rows) == 60
