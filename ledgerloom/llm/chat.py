@@ -74,6 +74,7 @@ def windows(conversations: DataFrame, budget: int = BUDGET, history: int = HISTO
         F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), F.monotonically_increasing_id().alias("row"),
     )
+    turns = settle(turns, "turns")  # numbered once: a second reading may be split otherwise
     sized = turns.withColumn("tokens", tokens(F.col("text"))).withColumn("tie", F.xxhash64("text"))
     placed = settle(_placed(sized.drop("text"), blocks), "placed")
 

@@ -40,8 +40,8 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
 def with_row_id(df: DataFrame, name: str) -> DataFrame:
     """A number for each row; ids in the data may repeat or be null.
 
-    It is the same each time the same files are read, whichever columns are asked for. A frame that comes out of a
-    shuffle has no such order: settle it first.
+    It depends on how the scan is split, so it holds for one reading: settle the rows, or take the number along in the
+    plan, where a second reading must find the same numbers.
     """
     return df.withColumn(name, F.monotonically_increasing_id())
 

@@ -360,7 +360,7 @@ def _near_lines(rows: DataFrame, texts: DataFrame, places: DataFrame) -> DataFra
         still = rows.join(left_open.withColumn("open", F.lit(True)), "h", "left").withColumn("open", F.coalesce("open", F.lit(False)))
 
 
-def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", row_col: str | None = None) -> DataFrame:
     """Columns doc_id, row, line, kept_doc_id, kept_row, kept_line, edits: a row for each line that is to go.
 
     Lines end at a line feed and are numbered from 0; they are compared as lower-cased words. A line goes if any
@@ -375,7 +375,8 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     candidates, earliest first and a few for each line at a time; word sets sieve them and the edit distance is
     verified on the words. Texts of such lines are fetched by another reading.
     """
-    texts = with_row_id(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")), "row").select("doc_id", "row", "text")
+    row = F.col(row_col) if row_col else F.monotonically_increasing_id()
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), row.alias("row"), F.col(text_col).cast("string").alias("text"))
     lines = settle(_lines(texts), "lines")
     first = settle(lines.groupBy("h", "g").agg(F.min(_place()).alias("first")), "first-lines")
 
@@ -394,8 +395,9 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 def without_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs``, all columns and rows, with the lines taken out of the texts that repeat an earlier one."""
-    gone = repeated_lines(docs, id_col, text_col).groupBy(F.col("row").alias("_lines_row")).agg(F.collect_list("line").alias("_lines_gone"))
-    rows = with_row_id(docs, "_lines_row").join(gone, "_lines_row", "left")
+    numbered = settle(with_row_id(docs, "_lines_row"), "numbered")  # once: a second reading may be split otherwise
+    gone = repeated_lines(numbered, id_col, text_col, "_lines_row").groupBy(F.col("row").alias("_lines_row")).agg(F.collect_list("line").alias("_lines_gone"))
+    rows = numbered.join(gone, "_lines_row", "left")
     parts = F.split(F.col(text_col), "\n", -1)
     left = F.array_except(F.sequence(F.lit(0).cast("long"), F.size(parts).cast("long") - 1), "_lines_gone")
     kept = F.array_join(F.transform(left, lambda i: F.get(parts, i.cast("int"))), "\n")

@@ -43,8 +43,8 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Columns doc_id, row (the row's number), fp (the fingerprint as a signed long). Null text counts as empty."""
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", row_col: str | None = None) -> DataFrame:
+    """Columns doc_id, row (the row's number, or ``row_col``), fp (the fingerprint as a signed long). Null text counts as empty."""
 
     def run(batches):
         for batch in batches:
@@ -52,7 +52,8 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             fps = pa.array([_signed(fingerprint_of(t.as_py() or b"")) for t in texts], pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), fps], names=["doc_id", "row", "fp"])
 
-    rows = with_row_id(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")), "row")
+    row = F.col(row_col) if row_col else F.monotonically_increasing_id()
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), row.alias("row"), F.col(text_col).cast("string").alias("text"))
     return in_arrow(rows.select("doc_id", "row", "text"), run, "doc_id long, row long, fp long")
 
 
@@ -157,14 +158,14 @@ def links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
     return in_arrow(dealt.repartition("gid").sortWithinPartitions("gid"), run, "a long, b long")
 
 
-def simhash(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def simhash(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", row_col: str | None = None) -> DataFrame:
     """Columns doc_id, row, fp, component (a fingerprint that names the group), for every row.
 
     Groups are the components of fingerprints that differ in three bits or fewer. Null and empty texts have
     fingerprint 0 and link like any other. Equal fingerprints meet once, so a third of all rows being copies costs
     a partial aggregation. Null ids keep their row. An empty table gives no rows; other columns are ignored.
     """
-    rows = settle(fingerprints(docs, id_col, text_col), "fingerprints")
+    rows = settle(fingerprints(docs, id_col, text_col, row_col), "fingerprints")
     distinct = rows.select("fp").distinct()
     found = components(links(distinct))
     known = settle(distinct.join(found.withColumnRenamed("node", "fp"), "fp", "left").select("fp", F.coalesce("root", "fp").alias("component")), "classes")
@@ -179,10 +180,11 @@ def with_component_id(rows: DataFrame) -> DataFrame:
 
 def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns, with one row for each group: that of the smallest id (nulls last), then the first."""
-    rows = simhash(docs, id_col, text_col)
+    numbered = settle(with_row_id(docs, "_simhash_row"), "numbered")  # once: a second reading may be split otherwise
+    rows = simhash(numbered, id_col, text_col, "_simhash_row")
     first = rows.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "row")).alias("f"))
     kept = first.select(F.col("f.row").alias("_simhash_row"))
-    return with_row_id(docs, "_simhash_row").join(kept, "_simhash_row", "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return numbered.join(kept, "_simhash_row", "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 @query("op8_simhash")

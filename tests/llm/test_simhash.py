@@ -97,3 +97,22 @@ def test_whole_table(spark):
     fps = [fingerprint(d.text) for d in docs]
     want = groups([(d.doc_id, f) for d, f in zip(docs, fps)])
     assert got == {d.doc_id: (f"{f:016x}", w) for d, f, w in zip(docs, fps, want)}
+
+
+def test_splits_that_change_before_the_reading_lose_no_document(spark, tmp_path):
+    from ledgerloom.llm.lines import without_repeated_lines
+    from ledgerloom.llm.simhash import representatives
+
+    docs = [(i, f"document {i} tells of {i * i} things and of {i * 7} more\nthe same line stands in every one\nend of {i}") for i in range(80)]
+    spark.createDataFrame(docs, "doc_id long, text string").repartition(4).write.parquet(str(tmp_path / "d"))
+    read = spark.read.parquet(str(tmp_path / "d"))
+    want = sorted(map(tuple, representatives(read).collect())), sorted(map(tuple, without_repeated_lines(read).collect()))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    frames = representatives(read), without_repeated_lines(read)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "600")
+    try:
+        got = tuple(sorted(map(tuple, f.collect())) for f in frames)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert got == want and len(got[1]) == 80
+    assert sum("the same line" in t for _, t in got[1]) == 1
