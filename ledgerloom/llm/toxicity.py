@@ -26,6 +26,8 @@ LEAST_TEXTS = 4
 THRESHOLD = 0.3
 ORDER = 3
 KEPT_TOKENS = 100_000
+#: First letters by which a token is known to be unable to stand for a word that counts: those of the shortest beginnings.
+LEADING = 3
 
 # What a sign can stand for.
 LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "€": "e", "(": "c"}
@@ -133,17 +135,33 @@ def features_of(word: str) -> list[str]:
     return ["=" + word, *("^" + word[:n] for n in (3, 4, 5, 6) if len(word) > n)]
 
 
+def can_begin(token: str, beginnings: set[str]) -> bool:
+    """Whether any word that the token can stand for begins as one of some words does. ``beginnings`` holds the first
+    letters of these, none to ``LEADING`` of them."""
+    open_ones = {""}
+    for options in lattice(token):
+        open_ones = {start for known in open_ones for letters, _ in options if (start := (known + letters)[:LEADING]) in beginnings}
+        if not open_ones:
+            return False
+    return True
+
+
 class Reader(dict):
-    """Lower-cased token to what is read from it: ``wanted`` of its words and of the word restored from it."""
+    """Lower-cased token to what is read from it: ``wanted`` of its words and of the word restored from it.
+
+    With ``beginnings`` a token is decoded only if what comes out can be wanted, which changes no result.
+    """
 
-    def __init__(self, model: CharModel, wanted):
+    def __init__(self, model: CharModel, wanted, beginnings: set[str] | None = None):
         super().__init__()
-        self.model, self.wanted = model, wanted
+        self.model, self.wanted, self.beginnings = model, wanted, beginnings
 
     def __missing__(self, token: str) -> tuple[str, ...]:
         words = WORD.findall(token)
         for core in {MARGINS.sub("", token), OUTER.sub("", token)}:
-            if NOISY.search(core) and (restored := restore(core, self.model)) and restored not in words:
+            if not NOISY.search(core) or self.beginnings is not None and not can_begin(core, self.beginnings):
+                continue
+            if (restored := restore(core, self.model)) and restored not in words:
                 words.append(restored)
         found = tuple(f for word in words for f in self.wanted(word))
         if len(token) <= 64:
@@ -228,7 +246,8 @@ class Scorer:
         self.grams, self.bias, self.weights = grams, bias, weights
 
     def reader(self) -> Reader:
-        return Reader(CharModel(self.grams), lambda word: [f for f in features_of(word) if f in self.weights])
+        beginnings = {f[1 : 1 + n] for f in self.weights for n in range(LEADING + 1)}
+        return Reader(CharModel(self.grams), lambda word: [f for f in features_of(word) if f in self.weights], beginnings)
 
     def score(self, reader: Reader, text: str | None) -> float:
         total = self.bias + sum(map(self.weights.__getitem__, sorted(reader.read(text))))

@@ -95,3 +95,26 @@ def test_held_out_accuracy_on_the_table(spark):
     hits = sum(r.predicted and truth[r.doc_id] for r in rows)
     assert hits >= 0.8 * sum(truth[r.doc_id] for r in rows)
     assert hits >= 0.85 * sum(r.predicted for r in rows)
+
+
+def test_tokens_that_cannot_count_are_left_alone_without_a_difference():
+    import random
+    from collections import Counter
+
+    from ledgerloom.llm import toxicity as T
+
+    words = ["idiot", "stupid", "trash", "is", "a", "moron", "letter", "apple", "green", "street", "ugly", "scum"]
+    grams = dict(T.gram_counts(Counter({w: 50 for w in words})))
+    weights = {"=idiot": 1.0, "^stu": 1.0, "=ugly": 1.0, "^scu": 0.5, "=a": 0.1, "^mor": 1.0}
+    scorer = T.Scorer(grams, 0.0, weights)
+    wanted = lambda word: [f for f in T.features_of(word) if f in weights]
+    quick, full = scorer.reader(), T.Reader(T.CharModel(grams), wanted)
+    rng = random.Random(4)
+    written = {"i": "i1!|", "o": "o0", "s": "s5$", "a": "a4@", "t": "t7+", "e": "e3", "g": "g69", "c": "c("}
+    tokens = set()
+    for _ in range(3000):
+        word = "".join(rng.choice(written.get(c, c)) * rng.choice([1, 1, 1, 2, 3]) for c in rng.choice(words))
+        tokens.add(rng.choice(["", "(", "$"]) + rng.choice(["", ".", "-", "*"]).join([word[: len(word) // 2], word[len(word) // 2 :]]) + rng.choice(["", ".", "!", ","]))
+    found = {t: full[t] for t in tokens}
+    assert {t: quick[t] for t in tokens} == found and sum(map(bool, found.values())) > 500
+    assert sum(T.can_begin(t, quick.beginnings) for t in tokens) < len(tokens)
