@@ -9,7 +9,7 @@ from ledgerloom.catalog.columns import BUCKET_SQL, bridge
 from ledgerloom.catalog.registry import query
 from ledgerloom.functions import billing
 from ledgerloom.operators import scd2, views
-from ledgerloom.operators.as_of import as_of_key, as_of_once
+from ledgerloom.operators.as_of import as_of_key, as_of_once, version_key
 from ledgerloom.operators.lookup import lookup_join
 from ledgerloom.operators.shaping import append
 from ledgerloom.operators.skew import hot_keys
@@ -31,7 +31,7 @@ def _with_sql(names, extra, body):
 def pit_join(spark, sf):
     facts = _facts(spark, sf)
     hot = hot_keys(facts, "l_partkey")
-    return as_of_key(facts, I.history(spark, sf), "l_partkey", "day", "part", "sk", hot)
+    return version_key(facts, I.history(spark, sf), "l_partkey", "day", "part", "sk", hot)
 
 
 # Each version lasts 30 days beyond the start of the next one; the latest start must win.
@@ -48,7 +48,8 @@ def pit_join_dedupe(spark, sf):
 @query("series_align", _with_sql("history", FACT_SQL, f"""
 SELECT f.day, count(*) AS facts, count(h.sk) AS resolved FROM facts f LEFT JOIN history h ON {PIT} GROUP BY 1"""))
 def series_align(spark, sf):
-    keyed = pit_join(spark, sf)
+    facts = _facts(spark, sf)
+    keyed = as_of_key(facts, I.history(spark, sf), "l_partkey", "day", "part", "sk", hot_keys(facts, "l_partkey"))
     return keyed.groupBy("day").agg(F.count("*").alias("facts"), F.count("sk").alias("resolved"))
 
 

@@ -16,11 +16,13 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ledgerloom.operators.dedupe import keep_last
 from ledgerloom.operators.skew import NONE_HOT, _every_salt, _salt, _with_parts
-from ledgerloom.operators.temporal import VALID_FROM, VALID_TO, covers, point_in_time_key_once
+from ledgerloom.operators.temporal import VALID_FROM, VALID_TO, covers, point_in_time_key, point_in_time_key_once
 from ledgerloom.session import settle
 
 #: Days of a bucket. A key's rows are ordered, and its versions repeated once at most, for each.
 BUCKET_DAYS = 64
+#: Versions of a key up to which a fact may meet them all: fewer rows than a second shuffle would move.
+SHORT_LIST = 64
 #: Into how many buckets facts without key or day are dealt, as they need no version.
 LOOSE = 4096
 
@@ -86,6 +88,19 @@ def as_of_key(
     return as_of(facts, versions, fact_key, fact_day, key, [surrogate], hot)
 
 
+def longest_list(versions: DataFrame, key: str) -> int:
+    """Versions of the key that has most."""
+    return versions.groupBy(key).agg(F.count(F.lit(1)).alias("__n")).agg(F.max("__n")).first()[0] or 0
+
+
+def version_key(
+    facts: DataFrame, versions: DataFrame, fact_key: str, fact_day: str, key: str, surrogate: str, hot: DataFrame | None = NONE_HOT
+) -> DataFrame:
+    """The join while every key has few versions, the merge from ``SHORT_LIST`` on. For versions that do not overlap both give the same rows."""
+    way = point_in_time_key if longest_list(versions, key) <= SHORT_LIST else as_of_key
+    return way(facts, versions, fact_key, fact_day, key, surrogate, hot)
+
+
 def outlived(versions: DataFrame, key: str) -> DataFrame:
     """Keys with a version that ends before one that started earlier does: there the last start may be over already."""
     start = Window.partitionBy(key).orderBy(VALID_FROM)

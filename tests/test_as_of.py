@@ -7,7 +7,7 @@ from datetime import date, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerloom.operators.as_of import as_of_key, as_of_once, outlived
+from ledgerloom.operators.as_of import as_of_key, as_of_once, longest_list, outlived, version_key
 from ledgerloom.operators.skew import hot_keys
 from ledgerloom.operators.temporal import point_in_time_key
 
@@ -104,3 +104,5 @@ def test_agrees_with_the_join(spark):
     df, dim = spark.createDataFrame(facts_of(rng, keys, 300), FACTS), spark.createDataFrame(versions, VERSIONS)
     args = (df.drop("valido_de"), dim, "code", "day", "key", "sk")
     assert sorted(map(str, as_of_key(*args).collect())) == sorted(map(str, point_in_time_key(*args).collect()))
+    assert sorted(map(str, version_key(*args).collect())) == sorted(map(str, as_of_key(*args).collect()))
+    assert longest_list(dim, "key") == max(sum(v[0] == k for v in versions) for k in keys) and longest_list(dim.limit(0), "key") == 0
