@@ -19,6 +19,8 @@ from ledgerloom.session import fresh_path
 
 REF, NOW = date(2001, 8, 2), datetime(2001, 8, 2, 3, 0, 0)
 SPLIT = date(1996, 7, 1)
+#: Lines that one task of a history takes.
+TASK_LINES = 1_000_000
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -139,9 +141,14 @@ history AS (
 
 def history(spark: SparkSession, sf: str) -> DataFrame:
     """Versions of each part: whoever shipped it last is responsible until the next shipment."""
-    states = table(spark, sf, "lineitem").groupBy(F.col("l_partkey").alias("part"), F.to_date("l_shipdate").alias("day")).agg(
-        F.max("l_suppkey").alias("owner")
-    )
+    lines = table(spark, sf, "lineitem")
+    # More lines than the session's tasks should sort are dealt over as many tasks as they need.
+    tasks = -(-lines.count() // TASK_LINES)
+    many = tasks > int(spark.conf.get("spark.sql.shuffle.partitions"))
+    shipped = lines.select(F.col("l_partkey").alias("part"), F.to_date("l_shipdate").alias("day"), "l_suppkey")
+    shipped = shipped.repartition(tasks, "part", "day") if many else shipped
+    states = shipped.groupBy("part", "day").agg(F.max("l_suppkey").alias("owner"))
+    states = states.repartition(tasks, "part") if many else states
     number = F.col("part") * 100000 + F.datediff("valido_de", F.lit(date(1990, 1, 1)))
     return versions_from_changes(states, "part", "day").withColumn("sk", number)
 

@@ -102,31 +102,29 @@ def interval_faults(dim: DataFrame, key: str, flag: str = "vigente") -> DataFram
     Starts count +1 and ends -1. They are summed per key and day first, so the
     running depth only sees one row per key and calendar day however many
     versions a key has. Depth above one is an overlap; depth zero before the last
-    day is a gap. Zero-length versions cancel out and are legal.
+    day is a gap. Zero-length versions cancel out and are legal. Versions are read
+    once: what is counted of each travels with its start.
     """
-    edges = dim.select(
-        F.col(key),
-        F.explode(
-            F.array(
-                F.struct(F.col(VALID_FROM).alias("day"), F.lit(1).alias("step")),
-                F.struct(F.col(VALID_TO).alias("day"), F.lit(-1).alias("step")),
-            )
-        ).alias("edge"),
-    ).select(key, "edge.day", "edge.step")
-    days = edges.filter("day is not null").groupBy(key, "day").agg(F.sum("step").alias("step"))
-    by_day = Window.partitionBy(key).orderBy("day")
-    depth = days.filter("step <> 0").select(
-        key,
-        F.sum("step").over(by_day.rowsBetween(Window.unboundedPreceding, 0)).alias("depth"),
-        F.lead("day").over(by_day).isNotNull().alias("has_next"),
+    inverted = F.when(F.col(VALID_TO) < F.col(VALID_FROM), 1).otherwise(0)
+    start = F.struct(
+        F.col(VALID_FROM).alias("day"), F.lit(1).alias("step"), inverted.alias("inverted"),
+        F.when(F.col(flag), 1).otherwise(0).alias("current"),
     )
-    sweep = depth.groupBy(key).agg(
-        F.sum(F.when(F.col("depth") > 1, 1).otherwise(0)).alias("overlaps"),
-        F.sum(F.when((F.col("depth") <= 0) & F.col("has_next"), 1).otherwise(0)).alias("gaps"),
+    end = F.struct(F.col(VALID_TO).alias("day"), F.lit(-1).alias("step"), F.lit(0).alias("inverted"), F.lit(0).alias("current"))
+    edges = dim.select(F.col(key), F.explode(F.array(start, end)).alias("edge")).select(key, "edge.*")
+    # A start without a day is only counted, and no day of a null key tells of a key's intervals.
+    step = F.when(F.col("day").isNotNull() & F.col(key).isNotNull(), F.col("step")).otherwise(0)
+    days = edges.filter("day is not null or step = 1").groupBy(key, "day").agg(
+        F.sum(step).alias("step"), F.sum("inverted").alias("inverted"), F.sum("current").alias("current")
     )
-    counts = dim.groupBy(key).agg(
-        F.sum(F.when(F.col(VALID_TO) < F.col(VALID_FROM), 1).otherwise(0)).alias("inverted"),
-        F.sum(F.when(F.col(flag), 1).otherwise(0)).alias("current_versions"),
+    running = Window.partitionBy(key).orderBy("day").rowsBetween(Window.unboundedPreceding, 0)
+    moved, depth = F.col("step") != 0, F.col("depth")
+    # The last day that moves the depth leaves it at the sum of all steps; it is no gap.
+    closed = F.when((F.count(F.when(moved, 1)) > 0) & (F.sum("step") <= 0), 1).otherwise(0)
+    sweep = days.withColumn("depth", F.sum("step").over(running)).groupBy(key).agg(
+        F.sum("inverted").alias("inverted"),
+        F.sum("current").alias("current_versions"),
+        F.sum(F.when(moved & (depth > 1), 1).otherwise(0)).alias("overlaps"),
+        (F.sum(F.when(moved & (depth <= 0), 1).otherwise(0)) - closed).alias("gaps"),
     )
-    joined = counts.join(sweep, key, "left").na.fill(0, ["overlaps", "gaps"])
-    return joined.filter("overlaps > 0 or gaps > 0 or inverted > 0 or current_versions <> 1")
+    return sweep.filter("overlaps > 0 or gaps > 0 or inverted > 0 or current_versions <> 1")
