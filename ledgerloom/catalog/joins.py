@@ -103,10 +103,14 @@ def vehicles(spark, sf):
     )
 
 
+def _bridge_table(spark, sf):
+    names = {"boleto": "codigo_boleto", "item": "codigo_veiculo", "n": "qtd_veiculos_boleto", "share": "valor_rateado"}
+    return bridge(spark, sf).withColumnsRenamed(names)
+
+
 def _stored_bridge(spark, sf):
     """The bridge as a stored table, and its hot keys."""
-    names = {"boleto": "codigo_boleto", "item": "codigo_veiculo", "n": "qtd_veiculos_boleto", "share": "valor_rateado"}
-    stored = settle(bridge(spark, sf).withColumnsRenamed(names), "bridge")
+    stored = settle(_bridge_table(spark, sf), "bridge")
     return stored, {"hot_invoices": hot_keys(stored, "codigo_boleto"), "hot_vehicles": hot_keys(stored, "codigo_veiculo")}
 
 
@@ -181,15 +185,16 @@ def _viewed(spark, sf):
     # The views are made over empty tables: what they show must be what is loaded afterwards.
     tables = {
         "fact_delinquency_snapshot": snapshot(spark, sf),
-        "bridge_invoices_vehicles": _stored_bridge(spark, sf)[0],
-        "dim_customers": vehicles(spark, sf),
+        "bridge_invoices_vehicles": _bridge_table(spark, sf),
         "dim_vehicles": vehicles(spark, sf),
     }
+    tables["dim_customers"] = tables["dim_vehicles"]
     for name, frame in tables.items():
         warehouse.replace(name, frame.limit(0))
     names = views.create_views(spark, warehouse.database)
     for name, frame in tables.items():
-        warehouse.replace(name, frame)
+        # The same versions stand for both dimensions; they are made once.
+        warehouse.replace(name, warehouse.read("dim_vehicles") if name == "dim_customers" else frame)
     return warehouse, names
 
 
