@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -13,10 +15,10 @@ from ledgerloom.session import settle
 #: Lines of this many words or more also count as repeated with one word in so many changed, put in or left out (a
 #: similarity of 0.8 or more); shorter ones only if equal.
 EDITABLE_WORDS = 5
-#: Words are counted in one text of so many, in so many buckets; the counts only order the keys.
-SAMPLED, BUCKETS = 8, 1 << 20
-#: Words with a sampled count of two to this power or more count as common.
-COMMON = 3
+#: Words are counted in so many buckets; the counts only order the keys.
+BUCKETS = 1 << 20
+#: Words with a count of two to this power or more count as common; powers are told apart up to the highest.
+COMMON, HIGHEST = 6, 18
 #: Earlier lines of a key that a line is compared with in the first round; lines left open get more in the next.
 CANDIDATES, MORE = 4, 16
 #: Lines a task remembers, so that a line repeated within it goes out once.
@@ -47,11 +49,11 @@ class WordHash(dict):
 
 
 class Powers:
-    """How common words are: the power of two that their sampled count reaches, by bucket of the word's hash."""
+    """How common words are: the power of two that their count reaches, by bucket of the word's hash."""
 
     def __init__(self, counts: np.ndarray | None = None):
         counts = np.zeros(BUCKETS, np.int64) if counts is None else counts
-        self.table = np.minimum(15, np.log2(1 + counts)).astype(np.uint8)
+        self.table = np.minimum(HIGHEST, np.log2(1 + counts)).astype(np.uint8)
 
     def of(self, hashes: np.ndarray) -> np.ndarray:
         return self.table[(hashes % np.uint64(BUCKETS)).astype(np.int64)]
@@ -159,20 +161,20 @@ def _lines(texts: DataFrame) -> DataFrame:
 
 
 def _word_powers(texts: DataFrame) -> Powers:
-    """From a sample by row; tasks count, and a table of fixed size comes back."""
+    """From the words of all texts; tasks count, and a table of fixed size comes back."""
 
     def run(batches):
         words_hash, counts = WordHash(), np.zeros(BUCKETS, np.int64)
         for batch in batches:
+            held = Counter()
             for text in batch.column(0):
-                words = normal_words(text.as_py() or "")
-                hashes = np.fromiter(map(words_hash.__getitem__, words), np.uint64, len(words))
-                np.add.at(counts, (hashes % np.uint64(BUCKETS)).astype(np.int64), 1)
+                held.update(normal_words(text.as_py() or ""))
+            hashes = np.fromiter(map(words_hash.__getitem__, held), np.uint64, len(held))
+            np.add.at(counts, (hashes % np.uint64(BUCKETS)).astype(np.int64), np.fromiter(held.values(), np.int64, len(held)))
         at = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(counts[at])], names=["at", "n"])
 
-    sample = texts.where(F.pmod(F.xxhash64("row"), F.lit(SAMPLED)) == 0).select("text")
-    found = in_arrow(sample, run, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toArrow()
+    found = in_arrow(texts.select("text"), run, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toArrow()
     counts = np.zeros(BUCKETS, np.int64)
     counts[found.column("at").to_numpy()] = found.column("n").to_numpy()
     return Powers(counts)

@@ -131,3 +131,10 @@ def test_long_lines_go_at_a_similarity_of_four_fifths(spark, monkeypatch):
     got = L.repeated_lines(frame(spark, [(i, x) for i, x in enumerate(lines)])).collect()
     assert {r.doc_id: r.kept_doc_id for r in got} == want
     assert sum(distance(words[i], words[k]) > 1 for i, k in want.items()) > 20
+
+
+def test_words_of_every_text_are_counted(spark):
+    texts = spark.createDataFrame([(i, f"W{i} w{i}\nw{i} common") for i in range(64)], "row long, text string")
+    powers, words = L._word_powers(texts), L.WordHash()
+    hashes = np.array([words[f"w{i}"] for i in range(64)] + [words["common"]], np.uint64)
+    assert (powers.of(hashes) == [2] * 64 + [6]).all()
