@@ -137,3 +137,21 @@ def test_whole_table_scores_held_out_texts_better_than_the_base(spark):
         assert r.base_score == pytest.approx(sum(math.log10((train[w] + 1) / (n + v + 1)) for w in t), abs=1e-6)
     held = [r for r in rows if r.held_out]
     assert sum(r.score for r in held) > sum(r.base_score for r in held) + 0.02 * sum(r.n_tokens for r in held)
+
+
+@pytest.mark.parametrize("depth, telling", [(1, False), (2, True)])
+def test_results_do_not_depend_on_which_contexts_are_dealt(spark, depth, telling):
+    rng = random.Random(3)
+    if telling:  # x tells what follows, which is kept with another weight than that of untested contexts
+        texts = [(2 * i, " ".join(f"x y{j % 97}" for j in range(i, i + 80))) for i in range(20)] + list(enumerate(sample(9, 60), 100))
+    else:  # no word tells anything, however often it is seen
+        texts = [(i, " ".join(rng.choice(["x", "u", "v", "w"]) for _ in range(80))) for i in range(60)]
+    tree = Tree([t for i, t in texts if i % 4 != 1], depth)
+    assert tree.weights[("x",)][0] != HOT_WEIGHT if telling else ("x",) not in tree.weights
+    whole, dealt = (rows_of(spark, texts, depth=depth, chunk_tokens=700, **options) for options in ({}, {"dealt_context": 30}))
+    of = dict(texts)
+    assert len(whole) == len(dealt) == len(texts)
+    for a, b in zip(sorted(whole), sorted(dealt)):
+        total, length = tree.score(of[b.doc_id])
+        assert a[:6] == b[:6] and b.score == pytest.approx(a.score, abs=1e-9)
+        assert b.score == pytest.approx(total, abs=1e-3) and a.mean_context == b.mean_context == pytest.approx(length)
