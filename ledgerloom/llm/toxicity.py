@@ -47,18 +47,29 @@ NOISY = re.compile(rf"[^\W\d_][{re.escape(SIGNS)}]|[{re.escape(SIGNS)}][^\W\d_]|
 #: Single letters or signs in a row, spaced out; punctuation may stand at both ends.
 SPACED = re.compile(rf"(?<!\w)(?:[^\W\d_]|[{re.escape(SIGNS)}])(?:[^\S\n]+(?:[^\W\d_]|[{re.escape(SIGNS)}])){{2,}}(?!\w)")
 MARGINS = re.compile(r"^[^\w@$!|+€(]+|[^\w@$]+$")
+#: What stands behind many words.
+BEHIND = ".,;:?!%*&#$)'\""
 #: Margins that leave the signs at the end, which may be punctuation or letters.
 OUTER = re.compile(r"^[^\w@$!|+€(]+|[^\w@$!|+€(]+$")
 
 
 def gram_counts(words: Counter) -> Counter:
     """Character trigrams of lower-cased words, with two word starts in front and one end behind."""
-    counts: Counter = Counter()
-    for word, n in words.items():
-        padded = f"^^{OTHER.sub('?', word)}$"
-        for i in range(len(padded) - 2):
-            counts[padded[i : i + 3]] += n
-    return counts
+    if not words:
+        return Counter()
+    letters = OTHER.sub("?", "".join(words))
+    sizes = np.fromiter(map(len, words), np.int64, len(words))
+    ends = np.cumsum(sizes + 3)
+    signs = np.full(int(ends[-1]), ord("^"), np.uint64)
+    signs[ends - 1] = ord("$")
+    inside = np.arange(len(letters)) + np.repeat(3 * np.arange(len(words)) + 2, sizes)
+    signs[inside] = np.frombuffer(letters.encode("utf-32-le"), np.uint32)
+    starts = np.ones(len(signs), bool)
+    starts[ends - 1] = starts[ends - 2] = False  # a word's last trigram begins two places before its end sign
+    at = np.flatnonzero(starts)
+    grams, which = np.unique(signs[at] << np.uint64(16) | signs[at + 1] << np.uint64(8) | signs[at + 2], return_inverse=True)
+    counts = np.bincount(which, np.repeat(np.fromiter(words.values(), np.int64, len(words)), sizes + 1)).astype(np.int64)
+    return Counter({chr(g >> 16) + chr(g >> 8 & 255) + chr(g & 255): n for g, n in zip(grams.tolist(), counts.tolist())})
 
 
 class CharModel:
@@ -157,13 +168,23 @@ class Reader(dict):
         self.model, self.wanted, self.beginnings = model, wanted, beginnings
 
     def __missing__(self, token: str) -> tuple[str, ...]:
+        if self.beginnings is not None and self.plainly_unwanted(token):
+            return self.keep(token, ())
         words = WORD.findall(token)
         for core in {MARGINS.sub("", token), OUTER.sub("", token)}:
             if not NOISY.search(core) or self.beginnings is not None and not can_begin(core, self.beginnings):
                 continue
             if (restored := restore(core, self.model)) and restored not in words:
                 words.append(restored)
-        found = tuple(f for word in words for f in self.wanted(word))
+        return self.keep(token, tuple(f for word in words for f in self.wanted(word)))
+
+    def plainly_unwanted(self, token: str) -> bool:
+        """Of most tokens, a word of letters alone with punctuation behind: whether neither it nor any word it can stand
+        for begins as it should. All of these begin with its first three letters if no neighbours among them are the same."""
+        word = token.rstrip(BEHIND)
+        return word[:LEADING] not in self.beginnings and len(word) >= LEADING == 3 and word[0] != word[1] != word[2] and word.isalpha()
+
+    def keep(self, token: str, found: tuple[str, ...]) -> tuple[str, ...]:
         if len(token) <= 64:
             if len(self) >= KEPT_TOKENS:
                 self.clear()

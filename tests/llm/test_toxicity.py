@@ -118,3 +118,33 @@ def test_tokens_that_cannot_count_are_left_alone_without_a_difference():
     found = {t: full[t] for t in tokens}
     assert {t: quick[t] for t in tokens} == found and sum(map(bool, found.values())) > 500
     assert sum(T.can_begin(t, quick.beginnings) for t in tokens) < len(tokens)
+
+
+def test_words_that_plainly_count_for_nothing_are_not_decoded(monkeypatch):
+    calls = []
+    own = T.lattice
+    monkeypatch.setattr(T, "lattice", lambda token: calls.append(token) or own(token))
+    rng = random.Random(5)
+    letters, signs = "idotabenß", "idotabe0!1.$* -"
+    tokens = ["".join(rng.choice(letters) for _ in range(rng.randint(1, 9))) + rng.choice(["", ".", "!!", "$$$", "&&", "-idiot", "1"]) for _ in range(3000)]
+    tokens += ["".join(rng.choice(signs) for _ in range(rng.randint(1, 9))).replace(" ", "") for _ in range(3000)]
+    scorer = T.Scorer({"^^i": 9, "^id": 9, "idi": 9, "dio": 9, "iot": 9, "ot$": 9}, 0.0, {"=idiot": 1.0, "^nota": 1.0, "=be": 1.0})
+    quick, plain = scorer.reader(), scorer.reader()
+    plain.plainly_unwanted = lambda token: False
+    assert [quick[t] for t in tokens] == [plain[t] for t in tokens] and sum(map(bool, map(plain.__getitem__, tokens))) > 20
+    calls.clear()
+    reader = scorer.reader()
+    assert [reader[t] for t in ("batten!!", "donnable$$$", "tadaa,", "abeen")] == [()] * 4 and not calls
+
+
+def test_trigrams_of_many_words_at_once():
+    from collections import Counter
+
+    rng = random.Random(6)
+    words = Counter("".join(rng.choice("abé日²ÿZ") for _ in range(rng.randint(1, 6))) for _ in range(500))
+    want = Counter()
+    for word, n in words.items():
+        padded = f"^^{T.OTHER.sub('?', word)}$"
+        for i in range(len(padded) - 2):
+            want[padded[i : i + 3]] += n
+    assert T.gram_counts(words) == want and T.gram_counts(Counter()) == Counter()
