@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import by_group, in_arrow, map_rows, query, table, with_row_id
-from ledgerloom.session import settle
+from ledgerloom.session import fresh_path, remove, settle
 
 #: Lines of this many words or more also count as repeated with one word in so many changed, put in or left out (a
 #: similarity of 0.8 or more); shorter ones only if equal.
@@ -333,7 +333,16 @@ def _near_lines(rows: DataFrame, texts: DataFrame, places: DataFrame) -> DataFra
 
     Every key's lines stand by place, and a line is compared with the earliest ones of each of its keys first. It
     is settled if the earliest match is not behind the end of a list that was cut short, or if no list was.
+
+    Word sets sieve the pairs before any text moves; then only texts of lines left in a pair are sent to meet. What a
+    step has written goes when the next one is done, so that at no time more than one copy of the texts is on its way.
     """
+    spark, written = texts.sparkSession, []
+
+    def for_now(df: DataFrame, label: str) -> DataFrame:
+        written.append(fresh_path(spark, label))
+        return settle(df, label, written[-1])
+
     signs = [f"s{i}" for i in range(4)]
     one = texts.select("h", "n", *signs)
     other = texts.select(F.col("h").alias("kept_h"), F.col("n").alias("m"), *[F.col(s).alias(f"o{s}") for s in signs])
@@ -347,13 +356,17 @@ def _near_lines(rows: DataFrame, texts: DataFrame, places: DataFrame) -> DataFra
 
     found, most, still = None, CANDIDATES, rows.withColumn("open", F.lit(True))
     while True:
-        pairs = settle(_candidates(still, most).join(of_kept, "kept_h"), "candidates")
-        likely = pairs.join(one, "h").join(other, "kept_h").where(changed <= 2 * bound).select("h", "kept_h", "kept")
-        likely = likely.join(texts.select("h", F.col("text").alias("a")), "h").join(texts.select(F.col("h").alias("kept_h"), F.col("text").alias("b")), "kept_h")
-        near = map_rows(likely.select("h", "kept", "a", "b"), verify, f"h long, kept {PLACE}").groupBy("h").agg(F.min("kept").alias("kept"))
+        pairs = for_now(_candidates(still, most).join(of_kept, "kept_h"), "candidates")
+        likely = for_now(pairs.select("h", "kept_h").join(one, "h").join(other, "kept_h").where(changed <= 2 * bound).select("h", "kept_h"), "likely")
+        met = likely.select("h").unionByName(likely.select(F.col("kept_h").alias("h"))).distinct()
+        own = for_now(texts.select("h", "text").join(met, "h", "left_semi"), "met-texts")
+        both = likely.join(own.withColumnRenamed("text", "a"), "h").join(own.select(F.col("h").alias("kept_h"), F.col("text").alias("b")), "kept_h")
+        near = map_rows(both.join(of_kept, "kept_h").select("h", "kept", "a", "b"), verify, f"h long, kept {PLACE}").groupBy("h").agg(F.min("kept").alias("kept"))
         near = settle(near, "near-lines")
         cut = pairs.where("more").groupBy("h").agg(F.min("kept").alias("end"))
         left_open = settle(cut.join(near, "h", "left").where("kept is null or kept > end").select("h"), "open-lines")
+        while written:
+            remove(spark, written.pop())
         done = near.join(left_open, "h", "left_anti")
         found = done if found is None else found.unionByName(done)
         if left_open.isEmpty():

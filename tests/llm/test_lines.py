@@ -1,4 +1,5 @@
 import random
+from pathlib import Path
 
 import numpy as np
 
@@ -138,3 +139,25 @@ def test_words_of_every_text_are_counted(spark):
     powers, words = L._word_powers(texts), L.WordHash()
     hashes = np.array([words[f"w{i}"] for i in range(64)] + [words["common"]], np.uint64)
     assert (powers.of(hashes) == [2] * 64 + [6]).all()
+
+
+def test_pairs_and_their_texts_go_when_they_are_compared(spark, monkeypatch):
+    monkeypatch.setattr(L, "CANDIDATES", 1)
+    from ledgerloom.session import shared_dir
+
+    def left():
+        return {path for label in ("candidates", "likely", "met-texts") for path in Path(shared_dir(spark)).glob(f"ledgerloom/{label}-*")}
+
+    before, docs = left(), [(i, f"one two three four five six seven eight nine n{i % 40}\na b c d e f g h i j k{i}") for i in range(80)]
+    moved, settle = [], L.settle
+
+    def counted(df, label, path=None):
+        df = settle(df, label, path)
+        moved.append((label, df.count()))
+        return df
+
+    monkeypatch.setattr(L, "settle", counted)
+    assert len(L.repeated_lines(frame(spark, [*docs, *((100 + i, " ".join(f"u{i}w{j}" for j in range(9)) + " x y") for i in range(50))])).collect()) == 158
+    assert left() == before
+    assert {"likely", "met-texts"} <= {label for label, _ in moved}  # no text meets another before the sieve
+    assert max(n for label, n in moved if label == "met-texts") <= 120
