@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import bpe, decontamination, lines, simhash, toxicity
-from ledgerloom.llm.common import table
-from ledgerloom.session import settle
+from ledgerloom.llm.common import table, with_row_id
+from ledgerloom.session import fresh_path, remove, settle
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,9 +47,14 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), []
     for name, stage in STAGES[:-1]:
-        docs = settle(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        out, path = stage(spark, docs, sf_dir), fresh_path(spark, f"pipeline-{name}")
+        # Rows for the line dedup are numbered where they are written anyway.
+        docs = settle(with_row_id(out, lines.ROW) if stage is drop_toxic else out, f"pipeline-{name}", path)
+        for old in before:
+            remove(spark, old)
+        before = [path]
     return STAGES[-1][1](spark, docs, sf_dir)
 
 

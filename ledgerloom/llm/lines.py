@@ -29,6 +29,8 @@ DOCS_AT_ONCE = 128
 FILTER_BITS = 1 << 26
 
 KEPT_WORDS = 100_000
+#: The column that numbers rows.
+ROW = "_lines_row"
 
 
 def _mix(x: np.ndarray, tag: int | np.ndarray) -> np.ndarray:
@@ -395,11 +397,14 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     lines = settle(_lines(texts), "lines")
     first = settle(lines.groupBy("h", "g").agg(F.min(_place()).alias("first")), "first-lines")
 
-    shared = settle(_shared(_block_rows(texts, _word_powers(texts))), "shared")
+    spark, written = docs.sparkSession, [fresh_path(docs.sparkSession, label) for label in ("shared", "places", "line-texts")]
+    shared = settle(_shared(_block_rows(texts, _word_powers(texts))), "shared", written[0])
     # Should two lines agree in h, the earlier one stands for both.
-    places = settle(first.join(shared.select("h").distinct(), "h").groupBy("h").agg(F.min("first").alias("first")), "places")
-    line_texts = settle(_signed_words(_texts_of(texts, places.select("h")).dropDuplicates(["h"]).join(places.select("h"), "h")), "line-texts")
+    places = settle(first.join(shared.select("h").distinct(), "h").groupBy("h").agg(F.min("first").alias("first")), "places", written[1])
+    line_texts = settle(_signed_words(_texts_of(texts, places.select("h")).dropDuplicates(["h"]).join(places.select("h"), "h")), "line-texts", written[2])
     rivals = settle(_near_lines(shared.join(places, "h"), line_texts, places), "rivals")
+    for path in written:
+        remove(spark, path)
     known = first.join(rivals, "h", "left").select("h", "g", "first", "kept")
     earliest = F.least("first", "kept")  # least() passes over nulls
     gone = lines.join(known, ["h", "g"]).withColumn("place", _place())
@@ -409,15 +414,19 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def without_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs``, all columns and rows, with the lines taken out of the texts that repeat an earlier one."""
-    numbered = settle(with_row_id(docs, "_lines_row"), "numbered")  # once: a second reading may be split otherwise
-    gone = repeated_lines(numbered, id_col, text_col, "_lines_row").groupBy(F.col("row").alias("_lines_row")).agg(F.collect_list("line").alias("_lines_gone"))
-    rows = numbered.join(gone, "_lines_row", "left")
+    """``docs``, all columns and rows, with the lines taken out of the texts that repeat an earlier one.
+
+    Rows are numbered and written once, as a second reading may be split otherwise. A frame that was written with a
+    column ``ROW`` is taken as it is, and the column left out.
+    """
+    numbered = docs if ROW in docs.columns else settle(with_row_id(docs, ROW), "numbered")
+    gone = repeated_lines(numbered, id_col, text_col, ROW).groupBy(F.col("row").alias(ROW)).agg(F.collect_list("line").alias("_lines_gone"))
+    rows = numbered.join(gone, ROW, "left")
     parts = F.split(F.col(text_col), "\n", -1)
     left = F.array_except(F.sequence(F.lit(0).cast("long"), F.size(parts).cast("long") - 1), "_lines_gone")
     kept = F.array_join(F.transform(left, lambda i: F.get(parts, i.cast("int"))), "\n")
     text = F.when(F.col("_lines_gone").isNull(), F.col(text_col)).otherwise(kept)
-    return rows.withColumn(text_col, text).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return rows.withColumn(text_col, text).select(*[F.col(f"`{c}`") for c in docs.columns if c != ROW])
 
 
 @query("op9_line_dedup")

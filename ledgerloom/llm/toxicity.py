@@ -6,6 +6,7 @@ import math
 import re
 import unicodedata
 from collections import Counter
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +27,8 @@ LEAST_TEXTS = 4
 THRESHOLD = 0.3
 ORDER = 3
 KEPT_TOKENS = 100_000
+#: Words whose trigrams are counted in one array.
+WORDS_AT_ONCE = 4_096
 #: First letters by which a token is known to be unable to stand for a word that counts: those of the shortest beginnings.
 LEADING = 3
 
@@ -55,21 +58,28 @@ OUTER = re.compile(r"^[^\w@$!|+€(]+|[^\w@$!|+€(]+$")
 
 def gram_counts(words: Counter) -> Counter:
     """Character trigrams of lower-cased words, with two word starts in front and one end behind."""
-    if not words:
-        return Counter()
-    letters = OTHER.sub("?", "".join(words))
-    sizes = np.fromiter(map(len, words), np.int64, len(words))
+    counts: Counter = Counter()
+    for start in range(0, len(words), WORDS_AT_ONCE):
+        counts.update(_grams_at_once(list(islice(words, start, start + WORDS_AT_ONCE)), words))
+    return counts
+
+
+def _grams_at_once(some: list[str], words: Counter) -> dict[str, int]:
+    """Trigrams of some words that stand one after the other as numbers; the letters the model knows have one byte."""
+    letters = OTHER.sub("?", "".join(some))
+    sizes = np.fromiter(map(len, some), np.int64, len(some))
     ends = np.cumsum(sizes + 3)
-    signs = np.full(int(ends[-1]), ord("^"), np.uint64)
+    signs = np.full(int(ends[-1]), ord("^"), np.uint32)
     signs[ends - 1] = ord("$")
-    inside = np.arange(len(letters)) + np.repeat(3 * np.arange(len(words)) + 2, sizes)
+    inside = np.arange(len(letters)) + np.repeat(3 * np.arange(len(some)) + 2, sizes)
     signs[inside] = np.frombuffer(letters.encode("utf-32-le"), np.uint32)
     starts = np.ones(len(signs), bool)
     starts[ends - 1] = starts[ends - 2] = False  # a word's last trigram begins two places before its end sign
     at = np.flatnonzero(starts)
-    grams, which = np.unique(signs[at] << np.uint64(16) | signs[at + 1] << np.uint64(8) | signs[at + 2], return_inverse=True)
-    counts = np.bincount(which, np.repeat(np.fromiter(words.values(), np.int64, len(words)), sizes + 1)).astype(np.int64)
-    return Counter({chr(g >> 16) + chr(g >> 8 & 255) + chr(g & 255): n for g, n in zip(grams.tolist(), counts.tolist())})
+    grams, which = np.unique(signs[at] << np.uint32(16) | signs[at + 1] << np.uint32(8) | signs[at + 2], return_inverse=True)
+    times = np.repeat(np.fromiter(map(words.__getitem__, some), np.int64, len(some)), sizes + 1)
+    counts = np.bincount(which, times).astype(np.int64)
+    return {chr(g >> 16) + chr(g >> 8 & 255) + chr(g & 255): n for g, n in zip(grams.tolist(), counts.tolist())}
 
 
 class CharModel:

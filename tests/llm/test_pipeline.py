@@ -69,3 +69,17 @@ def test_tokens(stages):
 
 def test_run_is_the_stages_one_after_the_other(spark, stages):
     assert sorted(C.run(spark, PATH).collect()) == sorted(stages[5])
+
+
+def test_what_a_stage_wrote_goes_when_the_next_is_written(spark):
+    from pathlib import Path
+
+    from ledgerloom.session import shared_dir
+
+    def left(label):
+        return set(Path(shared_dir(spark)).glob(f"ledgerloom/{label}-*"))
+
+    labels = ["numbered", "shared", "line-texts", "places", *(f"pipeline-{name}" for name, _ in C.STAGES[:-1])]
+    before = {label: left(label) for label in labels}
+    C.run(spark, PATH)
+    assert {label: len(left(label) - before[label]) for label in labels} == dict.fromkeys(labels, 0) | {"numbered": 1, "pipeline-decontamination": 1}  # that of simhash
