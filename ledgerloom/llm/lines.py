@@ -1,9 +1,7 @@
-"""Line dedup: a prefix join on rare word pairs; of lines within the edit bound the earliest stays."""
+"""Line dedup: a prefix join on word pairs that begin with rare words; of lines within the edit bound the earliest stays."""
 
 from __future__ import annotations
 
-from collections import Counter
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -17,18 +15,24 @@ from ledgerloom.session import fresh_path, remove, settle
 EDITABLE_WORDS = 5
 #: Words are counted in so many buckets; the counts only order the keys.
 BUCKETS = 1 << 20
-#: Words with a count of two to this power or more count as common; powers are told apart up to the highest.
-COMMON, HIGHEST = 6, 18
-#: Earlier lines of a key that a line is compared with in the first round; lines left open get more in the next.
-CANDIDATES, MORE = 4, 16
+#: Powers of two that word counts reach are told apart up to this one.
+HIGHEST = 18
+#: Earlier lines of a key that may be near a line by their word sets, and how many times as many it is compared with to
+#: find them, in the first round; lines left open get more in the next.
+CANDIDATES, COMPARED, MORE = 4, 128, 16
+#: Columns of a line's word set: 256 bits, of which each word sets one. An edit changes two bits at most.
+SIGNS = ["s0", "s1", "s2", "s3"]
 #: Lines a task remembers, so that a line repeated within it goes out once.
 REMEMBERED = 200_000
 DOCS_AT_ONCE = 128
+#: Keys that a task holds before it sends them, and keys of a bucket, which is what a task works on at once.
+HELD_KEYS, BUCKET_KEYS = 1 << 20, 1 << 17
+#: So many of the next rows of a key a row is compared with before the lengths alone decide whether it is sent on.
+NEXT_ROWS = 256
 #: Bits of the filter that says which lines are worth sending on; its size does not grow with the data, and a line it
 #: lets through by chance only costs its way.
 FILTER_BITS = 1 << 26
 
-KEPT_WORDS = 100_000
 #: The column that numbers rows.
 ROW = "_lines_row"
 
@@ -39,15 +43,18 @@ def _mix(x: np.ndarray, tag: int | np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-class WordHash(dict):
-    def __missing__(self, word: str) -> int:
+class WordHash:
+    """64 bits of words. Hashing all of them costs less than looking most of them up."""
+
+    def __getitem__(self, word: str) -> int:
+        import xxhash
+
+        return xxhash.xxh3_64_intdigest(word)
+
+    def of(self, words: list[str]) -> np.ndarray:
         import xxhash
 
-        h = xxhash.xxh3_64_intdigest(word)
-        if len(self) >= KEPT_WORDS:
-            self.clear()
-        self[word] = h
-        return h
+        return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
 
 
 class Powers:
@@ -56,6 +63,7 @@ class Powers:
     def __init__(self, counts: np.ndarray | None = None):
         counts = np.zeros(BUCKETS, np.int64) if counts is None else counts
         self.table = np.minimum(HIGHEST, np.log2(1 + counts)).astype(np.uint8)
+        self.words = int(counts.sum())
 
     def of(self, hashes: np.ndarray) -> np.ndarray:
         return self.table[(hashes % np.uint64(BUCKETS)).astype(np.int64)]
@@ -66,33 +74,52 @@ def most_words(n):
     return n // (EDITABLE_WORDS - 1)
 
 
-def prefixes(hashes: np.ndarray, lengths: np.ndarray, powers: Powers) -> tuple[np.ndarray, np.ndarray]:
-    """Keys and the number of the line of each, from the word hashes of lines of two words or more, one after the other.
+def _edits_to_spoil(chosen: np.ndarray, owner: np.ndarray, lines: int) -> np.ndarray:
+    """For each line how many edits it takes to spoil its chosen pairs, of pairs in the order of the text.
 
-    A line's keys are its first pairs of neighbouring words in one order for all lines, rare ones first. An edit
-    spoils two pairs at most, so k edits leave one of any 2 k + 1 pairs. If the first 2 k + 1 pairs of two lines had
-    none in common, those of the line whose prefix ends earlier would all be missing in the other. Therefore lines
-    within the bound share a key, whatever the order.
+    An edit spoils two pairs at most, neighbours, so a run of r chosen neighbours takes half of r, rounded up.
+    """
+    at = np.arange(len(chosen))
+    begins = chosen & np.r_[True, ~chosen[:-1] | (owner[1:] != owner[:-1])]
+    start = np.maximum.accumulate(np.where(begins, at, 0))
+    return np.bincount(owner[chosen & ((at - start) % 2 == 0)], minlength=lines)
+
+
+def prefixes(hashes: np.ndarray, lengths: np.ndarray, powers: Powers) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys, the number of the line of each and its place there, from the word hashes of lines of two words or more.
+
+    A line's keys are its first pairs of neighbouring words in one order for all lines, those first that begin with a
+    rare word and go on with none that is rarer, and as many as the edits that a line may have cannot all spoil. If
+    lines are within the bound, some key of the line whose keys end earlier in that order is not spoilt, so the other
+    line holds it as well, and among its keys, as these go further. Therefore they share a key, whatever the order, and
+    its places differ by words put in or left out only. Pairs equal to the last key are keys too. Few of the first
+    pairs are neighbours, which is why not many more keys are needed than edits are allowed.
     """
     owner = np.repeat(np.arange(len(lengths)), lengths)
     inside = owner[1:] == owner[:-1]
     power = powers.of(hashes)
     left, right = power[:-1][inside], power[1:][inside]
-    rank = (left >= COMMON).astype(np.uint64) * np.uint64(16) + (right >= COMMON).astype(np.uint64) * np.uint64(16) + np.minimum(left, right)
+    rank = (left + np.where(right < left, HIGHEST + 1, 0)).astype(np.uint64)
     values = (rank << np.uint64(56)) | (_mix(_mix(hashes[:-1][inside], 3) + hashes[1:][inside], 1) >> np.uint64(8))
     owner = owner[1:][inside]
-    order = np.lexsort((values, owner))
-    values, owner = values[order], owner[order]
     starts = np.r_[0, np.cumsum(lengths - 1)[:-1]]
-    taken = np.arange(len(values)) - starts[owner] <= 2 * most_words(lengths)[owner]
-    values, owner = values[taken], owner[taken]
-    fresh = np.r_[True, (values[1:] != values[:-1]) | (owner[1:] != owner[:-1])][: len(values)]
-    return values[fresh], owner[fresh]
+    order = np.lexsort((values, owner))
+    turn = np.empty(len(order), np.int64)
+    turn[order] = np.arange(len(order)) - starts[owner]  # owner is the same in both orders
+    edits = most_words(lengths)
+    low, high = edits + 1, 2 * edits + 1
+    while (low < high).any():
+        middle = (low + high) // 2
+        enough = _edits_to_spoil(turn < middle[owner], owner, len(lengths)) > edits
+        low, high = np.where(enough, low, middle + 1), np.where(enough, middle, high)
+    last = values[order][starts + high - 1]
+    taken = values <= last[owner]
+    return values[taken], owner[taken], (np.arange(len(owner)) - starts[owner])[taken]
 
 
 def block_keys(hashes: np.ndarray, lengths: np.ndarray, powers: Powers) -> np.ndarray:
     """The keys of ``prefixes`` as a list for each line."""
-    keys, owner = prefixes(hashes, lengths, powers)
+    keys, owner, _ = prefixes(hashes, lengths, powers)
     out = np.empty(len(lengths), object)
     out[:] = [keys[owner == i].tolist() for i in range(len(lengths))]
     return out
@@ -151,15 +178,41 @@ def _place(prefix: str = ""):
     return F.struct(F.col(prefix + "doc_id").isNull().alias("no_id"), F.col(prefix + "doc_id").alias("doc_id"), F.col(prefix + "row").alias("row"), F.col(prefix + "line").alias("line"))
 
 
+def _word_sets(hashes: np.ndarray, lengths: np.ndarray) -> list[np.ndarray]:
+    """The columns ``SIGNS`` of lines with a word, from their words' hashes, one line after the other."""
+    starts = np.r_[0, np.cumsum(lengths)[:-1]].astype(np.int64)
+    bits, part = np.uint64(1) << (hashes & np.uint64(63)), (hashes >> np.uint64(6)) & np.uint64(3)
+    return [np.bitwise_or.reduceat(np.where(part == np.uint64(i), bits, np.uint64(0)), starts).view(np.int64) for i in range(len(SIGNS))]
+
+
 def _lines(texts: DataFrame) -> DataFrame:
-    """A row for each line with a word: its place and 128 bits of its normalised text."""
+    """A row for each line with a word: its place, 128 bits of its normalised text, its number of words and word set."""
 
-    def run(doc_id, row, text):
-        for number, line in enumerate((text or "").split("\n")):
-            if words := normal_words(line):
-                yield doc_id, row, number, *line_id(words)
+    def run(batches):
+        import xxhash
 
-    return map_rows(texts, run, "doc_id long, row long, line long, h long, g long")
+        for batch in batches:
+            for start in range(0, batch.num_rows, DOCS_AT_ONCE):
+                part = batch.slice(start, DOCS_AT_ONCE)
+                numbers, digests, counts, lengths, every = [], [], [], [], []
+                for text in part.column(2).to_pylist():
+                    before = len(numbers)
+                    for number, line in enumerate((text or "").split("\n")):
+                        if words := normal_words(line):
+                            numbers.append(number)
+                            digests.append(xxhash.xxh3_128_digest(" ".join(words)))
+                            lengths.append(len(words))
+                            every += words
+                    counts.append(len(numbers) - before)
+                if not numbers:
+                    continue
+                at = pa.array(np.repeat(np.arange(part.num_rows), counts))
+                halves = np.frombuffer(b"".join(digests), ">u8").reshape(-1, 2).astype(np.uint64).view(np.int64)
+                columns = [part.column(0).take(at), part.column(1).take(at), pa.array(numbers, pa.int64()), pa.array(halves[:, 1].copy()), pa.array(halves[:, 0].copy())]
+                columns += [pa.array(lengths, pa.int32()), *map(pa.array, _word_sets(WordHash().of(every), np.array(lengths)))]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "row", "line", "h", "g", "n", *SIGNS])
+
+    return in_arrow(texts.select("doc_id", "row", "text"), run, "doc_id long, row long, line long, h long, g long, n int, s0 long, s1 long, s2 long, s3 long")
 
 
 def _word_powers(texts: DataFrame) -> Powers:
@@ -168,11 +221,11 @@ def _word_powers(texts: DataFrame) -> Powers:
     def run(batches):
         words_hash, counts = WordHash(), np.zeros(BUCKETS, np.int64)
         for batch in batches:
-            held = Counter()
-            for text in batch.column(0):
-                held.update(normal_words(text.as_py() or ""))
-            hashes = np.fromiter(map(words_hash.__getitem__, held), np.uint64, len(held))
-            np.add.at(counts, (hashes % np.uint64(BUCKETS)).astype(np.int64), np.fromiter(held.values(), np.int64, len(held)))
+            for start in range(0, batch.num_rows, DOCS_AT_ONCE):
+                words: list[str] = []
+                for text in batch.column(0).slice(start, DOCS_AT_ONCE).to_pylist():
+                    words += normal_words(text or "")
+                counts += np.bincount((words_hash.of(words) % np.uint64(BUCKETS)).astype(np.int64), minlength=BUCKETS)
         at = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(counts[at])], names=["at", "n"])
 
@@ -182,14 +235,41 @@ def _word_powers(texts: DataFrame) -> Powers:
     return Powers(counts)
 
 
+def _packed(values: np.ndarray) -> bytes:
+    """First bytes of all values, then second bytes and so on, which compresses well where values are small or sorted."""
+    return values.view(np.uint8).reshape(len(values), -1).T.tobytes()
+
+
+def _unpacked(packed: pa.ChunkedArray, kind) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    parts = [np.frombuffer(p.as_py(), np.uint8).reshape(width, -1).T for p in packed]
+    return np.ascontiguousarray(np.concatenate(parts)).view(kind).reshape(-1)
+
+
 def _block_rows(texts: DataFrame, word_powers: Powers) -> DataFrame:
-    """Columns key, h, n (words) for the lines long enough to be edited; each distinct line about once for each task."""
+    """Columns bucket, key, h, n, at: the keys of the lines long enough to be edited, packed by bucket.
+
+    Each distinct line goes out about once for each task: with each of its keys the line, its number of words and the
+    key's place. Buckets grow in number with the words of all texts, not in size.
+    """
+    buckets = max(1, word_powers.words // (3 * BUCKET_KEYS))
+
+    def send(parts):
+        keys, h, n, at = map(np.concatenate, zip(*parts))
+        keys = _mix(keys, 5)
+        bucket, keys = (keys >> np.uint64(32)) % np.uint64(buckets), keys.astype(np.uint32)
+        order = np.lexsort((keys, bucket))
+        bucket, keys, h, n, at = (c[order] for c in (bucket, keys, h, n, at))
+        starts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
+        ends = np.r_[starts[1:], len(bucket)]
+        packed = [pa.array([_packed(c[i:j]) for i, j in zip(starts, ends)], pa.binary()) for c in (keys, h, n, at)]
+        return pa.RecordBatch.from_arrays([pa.array(bucket[starts].astype(np.int32)), *packed], names=["bucket", "key", "h", "n", "at"])
 
     def run(batches):
-        words_hash, seen = WordHash(), set()
+        words_hash, seen, parts, held = WordHash(), set(), [], 0
         for batch in batches:
             for start in range(0, batch.num_rows, DOCS_AT_ONCE):
-                hashes, lengths, lines = [], [], []
+                every, lengths, lines = [], [], []
                 for text in batch.column(0).slice(start, DOCS_AT_ONCE).to_pylist():
                     for line in (text or "").split("\n"):
                         words = normal_words(line)
@@ -201,16 +281,21 @@ def _block_rows(texts: DataFrame, word_powers: Powers) -> DataFrame:
                         if len(seen) >= REMEMBERED:
                             seen.clear()
                         seen.add(h)
-                        hashes.append(np.fromiter(map(words_hash.__getitem__, words), np.uint64, len(words)))
+                        every += words
                         lengths.append(len(words))
                         lines.append(h)
                 if lines:
                     counts = np.array(lengths)
-                    keys, owner = prefixes(np.concatenate(hashes), counts, word_powers)
-                    columns = [keys.view(np.int64), np.array(lines, np.int64)[owner], counts[owner].astype(np.int32)]
-                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["key", "h", "n"])
+                    keys, owner, at = prefixes(words_hash.of(every), counts, word_powers)
+                    parts.append((keys, np.array(lines, np.int64)[owner], counts[owner].astype(np.uint32), at.astype(np.uint32)))
+                    held += len(keys)
+                if held >= HELD_KEYS:
+                    yield send(parts)
+                    parts, held = [], 0
+        if parts:
+            yield send(parts)
 
-    return in_arrow(texts.select("text"), run, "key long, h long, n int")
+    return in_arrow(texts.select("text"), run, "bucket int, key binary, h binary, n binary, at binary")
 
 
 def _suits(n, longer):
@@ -218,82 +303,88 @@ def _suits(n, longer):
     return longer - n <= longer // EDITABLE_WORDS
 
 
+def _aligns(n, at, m, to):
+    """Whether lines of n and m words within the bound can have kept a pair that stands at ``at`` in one and ``to`` in the other.
+
+    Before it so many words more must have been put in or left out as the places differ, and behind it the rest.
+    """
+    return np.abs(to - at) + np.abs((m - n) - (to - at)) <= np.maximum(n, m) // EDITABLE_WORDS
+
+
 def _shared(blocks: DataFrame) -> DataFrame:
-    """The rows whose key another line of a suitable length has. Streams through the rows by key and length."""
+    """The rows whose key another line of a suitable length has at a suitable place. Works on one bucket at a time.
 
-    def run(batches):
-        last, linked = None, False  # the last row, and whether it suits the one before it
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            key, n, h = (batch.column(i).to_numpy() for i in range(3))
-            if last is not None:
-                key, n, h = np.r_[last[0], key], np.r_[last[1], n], np.r_[last[2], h]
-            fresh = np.r_[True, (key[1:] != key[:-1]) | (h[1:] != h[:-1])]
-            key, n, h = key[fresh], n[fresh], h[fresh]
-            suits = (key[1:] == key[:-1]) & _suits(n[:-1], n[1:])
-            keep = (np.r_[linked, suits[:-1]] | suits) if len(suits) else suits
-            linked = bool(suits[-1]) if len(suits) else linked
-            last = key[-1], n[-1], h[-1]
-            if keep.any():
-                keep = np.flatnonzero(keep)
-                yield pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in (key, n, h)], names=["key", "n", "h"])
-        if linked:
-            yield pa.RecordBatch.from_arrays([pa.array([x]) for x in last], names=["key", "n", "h"])
-
-    return in_arrow(blocks.select("key", "n", "h").repartition("key").sortWithinPartitions("key", "n", "h"), run, "key long, n int, h long")
+    Of a key with many rows some may stay that only suit by length; it is a sieve.
+    """
+
+    def run(bucket: pa.Table) -> pa.Table:
+        key, h = _unpacked(bucket.column("key"), np.uint32), _unpacked(bucket.column("h"), np.int64)
+        n, at = (_unpacked(bucket.column(c), np.uint32).astype(np.int64) for c in ("n", "at"))
+        order = np.lexsort((at, h, n, key))
+        key, h, n, at = (c[order] for c in (key, h, n, at))
+        fresh = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (h[1:] != h[:-1]) | (at[1:] != at[:-1])])
+        key, h, n, at = (c[fresh] for c in (key, h, n, at))
+        keep, step = np.zeros(len(key), bool), 1
+        left = np.flatnonzero(key[1:] == key[:-1])
+        while len(left) and step <= NEXT_ROWS:
+            right = left + step
+            fit = (h[left] != h[right]) & _aligns(n[left], at[left], n[right], at[right])
+            keep[left[fit]] = keep[right[fit]] = True
+            step += 1
+            left = left[left + step < len(key)]
+            right = left + step
+            left = left[(key[left] == key[right]) & _suits(n[left], n[right]) & ~(keep[left] & keep[right])]
+        if len(left):  # keys with more rows than that
+            many = np.isin(key, key[left])
+            suits = np.r_[False, many[1:] & (key[1:] == key[:-1]) & _suits(n[:-1], n[1:])]
+            keep |= suits | np.r_[suits[1:], False]
+        number = bucket.column("bucket")[0].as_py()
+        columns = [(np.int64(number) << np.int64(32)) | key[keep].astype(np.int64), n[keep].astype(np.int32), h[keep], at[keep].astype(np.int32)]
+        return pa.Table.from_arrays([pa.array(c) for c in columns], names=["key", "n", "h", "at"])
+
+    return blocks.groupBy("bucket").applyInArrow(run, "key long, n int, h long, at int")
 
 
 def _candidates(rows: DataFrame, most: int) -> DataFrame:
-    """Columns h, kept_h, more, from columns key, h, n, first, open: for each open line of a key its earliest lines.
+    """Columns h, kept_h, kept, likely, more, from columns key, h, n, at, place, open and ``SIGNS``.
 
-    They are of suitable length and ``most`` at most; ``more`` is set on the last of them if the key has further ones.
+    Each open line of a key is compared with its earliest lines of suitable length that have the key at a suitable
+    place. A pair is ``likely`` if the word sets allow for it; others are left out. After ``most`` likely ones, or
+    ``COMPARED`` times as many others, ``more`` is set on the last one if the key has further ones. ``kept`` is the
+    place of the earlier line.
     """
 
     def run(batches):
         for batch in by_group(batches, "key"):
-            key, h, n, is_open = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(4))
+            key, h, n, at, place, is_open, *signs = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(6 + len(SIGNS)))
             begins = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
             start = np.repeat(begins, np.diff(np.r_[begins, len(key)]))
             active = np.flatnonzero(is_open & (np.arange(len(key)) > start))
-            count, last = np.zeros(len(key), np.int64), np.full(len(key), -1)
-            left, right, step = [], [], 0
-            more = np.zeros(len(key), bool)
+            count, compared, last = np.zeros(len(key), np.int64), np.zeros(len(key), np.int64), np.full(len(key), -1)
+            found, step = [], 0
             while len(active):
                 other = start[active] + step
-                fits = _suits(np.minimum(n[active], n[other]), np.maximum(n[active], n[other])) & (h[active] != h[other])
-                over = fits & (count[active] == most)
-                more[active[over]] = True
-                fits &= ~over
-                left.append(active[fits])
-                right.append(other[fits])
-                count[active[fits]] += 1
-                last[active[fits]] = other[fits]
+                fits = _aligns(n[active], at[active], n[other], at[other]) & (h[active] != h[other])
+                over = fits & ((count[active] == most) | (compared[active] == COMPARED * most))
+                left = active[over]
+                found.append((left, last[left], np.zeros(len(left), bool), np.ones(len(left), bool)))
+                left, right = active[fits & ~over], other[fits & ~over]
+                compared[left] += 1
+                last[left] = right
+                changed = sum(np.bitwise_count((s[left] ^ s[right]).view(np.uint64)).astype(np.int64) for s in signs)
+                likely = changed <= 2 * (np.maximum(n[left], n[right]) // EDITABLE_WORDS)
+                count[left[likely]] += 1
+                found.append((left[likely], right[likely], likely[likely], np.zeros(likely.sum(), bool)))
                 step += 1
                 active = active[~over]
                 active = active[start[active] + step < active]
-            if left:
-                left, right = np.concatenate(left), np.concatenate(right)
-                ends = more[left] & (last[left] == right)
-                yield pa.RecordBatch.from_arrays([pa.array(h[left]), pa.array(h[right]), pa.array(ends)], names=["h", "kept_h", "more"])
-
-    dealt = rows.repartition("key").sortWithinPartitions("key", "first").select("key", "h", "n", "open")
-    return in_arrow(dealt, run, "h long, kept_h long, more boolean").groupBy("h", "kept_h").agg(F.max("more").alias("more"))
-
+            if found:
+                left, right, likely, more = map(np.concatenate, zip(*found))
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in (h[left], h[right], place[right], likely, more)], names=["h", "kept_h", "kept", "likely", "more"])
 
-def _signed_words(lines: DataFrame) -> DataFrame:
-    """Columns h, n, s0 to s3, text: 256 bits, of which each word sets one. An edit changes two bits at most."""
-
-    def run(h, text):
-        import xxhash
-
-        bits = 0
-        words = normal_words(text)
-        for word in words:
-            bits |= 1 << (xxhash.xxh3_64_intdigest(word) & 255)
-        yield h, len(words), *(_signed(bits >> at & 0xFFFFFFFFFFFFFFFF) for at in (0, 64, 128, 192)), text
-
-    return map_rows(lines.select("h", "text"), run, "h long, n long, s0 long, s1 long, s2 long, s3 long, text string")
+    dealt = rows.repartition("key").sortWithinPartitions("key", "place").select("key", "h", "n", "at", "place", "open", *SIGNS)
+    pairs = in_arrow(dealt, run, "h long, kept_h long, kept long, likely boolean, more boolean")
+    return pairs.groupBy("h", "kept_h").agg(F.max("kept").alias("kept"), F.max("likely").alias("likely"), F.max("more").alias("more"))
 
 
 def _texts_of(texts: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -330,14 +421,14 @@ def _texts_of(texts: DataFrame, wanted: DataFrame) -> DataFrame:
     return in_arrow(texts.select("text"), run, "h long, text string")
 
 
-def _near_lines(rows: DataFrame, texts: DataFrame, places: DataFrame) -> DataFrame:
+def _near_lines(shared: DataFrame, places: DataFrame, texts: DataFrame) -> DataFrame:
     """Columns h, kept: for each line with an earlier one within the bound the place of the earliest.
 
     Every key's lines stand by place, and a line is compared with the earliest ones of each of its keys first. It
     is settled if the earliest match is not behind the end of a list that was cut short, or if no list was.
 
-    Word sets sieve the pairs before any text moves; then only texts of lines left in a pair are sent to meet. What a
-    step has written goes when the next one is done, so that at no time more than one copy of the texts is on its way.
+    Word sets sieve the pairs where they meet; then only texts of lines left in a pair are read again and sent. What a
+    round has written goes when it is done.
     """
     spark, written = texts.sparkSession, []
 
@@ -345,25 +436,18 @@ def _near_lines(rows: DataFrame, texts: DataFrame, places: DataFrame) -> DataFra
         written.append(fresh_path(spark, label))
         return settle(df, label, written[-1])
 
-    signs = [f"s{i}" for i in range(4)]
-    one = texts.select("h", "n", *signs)
-    other = texts.select(F.col("h").alias("kept_h"), F.col("n").alias("m"), *[F.col(s).alias(f"o{s}") for s in signs])
-    changed = sum((F.bit_count(F.col(s).bitwiseXOR(F.col(f"o{s}"))) for s in signs[1:]), F.bit_count(F.col("s0").bitwiseXOR(F.col("os0"))))
-    bound = F.floor(F.greatest("n", "m") / EDITABLE_WORDS)
-    of_kept = places.select(F.col("h").alias("kept_h"), F.col("first").alias("kept"))
-
     def verify(h, kept, a, b):
         if within_one_edit(normal_words(a), normal_words(b)):
             yield h, kept
 
-    found, most, still = None, CANDIDATES, rows.withColumn("open", F.lit(True))
+    found, most, still = None, CANDIDATES, shared.join(places, "h").withColumn("open", F.lit(True))
     while True:
-        pairs = for_now(_candidates(still, most).join(of_kept, "kept_h"), "candidates")
-        likely = for_now(pairs.select("h", "kept_h").join(one, "h").join(other, "kept_h").where(changed <= 2 * bound).select("h", "kept_h"), "likely")
-        met = likely.select("h").unionByName(likely.select(F.col("kept_h").alias("h"))).distinct()
-        own = for_now(texts.select("h", "text").join(met, "h", "left_semi"), "met-texts")
+        pairs = for_now(_candidates(still, most), "likely")
+        likely = pairs.where("likely")
+        met = for_now(likely.select("h").unionByName(likely.select(F.col("kept_h").alias("h"))).distinct(), "met")
+        own = for_now(_texts_of(texts, met).dropDuplicates(["h"]).join(met, "h", "left_semi"), "met-texts")
         both = likely.join(own.withColumnRenamed("text", "a"), "h").join(own.select(F.col("h").alias("kept_h"), F.col("text").alias("b")), "kept_h")
-        near = map_rows(both.join(of_kept, "kept_h").select("h", "kept", "a", "b"), verify, f"h long, kept {PLACE}").groupBy("h").agg(F.min("kept").alias("kept"))
+        near = map_rows(both.select("h", "kept", "a", "b"), verify, "h long, kept long").groupBy("h").agg(F.min("kept").alias("kept"))
         near = settle(near, "near-lines")
         cut = pairs.where("more").groupBy("h").agg(F.min("kept").alias("end"))
         left_open = settle(cut.join(near, "h", "left").where("kept is null or kept > end").select("h"), "open-lines")
@@ -374,7 +458,9 @@ def _near_lines(rows: DataFrame, texts: DataFrame, places: DataFrame) -> DataFra
         if left_open.isEmpty():
             return found
         most *= MORE
-        still = rows.join(left_open.withColumn("open", F.lit(True)), "h", "left").withColumn("open", F.coalesce("open", F.lit(False)))
+        keys = shared.join(left_open, "h", "left_semi").select("key").distinct()
+        still = shared.join(keys, "key", "left_semi").join(places, "h").join(left_open.withColumn("open", F.lit(True)), "h", "left")
+        still = still.withColumn("open", F.coalesce("open", F.lit(False)))
 
 
 def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", row_col: str | None = None) -> DataFrame:
@@ -387,22 +473,24 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     any other. That line may itself go for a yet earlier one. Lines without a word stay. Null and empty texts have
     no lines that could go. Repeated rows repeat their lines. An empty table gives no rows; other columns are ignored.
 
-    Equal lines are settled first, by partial aggregation. For the others, each line goes out under its rarest word
-    pairs, so many that two lines within the bound always share one. Lines of suitable length that share a key are
-    candidates, earliest first and a few for each line at a time; word sets sieve them and the edit distance is
+    Equal lines are settled first, by partial aggregation. For the others, each line goes out under its word pairs that
+    begin with the rarest words, so many that two lines within the bound always share one, at places that suit. Lines
+    that do so are candidates, earliest first and a few for each line at a time; word sets sieve them and the edit distance is
     verified on the words. Texts of such lines are fetched by another reading.
     """
     row = F.col(row_col) if row_col else F.monotonically_increasing_id()
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), row.alias("row"), F.col(text_col).cast("string").alias("text"))
     lines = settle(_lines(texts), "lines")
-    first = settle(lines.groupBy("h", "g").agg(F.min(_place()).alias("first")), "first-lines")
+    signs = [F.max(c).alias(c) for c in ("n", *SIGNS)]  # the same for equal lines
+    first = settle(lines.groupBy("h", "g").agg(F.min(_place()).alias("first"), *signs), "first-lines")
 
-    spark, written = docs.sparkSession, [fresh_path(docs.sparkSession, label) for label in ("shared", "places", "line-texts")]
+    spark, written = docs.sparkSession, [fresh_path(docs.sparkSession, label) for label in ("shared", "places")]
     shared = settle(_shared(_block_rows(texts, _word_powers(texts))), "shared", written[0])
-    # Should two lines agree in h, the earlier one stands for both.
-    places = settle(first.join(shared.select("h").distinct(), "h").groupBy("h").agg(F.min("first").alias("first")), "places", written[1])
-    line_texts = settle(_signed_words(_texts_of(texts, places.select("h")).dropDuplicates(["h"]).join(places.select("h"), "h")), "line-texts", written[2])
-    rivals = settle(_near_lines(shared.join(places, "h"), line_texts, places), "rivals")
+    # Should two lines agree in h, the earlier one stands for both. A number in the order of places stands for each.
+    places = first.join(shared.select("h").distinct(), "h", "left_semi").groupBy("h").agg(F.min(F.struct("first", *SIGNS)).alias("it")).select("h", "it.*")
+    places = settle(places.orderBy("first").withColumn("place", F.monotonically_increasing_id()), "places", written[1])
+    rivals = _near_lines(shared, places.drop("first"), texts)
+    rivals = settle(rivals.join(places.select(F.col("place").alias("kept"), "first"), "kept").select("h", F.col("first").alias("kept")), "rivals")
     for path in written:
         remove(spark, path)
     known = first.join(rivals, "h", "left").select("h", "g", "first", "kept")

@@ -161,3 +161,44 @@ def test_pairs_and_their_texts_go_when_they_are_compared(spark, monkeypatch):
     assert left() == before
     assert {"likely", "met-texts"} <= {label for label, _ in moved}  # no text meets another before the sieve
     assert max(n for label, n in moved if label == "met-texts") <= 120
+
+
+def test_fewer_keys_than_pairs_that_edits_spoil():
+    rng, powers = random.Random(6), L.Powers()
+    for n in (12, 40, 200):
+        lines = [[f"w{rng.randrange(10**9)}" for _ in range(n)] for _ in range(60)]
+        hashes = L.WordHash().of(sum(lines, []))
+        keys, owner, at = L.prefixes(hashes, np.full(60, n), powers)
+        count = np.bincount(owner, minlength=60)
+        assert (count > L.most_words(n)).all()
+        assert count.mean() < 0.85 * (2 * L.most_words(n) + 1)
+        for i in range(60):  # one edit fewer leaves a key
+            places, spoilt = sorted(at[owner == i]), 0
+            while places:
+                places, spoilt = [p for p in places[1:] if p != places[0] + 1], spoilt + 1
+            assert spoilt > L.most_words(n)
+
+
+def test_lines_meet_where_a_key_stands_at_suitable_places(spark):
+    shift = [("a b " + " ".join(f"x{i}" for i in range(18))), (" ".join(f"y{i}" for i in range(18)) + " a b")]
+    near = ["k " + " ".join(f"z{i}" for i in range(19)), " ".join(f"z{i}" for i in range(19)) + " k"]
+    texts = frame(spark, list(enumerate(shift + near))).select("doc_id", "text")
+    blocks = L._block_rows(texts, L.Powers())
+    assert "bucket" in blocks.columns  # packed, not a row for each key
+    ids = [L.line_id(L.normal_words(x))[0] for x in shift + near]
+    assert {r.h for r in L._shared(blocks).collect()} == set(ids[2:])
+
+
+def test_copies_and_near_copies_of_one_line_are_not_compared_with_each_other(spark, monkeypatch):
+    """A class of near lines makes a few pairs for each line, not a pair for any two."""
+    moved, settle = [], L.settle
+
+    def counted(df, label, path=None):
+        df = settle(df, label, path)
+        moved.append((label, df.count()))
+        return df
+
+    monkeypatch.setattr(L, "settle", counted)
+    docs = [(i, "one two three four five six seven eight nine " + f"n{i}") for i in range(300)]
+    assert {(r.doc_id, r.kept_doc_id) for r in L.repeated_lines(frame(spark, docs)).collect()} == {(i, 0) for i in range(1, 300)}
+    assert sum(n for label, n in moved if label == "likely") <= 300 * (L.CANDIDATES + 1) * 3
