@@ -29,6 +29,8 @@ DOCS_AT_ONCE = 128
 HELD_KEYS, BUCKET_KEYS = 1 << 20, 1 << 17
 #: So many of the next rows of a key a row is compared with before the lengths alone decide whether it is sent on.
 NEXT_ROWS = 256
+#: Pairs that a task holds before it sends them, and a number that is behind all places.
+HELD_PAIRS, LAST_PLACE = 1 << 18, (1 << 63) - 1
 #: Bits of the filter that says which lines are worth sending on; its size does not grow with the data, and a line it
 #: lets through by chance only costs its way.
 FILTER_BITS = 1 << 26
@@ -74,15 +76,15 @@ def most_words(n):
     return n // (EDITABLE_WORDS - 1)
 
 
-def _edits_to_spoil(chosen: np.ndarray, owner: np.ndarray, lines: int) -> np.ndarray:
-    """For each line how many edits it takes to spoil its chosen pairs, of pairs in the order of the text.
+def _edits_to_spoil(place: np.ndarray, owner: np.ndarray, lines: int) -> np.ndarray:
+    """For each line how many edits it takes to spoil its chosen pairs, given in the order of the text.
 
     An edit spoils two pairs at most, neighbours, so a run of r chosen neighbours takes half of r, rounded up.
     """
-    at = np.arange(len(chosen))
-    begins = chosen & np.r_[True, ~chosen[:-1] | (owner[1:] != owner[:-1])]
+    at = np.arange(len(place))
+    begins = np.r_[True, (place[1:] != place[:-1] + 1) | (owner[1:] != owner[:-1])]
     start = np.maximum.accumulate(np.where(begins, at, 0))
-    return np.bincount(owner[chosen & ((at - start) % 2 == 0)], minlength=lines)
+    return np.bincount(owner[(at - start) % 2 == 0], minlength=lines)
 
 
 def prefixes(hashes: np.ndarray, lengths: np.ndarray, powers: Powers) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -100,21 +102,33 @@ def prefixes(hashes: np.ndarray, lengths: np.ndarray, powers: Powers) -> tuple[n
     power = powers.of(hashes)
     left, right = power[:-1][inside], power[1:][inside]
     rank = (left + np.where(right < left, HIGHEST + 1, 0)).astype(np.uint64)
-    values = (rank << np.uint64(56)) | (_mix(_mix(hashes[:-1][inside], 3) + hashes[1:][inside], 1) >> np.uint64(8))
+    values = (rank << np.uint64(44)) | (_mix(_mix(hashes[:-1][inside], 3) + hashes[1:][inside], 1) >> np.uint64(20))
     owner = owner[1:][inside]
     starts = np.r_[0, np.cumsum(lengths - 1)[:-1]]
-    order = np.lexsort((values, owner))
+    # Line and value in one number are sorted several times as fast as one after the other.
+    order = np.argsort((owner.astype(np.uint64) << np.uint64(50)) | values) if len(lengths) < 1 << 14 else np.lexsort((values, owner))
     turn = np.empty(len(order), np.int64)
     turn[order] = np.arange(len(order)) - starts[owner]  # owner is the same in both orders
     edits = most_words(lengths)
     low, high = edits + 1, 2 * edits + 1
+    place = np.flatnonzero(turn < high[owner])  # a line takes no more
+    turn, of = turn[place], owner[place]
     while (low < high).any():
         middle = (low + high) // 2
-        enough = _edits_to_spoil(turn < middle[owner], owner, len(lengths)) > edits
+        chosen = turn < middle[of]
+        enough = _edits_to_spoil(place[chosen], of[chosen], len(lengths)) > edits
         low, high = np.where(enough, low, middle + 1), np.where(enough, middle, high)
-    last = values[order][starts + high - 1]
-    taken = values <= last[owner]
-    return values[taken], owner[taken], (np.arange(len(owner)) - starts[owner])[taken]
+    last = values[order[starts + high - 1]]
+    taken = np.flatnonzero(values <= last[owner])
+    return values[taken], owner[taken], taken - starts[owner[taken]]
+
+
+def key_spans(keys: np.ndarray, owner: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Each key of a line once, with its line and its first and last place there, from what ``prefixes`` gives."""
+    order = np.lexsort((keys, owner))
+    keys, owner, at = keys[order], owner[order], at[order]
+    begins = np.flatnonzero(np.r_[True, (keys[1:] != keys[:-1]) | (owner[1:] != owner[:-1])])
+    return keys[begins], owner[begins], at[begins], at[np.r_[begins[1:], len(at)] - 1]
 
 
 def block_keys(hashes: np.ndarray, lengths: np.ndarray, powers: Powers) -> np.ndarray:
@@ -247,23 +261,24 @@ def _unpacked(packed: pa.ChunkedArray, kind) -> np.ndarray:
 
 
 def _block_rows(texts: DataFrame, word_powers: Powers) -> DataFrame:
-    """Columns bucket, key, h, n, at: the keys of the lines long enough to be edited, packed by bucket.
+    """Columns bucket, key, h, n, at, more: the keys of the lines long enough to be edited, packed by bucket.
 
-    Each distinct line goes out about once for each task: with each of its keys the line, its number of words and the
-    key's place. Buckets grow in number with the words of all texts, not in size.
+    Each distinct line goes out about once for each task: with each of its keys the line, its number of words, the
+    key's first place and how much further its last one is, so a line that repeats a key sends it once. Buckets grow in
+    number with the words of all texts, not in size.
     """
     buckets = max(1, word_powers.words // (3 * BUCKET_KEYS))
 
     def send(parts):
-        keys, h, n, at = map(np.concatenate, zip(*parts))
+        keys, h, n, at, more = map(np.concatenate, zip(*parts))
         keys = _mix(keys, 5)
         bucket, keys = (keys >> np.uint64(32)) % np.uint64(buckets), keys.astype(np.uint32)
         order = np.lexsort((keys, bucket))
-        bucket, keys, h, n, at = (c[order] for c in (bucket, keys, h, n, at))
+        bucket, keys, h, n, at, more = (c[order] for c in (bucket, keys, h, n, at, more))
         starts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
         ends = np.r_[starts[1:], len(bucket)]
-        packed = [pa.array([_packed(c[i:j]) for i, j in zip(starts, ends)], pa.binary()) for c in (keys, h, n, at)]
-        return pa.RecordBatch.from_arrays([pa.array(bucket[starts].astype(np.int32)), *packed], names=["bucket", "key", "h", "n", "at"])
+        packed = [pa.array([_packed(c[i:j]) for i, j in zip(starts, ends)], pa.binary()) for c in (keys, h, n, at, more)]
+        return pa.RecordBatch.from_arrays([pa.array(bucket[starts].astype(np.int32)), *packed], names=["bucket", "key", "h", "n", "at", "more"])
 
     def run(batches):
         words_hash, seen, parts, held = WordHash(), set(), [], 0
@@ -286,8 +301,8 @@ def _block_rows(texts: DataFrame, word_powers: Powers) -> DataFrame:
                         lines.append(h)
                 if lines:
                     counts = np.array(lengths)
-                    keys, owner, at = prefixes(words_hash.of(every), counts, word_powers)
-                    parts.append((keys, np.array(lines, np.int64)[owner], counts[owner].astype(np.uint32), at.astype(np.uint32)))
+                    keys, owner, at, to = key_spans(*prefixes(words_hash.of(every), counts, word_powers))
+                    parts.append((keys, np.array(lines, np.int64)[owner], counts[owner].astype(np.uint32), at.astype(np.uint32), (to - at).astype(np.uint32)))
                     held += len(keys)
                 if held >= HELD_KEYS:
                     yield send(parts)
@@ -295,7 +310,7 @@ def _block_rows(texts: DataFrame, word_powers: Powers) -> DataFrame:
         if parts:
             yield send(parts)
 
-    return in_arrow(texts.select("text"), run, "bucket int, key binary, h binary, n binary, at binary")
+    return in_arrow(texts.select("text"), run, "bucket int, key binary, h binary, n binary, at binary, more binary")
 
 
 def _suits(n, longer):
@@ -303,32 +318,43 @@ def _suits(n, longer):
     return longer - n <= longer // EDITABLE_WORDS
 
 
-def _aligns(n, at, m, to):
-    """Whether lines of n and m words within the bound can have kept a pair that stands at ``at`` in one and ``to`` in the other.
+def _aligns(n, at, to, m, its_at, its_to):
+    """Whether lines of n and m words within the bound can have kept a pair that one has from place ``at`` to ``to``, the
+    other from ``its_at`` to ``its_to``.
 
-    Before it so many words more must have been put in or left out as the places differ, and behind it the rest.
+    Before it so many words more must have been put in or left out as the places differ, and behind it the rest; that
+    is no more than the lengths differ by, unless all places differ by more.
     """
-    return np.abs(to - at) + np.abs((m - n) - (to - at)) <= np.maximum(n, m) // EDITABLE_WORDS
+    least, most, longer = its_at - to, its_to - at, m - n
+    beyond = np.maximum(0, np.maximum(least - np.maximum(longer, 0), np.minimum(longer, 0) - most))
+    return np.abs(longer) + 2 * beyond <= np.maximum(n, m) // EDITABLE_WORDS
 
 
 def _shared(blocks: DataFrame) -> DataFrame:
     """The rows whose key another line of a suitable length has at a suitable place. Works on one bucket at a time.
 
-    Of a key with many rows some may stay that only suit by length; it is a sieve.
+    A line has one row for a key. Of a key with many rows some may stay that only suit by length; it is a sieve.
     """
 
     def run(bucket: pa.Table) -> pa.Table:
-        key, h = _unpacked(bucket.column("key"), np.uint32), _unpacked(bucket.column("h"), np.int64)
-        n, at = (_unpacked(bucket.column(c), np.uint32).astype(np.int64) for c in ("n", "at"))
-        order = np.lexsort((at, h, n, key))
-        key, h, n, at = (c[order] for c in (key, h, n, at))
-        fresh = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (h[1:] != h[:-1]) | (at[1:] != at[:-1])])
-        key, h, n, at = (c[fresh] for c in (key, h, n, at))
+        key = _unpacked(bucket.column("key"), np.uint32)
+        order = np.argsort(key, kind="stable")  # keys that come once need no more
+        again = key[order[1:]] == key[order[:-1]]
+        some = order[np.r_[again, False] | np.r_[False, again]]
+        key, h = key[some], _unpacked(bucket.column("h"), np.int64)[some]
+        n, at, to = (_unpacked(bucket.column(c), np.uint32)[some].astype(np.int64) for c in ("n", "at", "more"))
+        to += at
+        order = np.lexsort((h, n, key))
+        key, h, n, at, to = (c[order] for c in (key, h, n, at, to))
+        fresh = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (h[1:] != h[:-1])][: len(key)])
+        if len(fresh):
+            at, to = np.minimum.reduceat(at, fresh), np.maximum.reduceat(to, fresh)
+        key, h, n = (c[fresh] for c in (key, h, n))
         keep, step = np.zeros(len(key), bool), 1
         left = np.flatnonzero(key[1:] == key[:-1])
         while len(left) and step <= NEXT_ROWS:
             right = left + step
-            fit = (h[left] != h[right]) & _aligns(n[left], at[left], n[right], at[right])
+            fit = _aligns(n[left], at[left], to[left], n[right], at[right], to[right])
             keep[left[fit]] = keep[right[fit]] = True
             step += 1
             left = left[left + step < len(key)]
@@ -339,52 +365,64 @@ def _shared(blocks: DataFrame) -> DataFrame:
             suits = np.r_[False, many[1:] & (key[1:] == key[:-1]) & _suits(n[:-1], n[1:])]
             keep |= suits | np.r_[suits[1:], False]
         number = bucket.column("bucket")[0].as_py()
-        columns = [(np.int64(number) << np.int64(32)) | key[keep].astype(np.int64), n[keep].astype(np.int32), h[keep], at[keep].astype(np.int32)]
-        return pa.Table.from_arrays([pa.array(c) for c in columns], names=["key", "n", "h", "at"])
+        columns = [(np.int64(number) << np.int64(32)) | key[keep].astype(np.int64), n[keep].astype(np.int32), h[keep], at[keep].astype(np.int32), to[keep].astype(np.int32)]
+        return pa.Table.from_arrays([pa.array(c) for c in columns], names=["key", "n", "h", "at", "to"])
 
-    return blocks.groupBy("bucket").applyInArrow(run, "key long, n int, h long, at int")
+    return blocks.groupBy("bucket").applyInArrow(run, "key long, n int, h long, at int, to int")
 
 
 def _candidates(rows: DataFrame, most: int) -> DataFrame:
-    """Columns h, kept_h, kept, likely, more, from columns key, h, n, at, place, open and ``SIGNS``.
+    """Columns h, kept_h, kept, key, step, from columns key, h, n, at, to, place, after, before and ``SIGNS``.
 
-    Each open line of a key is compared with its earliest lines of suitable length that have the key at a suitable
-    place. A pair is ``likely`` if the word sets allow for it; others are left out. After ``most`` likely ones, or
-    ``COMPARED`` times as many others, ``more`` is set on the last one if the key has further ones. ``kept`` is the
-    place of the earlier line.
+    Each line of a key that is open (``after`` is not null) is compared with the key's earlier lines of suitable length
+    that have it at a suitable place, from the earliest on or behind the first ``after`` ones, as far as their place is
+    less than ``before``. Pairs that the word sets allow for have key -1, others are left out; ``kept`` is the place of
+    the earlier line. After ``most`` of them, or ``COMPARED`` times as many compared, a row with the key says where to go
+    on: behind the first ``step`` lines; ``kept`` is the place of the last one compared.
     """
+    names = ["h", "kept_h", "kept", "key", "step"]
 
     def run(batches):
         for batch in by_group(batches, "key"):
-            key, h, n, at, place, is_open, *signs = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(6 + len(SIGNS)))
+            key, h, n, at, to, place, after, before, *signs = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(8 + len(SIGNS)))
             begins = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
             start = np.repeat(begins, np.diff(np.r_[begins, len(key)]))
-            active = np.flatnonzero(is_open & (np.arange(len(key)) > start))
+            other = start + np.maximum(after, 0)
+            active = np.flatnonzero((after >= 0) & (other < np.arange(len(key))))
+            active = active[place[other[active]] < before[active]]
             count, compared, last = np.zeros(len(key), np.int64), np.zeros(len(key), np.int64), np.full(len(key), -1)
-            found, step = [], 0
+            found, held = [], 0
             while len(active):
-                other = start[active] + step
-                fits = _aligns(n[active], at[active], n[other], at[other]) & (h[active] != h[other])
+                its = other[active]
+                fits = _aligns(n[active], at[active], to[active], n[its], at[its], to[its])
                 over = fits & ((count[active] == most) | (compared[active] == COMPARED * most))
-                left = active[over]
-                found.append((left, last[left], np.zeros(len(left), bool), np.ones(len(left), bool)))
-                left, right = active[fits & ~over], other[fits & ~over]
+                left, right = active[over], its[over]
+                if len(left):
+                    found.append((h[left], h[last[left]], place[last[left]], key[left], right - start[left]))
+                left, right = active[fits & ~over], its[fits & ~over]
                 compared[left] += 1
                 last[left] = right
                 changed = sum(np.bitwise_count((s[left] ^ s[right]).view(np.uint64)).astype(np.int64) for s in signs)
                 likely = changed <= 2 * (np.maximum(n[left], n[right]) // EDITABLE_WORDS)
-                count[left[likely]] += 1
-                found.append((left[likely], right[likely], likely[likely], np.zeros(likely.sum(), bool)))
-                step += 1
+                left, right = left[likely], right[likely]
+                count[left] += 1
+                if len(left):
+                    found.append((h[left], h[right], place[right], np.full(len(left), -1), np.full(len(left), -1)))
+                held += len(left) + int(over.sum())
+                if held >= HELD_PAIRS:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*found)], names=names)
+                    found, held = [], 0
                 active = active[~over]
-                active = active[start[active] + step < active]
+                other[active] += 1
+                active = active[other[active] < active]
+                active = active[place[other[active]] < before[active]]
             if found:
-                left, right, likely, more = map(np.concatenate, zip(*found))
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in (h[left], h[right], place[right], likely, more)], names=["h", "kept_h", "kept", "likely", "more"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*found)], names=names)
 
-    dealt = rows.repartition("key").sortWithinPartitions("key", "place").select("key", "h", "n", "at", "place", "open", *SIGNS)
-    pairs = in_arrow(dealt, run, "h long, kept_h long, kept long, likely boolean, more boolean")
-    return pairs.groupBy("h", "kept_h").agg(F.max("kept").alias("kept"), F.max("likely").alias("likely"), F.max("more").alias("more"))
+    columns = [F.coalesce("after", F.lit(-1)).alias("after"), F.coalesce("before", F.lit(-1)).alias("before"), *SIGNS]
+    dealt = rows.repartition("key").sortWithinPartitions("key", "place").select("key", "h", "n", "at", "to", "place", *columns)
+    pairs = in_arrow(dealt, run, "h long, kept_h long, kept long, key long, step long")
+    return pairs.groupBy("h", "kept_h", "key").agg(F.max("kept").alias("kept"), F.max("step").alias("step"))
 
 
 def _texts_of(texts: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -425,7 +463,8 @@ def _near_lines(shared: DataFrame, places: DataFrame, texts: DataFrame) -> DataF
     """Columns h, kept: for each line with an earlier one within the bound the place of the earliest.
 
     Every key's lines stand by place, and a line is compared with the earliest ones of each of its keys first. It
-    is settled if the earliest match is not behind the end of a list that was cut short, or if no list was.
+    is settled if the earliest match is not behind the end of a list that was cut short, or if no list was. In the next
+    round it goes on with the lists that were cut short, and behind their ends.
 
     Word sets sieve the pairs where they meet; then only texts of lines left in a pair are read again and sent. What a
     round has written goes when it is done.
@@ -440,27 +479,26 @@ def _near_lines(shared: DataFrame, places: DataFrame, texts: DataFrame) -> DataF
         if within_one_edit(normal_words(a), normal_words(b)):
             yield h, kept
 
-    found, most, still = None, CANDIDATES, shared.join(places, "h").withColumn("open", F.lit(True))
+    found, most, still = None, CANDIDATES, shared.join(places, "h").withColumns({"after": F.lit(0), "before": F.lit(LAST_PLACE)})
     while True:
         pairs = for_now(_candidates(still, most), "likely")
-        likely = pairs.where("likely")
+        likely, cut = pairs.where("key < 0"), pairs.where("key >= 0").select("h", "key", F.col("kept").alias("end"), "step")
         met = for_now(likely.select("h").unionByName(likely.select(F.col("kept_h").alias("h"))).distinct(), "met")
         own = for_now(_texts_of(texts, met).dropDuplicates(["h"]).join(met, "h", "left_semi"), "met-texts")
         both = likely.join(own.withColumnRenamed("text", "a"), "h").join(own.select(F.col("h").alias("kept_h"), F.col("text").alias("b")), "kept_h")
-        near = map_rows(both.select("h", "kept", "a", "b"), verify, "h long, kept long").groupBy("h").agg(F.min("kept").alias("kept"))
-        near = settle(near, "near-lines")
-        cut = pairs.where("more").groupBy("h").agg(F.min("kept").alias("end"))
-        left_open = settle(cut.join(near, "h", "left").where("kept is null or kept > end").select("h"), "open-lines")
+        near = map_rows(both.select("h", "kept", "a", "b"), verify, "h long, kept long")
+        near = (near if found is None else near.unionByName(found)).groupBy("h").agg(F.min("kept").alias("kept"))
+        found = settle(near, "near-lines")
+        left_open = cut.join(found, "h", "left").where("kept is null or kept > end")
+        left_open = left_open.select("key", "h", F.col("step").alias("after"), F.coalesce("kept", F.lit(LAST_PLACE)).alias("before"))
+        left_open = settle(left_open, "open-lines")
         while written:
             remove(spark, written.pop())
-        done = near.join(left_open, "h", "left_anti")
-        found = done if found is None else found.unionByName(done)
         if left_open.isEmpty():
             return found
         most *= MORE
-        keys = shared.join(left_open, "h", "left_semi").select("key").distinct()
-        still = shared.join(keys, "key", "left_semi").join(places, "h").join(left_open.withColumn("open", F.lit(True)), "h", "left")
-        still = still.withColumn("open", F.coalesce("open", F.lit(False)))
+        rows = shared.join(left_open.select("key").distinct(), "key", "left_semi").join(places, "h")
+        still = rows.join(left_open, ["key", "h"], "left")
 
 
 def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", row_col: str | None = None) -> DataFrame:

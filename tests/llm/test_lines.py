@@ -202,3 +202,46 @@ def test_copies_and_near_copies_of_one_line_are_not_compared_with_each_other(spa
     docs = [(i, "one two three four five six seven eight nine " + f"n{i}") for i in range(300)]
     assert {(r.doc_id, r.kept_doc_id) for r in L.repeated_lines(frame(spark, docs)).collect()} == {(i, 0) for i in range(1, 300)}
     assert sum(n for label, n in moved if label == "likely") <= 300 * (L.CANDIDATES + 1) * 3
+
+
+def test_a_line_that_repeats_a_pair_sends_it_once(spark):
+    rng = random.Random(8)
+    lines = [["is", "onhe."] * 150 for _ in range(6)]
+    for words in lines:
+        for _ in range(20):
+            words[rng.randrange(len(words))] = rng.choice("uvwxyz")
+    texts = frame(spark, [(i, " ".join(words)) for i, words in enumerate(lines)]).select("doc_id", "text")
+    shared = L._shared(L._block_rows(texts, L.Powers()))
+    assert shared.select("h").distinct().count() == 6
+    assert shared.groupBy("h", "key").count().where("count > 1").isEmpty()
+
+
+def test_places_of_repeated_pairs_align_if_any_two_do():
+    rng = random.Random(3)
+    for _ in range(300):
+        n, m = rng.randint(5, 60), rng.randint(5, 60)
+        a, b = (sorted(rng.sample(range(x), rng.randint(1, 4))) for x in (n, m))
+        every = any(abs(y - x) + abs((m - n) - (y - x)) <= max(n, m) // L.EDITABLE_WORDS for x in a for y in b)
+        assert L._aligns(n, a[0], a[-1], m, b[0], b[-1]) or not every
+        assert not (len(a) == len(b) == 1 and not every and L._aligns(n, a[0], a[-1], m, b[0], b[-1]))
+
+
+def test_later_rounds_go_on_where_lists_were_cut(spark, monkeypatch):
+    """Only lists that were cut short are taken again, and behind what was compared."""
+    monkeypatch.setattr(L, "CANDIDATES", 1)
+    rounds, candidates = [], L._candidates
+
+    def counted(rows, most):
+        rounds.append(rows.groupBy("key").agg({"after": "max", "h": "count"}).collect())
+        return candidates(rows, most)
+
+    monkeypatch.setattr(L, "_candidates", counted)
+    rng, docs = random.Random(5), []
+    for _ in range(40):
+        base = [f"w{rng.randrange(60)}" for _ in range(20)]
+        docs += [(len(docs) + i, " ".join(edited(rng, base, rng.randint(0, 6)))) for i in range(8)]
+    got = L.repeated_lines(frame(spark, docs)).collect()
+    assert {(r.doc_id, r.line): (r.kept_doc_id, r.kept_line, r.edits) for r in got} == {(row, n): (k, m, e) for (row, n), (k, m, e) in brute(docs).items()}
+    assert len(rounds) > 1
+    assert all(key["max(after)"] > 0 for later in rounds[1:] for key in later)
+    assert sum(key["count(h)"] for key in rounds[1]) < sum(key["count(h)"] for key in rounds[0])
