@@ -1,7 +1,9 @@
 """What a load does with rows of some forty columns: how often they are sent and written, in how many tasks, how compiled."""
 
+from contextlib import contextmanager
 from datetime import date, datetime
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -9,6 +11,8 @@ from ledgerloom import session
 from ledgerloom.operators import dedupe
 from ledgerloom.operators.checks import LoadRefused
 from ledgerloom.plans import jobs
+from ledgerloom.sources import landed
+from ledgerloom.streaming import landing
 
 DAY = jobs.Run(date(2001, 8, 2), datetime(2001, 8, 2, 3))
 
@@ -70,3 +74,22 @@ def test_stages_too_long_to_be_compiled_are_not_fused(spark):
     with session.writing(spark):
         assert spark.conf.get(session.METHOD_LIMIT) == "8000" and spark.conf.get(session.CLEANUP) == "true"
     assert spark.conf.get(session.METHOD_LIMIT, "65535") != "8000"
+
+
+def test_records_are_landed_and_arrive_by_compiled_code(spark, tmp_path, monkeypatch):
+    limits, compression = [], set()
+
+    @contextmanager
+    def seen(session_of):
+        with session.writing(session_of):
+            limits.append(session_of.conf.get(session.METHOD_LIMIT))
+            yield
+
+    def load(df):
+        compression.update(pq.ParquetFile(f.removeprefix("file:")).metadata.row_group(0).column(0).compression for f in df.inputFiles())
+
+    monkeypatch.setattr(landed, "writing", seen)
+    monkeypatch.setattr(landing, "writing", seen)
+    landed.write_records(spark.range(5), f"{tmp_path}/in/0")
+    landing.load_new_files(spark, f"{tmp_path}/in", "id long", f"{tmp_path}/progress", load)
+    assert limits == ["8000", "8000"] and compression == {"ZSTD"}
