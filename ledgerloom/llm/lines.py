@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -45,18 +47,33 @@ def _mix(x: np.ndarray, tag: int | np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
+#: Words hashed at once, some 400 kB of them, and the base of their polynomial.
+HASHED_WORDS, BASE = 1 << 15, 0x9E3779B97F4A7C15
+
+
 class WordHash:
-    """64 bits of words. Hashing all of them costs less than looking most of them up."""
+    """64 bits of words: a polynomial of their bytes, for many words at once from running sums over all their bytes."""
 
-    def __getitem__(self, word: str) -> int:
-        import xxhash
+    def __init__(self):
+        self.powers = self.inverses = np.ones(0, np.uint64)
 
-        return xxhash.xxh3_64_intdigest(word)
+    def __getitem__(self, word: str) -> int:
+        return int(self.of([word])[0])
+
+    def _part(self, words: list[str]) -> np.ndarray:
+        text = np.frombuffer(("\n".join(words) + "\n").encode(), np.uint8)
+        ends = np.flatnonzero(text == 10)
+        if len(text) > len(self.powers):
+            base = lambda b: np.cumprod(np.r_[np.uint64(1), np.full(2 * len(text), b, np.uint64)])
+            self.powers, self.inverses = base(BASE), base(pow(BASE, -1, 1 << 64))
+        sums = np.cumsum((text.astype(np.uint64) + np.uint64(1)) * self.powers[: len(text)])
+        starts = np.r_[0, ends[:-1] + 1]
+        sums = np.r_[np.uint64(0), sums]
+        return _mix((sums[ends] - sums[starts]) * self.inverses[starts], 7)
 
     def of(self, words: list[str]) -> np.ndarray:
-        import xxhash
-
-        return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+        parts = [self._part(words[i : i + HASHED_WORDS]) for i in range(0, len(words), HASHED_WORDS)]
+        return np.concatenate(parts) if parts else np.zeros(0, np.uint64)
 
 
 class Powers:
@@ -200,11 +217,15 @@ def _word_sets(hashes: np.ndarray, lengths: np.ndarray) -> list[np.ndarray]:
 
 
 def _lines(texts: DataFrame) -> DataFrame:
-    """A row for each line with a word: its place, 128 bits of its normalised text, its number of words and word set."""
+    """A row for each line with a word: its place, 128 bits of its normalised text, its number of words and word set.
+
+    Each task adds a row that only holds how often its words come, packed, for ``_word_powers``.
+    """
 
     def run(batches):
         import xxhash
 
+        words_hash, words_in = WordHash(), np.zeros(BUCKETS, np.int64)
         for batch in batches:
             for start in range(0, batch.num_rows, DOCS_AT_ONCE):
                 part = batch.slice(start, DOCS_AT_ONCE)
@@ -223,27 +244,33 @@ def _lines(texts: DataFrame) -> DataFrame:
                 at = pa.array(np.repeat(np.arange(part.num_rows), counts))
                 halves = np.frombuffer(b"".join(digests), ">u8").reshape(-1, 2).astype(np.uint64).view(np.int64)
                 columns = [part.column(0).take(at), part.column(1).take(at), pa.array(numbers, pa.int64()), pa.array(halves[:, 1].copy()), pa.array(halves[:, 0].copy())]
-                columns += [pa.array(lengths, pa.int32()), *map(pa.array, _word_sets(WordHash().of(every), np.array(lengths)))]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "row", "line", "h", "g", "n", *SIGNS])
+                hashes = words_hash.of(every)
+                words_in += np.bincount((hashes % np.uint64(BUCKETS)).astype(np.int64), minlength=BUCKETS)
+                columns += [pa.array(lengths, pa.int32()), *map(pa.array, _word_sets(hashes, np.array(lengths))), pa.nulls(len(numbers), pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=names)
+        at = np.flatnonzero(words_in)
+        if len(at):
+            packed = zlib.compress(_packed(np.diff(at, prepend=0).astype(np.uint32)) + _packed(words_in[at]), 1)
+            yield pa.RecordBatch.from_arrays([*(pa.nulls(1, pa.int32() if c == "n" else pa.int64()) for c in names[:-1]), pa.array([packed])], names=names)
 
-    return in_arrow(texts.select("doc_id", "row", "text"), run, "doc_id long, row long, line long, h long, g long, n int, s0 long, s1 long, s2 long, s3 long")
+    names = ["doc_id", "row", "line", "h", "g", "n", *SIGNS, "words"]
+    schema = "doc_id long, row long, line long, h long, g long, n int, s0 long, s1 long, s2 long, s3 long, words binary"
+    return in_arrow(texts.select("doc_id", "row", "text"), run, schema)
 
 
-def _word_powers(texts: DataFrame) -> Powers:
-    """From the words of all texts; tasks count, and a table of fixed size comes back."""
+def _word_powers(counted: DataFrame) -> Powers:
+    """From the words of all texts, as ``_lines`` counts them, or from texts; a table of fixed size comes back."""
 
     def run(batches):
-        words_hash, counts = WordHash(), np.zeros(BUCKETS, np.int64)
         for batch in batches:
-            for start in range(0, batch.num_rows, DOCS_AT_ONCE):
-                words: list[str] = []
-                for text in batch.column(0).slice(start, DOCS_AT_ONCE).to_pylist():
-                    words += normal_words(text or "")
-                counts += np.bincount((words_hash.of(words) % np.uint64(BUCKETS)).astype(np.int64), minlength=BUCKETS)
-        at = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(counts[at])], names=["at", "n"])
-
-    found = in_arrow(texts.select("text"), run, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toArrow()
+            for packed in batch.column(0).to_pylist():
+                packed = zlib.decompress(packed)
+                at = np.cumsum(_unpacked([packed[: len(packed) // 3]], np.uint32).astype(np.int64))
+                yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(_unpacked([packed[len(packed) // 3 :]], np.int64))], names=["at", "n"])
+
+    none = F.lit(None).cast("long")
+    counted = counted if "words" in counted.columns else _lines(counted.select(none.alias("doc_id"), none.alias("row"), "text"))
+    found = in_arrow(counted.select("words").where("words is not null"), run, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toArrow()
     counts = np.zeros(BUCKETS, np.int64)
     counts[found.column("at").to_numpy()] = found.column("n").to_numpy()
     return Powers(counts)
@@ -254,9 +281,9 @@ def _packed(values: np.ndarray) -> bytes:
     return values.view(np.uint8).reshape(len(values), -1).T.tobytes()
 
 
-def _unpacked(packed: pa.ChunkedArray, kind) -> np.ndarray:
+def _unpacked(packed: pa.ChunkedArray | list[bytes], kind) -> np.ndarray:
     width = np.dtype(kind).itemsize
-    parts = [np.frombuffer(p.as_py(), np.uint8).reshape(width, -1).T for p in packed]
+    parts = [np.frombuffer(p if isinstance(p, bytes) else p.as_py(), np.uint8).reshape(width, -1).T for p in packed]
     return np.ascontiguousarray(np.concatenate(parts)).view(kind).reshape(-1)
 
 
@@ -518,12 +545,13 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     row = F.col(row_col) if row_col else F.monotonically_increasing_id()
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), row.alias("row"), F.col(text_col).cast("string").alias("text"))
-    lines = settle(_lines(texts), "lines")
+    counted = settle(_lines(texts), "lines")
+    lines = counted.where("words is null").drop("words")
     signs = [F.max(c).alias(c) for c in ("n", *SIGNS)]  # the same for equal lines
     first = settle(lines.groupBy("h", "g").agg(F.min(_place()).alias("first"), *signs), "first-lines")
 
     spark, written = docs.sparkSession, [fresh_path(docs.sparkSession, label) for label in ("shared", "places")]
-    shared = settle(_shared(_block_rows(texts, _word_powers(texts))), "shared", written[0])
+    shared = settle(_shared(_block_rows(texts, _word_powers(counted))), "shared", written[0])
     # Should two lines agree in h, the earlier one stands for both. A number in the order of places stands for each.
     places = first.join(shared.select("h").distinct(), "h", "left_semi").groupBy("h").agg(F.min(F.struct("first", *SIGNS)).alias("it")).select("h", "it.*")
     places = settle(places.orderBy("first").withColumn("place", F.monotonically_increasing_id()), "places", written[1])

@@ -245,3 +245,24 @@ def test_later_rounds_go_on_where_lists_were_cut(spark, monkeypatch):
     assert len(rounds) > 1
     assert all(key["max(after)"] > 0 for later in rounds[1:] for key in later)
     assert sum(key["count(h)"] for key in rounds[1]) < sum(key["count(h)"] for key in rounds[0])
+
+
+def test_words_are_hashed_together_as_one_by_one(monkeypatch):
+    words = [*(f"w{i}" for i in range(5000)), "a", "aa", "a\0", "\0", "\0\0", "ab", "ba", "straße", "\U0001f600", "x" * 70_000]
+    hashes = L.WordHash().of(words)
+    assert len(np.unique(hashes)) == len(words)
+    assert [L.WordHash()[w] for w in words[-12:]] == hashes[-12:].tolist()
+    monkeypatch.setattr(L, "HASHED_WORDS", 7)
+    assert (L.WordHash().of(words) == hashes).all() and len(L.WordHash().of([])) == 0
+    spread = np.bincount((hashes[:5000] % np.uint64(256)).astype(int), minlength=256)
+    assert spread.min() > 0 and spread.max() < 60  # the lowest bits choose buckets and the bits of word sets
+
+
+def test_texts_are_split_once_for_lines_and_counts(spark, monkeypatch):
+    texts = spark.createDataFrame([(i, i, f"W{i} w{i}\nw{i} common\n\n") for i in range(64)], "doc_id long, row long, text string")
+    counted = L._lines(texts).cache()
+    assert counted.where("words is null").count() == 128
+    monkeypatch.setattr(L, "_lines", lambda texts: 1 / 0)
+    powers, words = L._word_powers(counted), L.WordHash()
+    hashes = np.array([words[f"w{i}"] for i in range(64)] + [words["common"]], np.uint64)
+    assert (powers.of(hashes) == [2] * 64 + [6]).all() and powers.words == 256
