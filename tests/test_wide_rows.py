@@ -2,6 +2,7 @@
 
 from contextlib import contextmanager
 from datetime import date, datetime
+from pathlib import Path
 
 import pyarrow.parquet as pq
 import pytest
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from ledgerloom import session
 from ledgerloom.operators import dedupe
 from ledgerloom.operators.checks import LoadRefused
+from ledgerloom.operators.upsert import upsert, upsert_known
 from ledgerloom.plans import jobs
 from ledgerloom.sources import landed
 from ledgerloom.streaming import landing
@@ -93,3 +95,46 @@ def test_records_are_landed_and_arrive_by_compiled_code(spark, tmp_path, monkeyp
     landed.write_records(spark.range(5), f"{tmp_path}/in/0")
     landing.load_new_files(spark, f"{tmp_path}/in", "id long", f"{tmp_path}/progress", load)
     assert limits == ["8000", "8000"] and compression == {"ZSTD"}
+
+
+def test_tables_and_landed_frames_are_dense(spark, warehouse):
+    warehouse.upsert_ranges("t", spark.range(9).select(F.col("id").cast("string").alias("k")), ["k"])
+    landed = warehouse.land(spark.range(9).toDF("k"), "dense")
+    files = [*Path(f"{warehouse.root}/t").rglob("*.parquet"), *(Path(f.removeprefix("file:")) for f in landed.inputFiles())]
+    assert {pq.ParquetFile(f).metadata.row_group(0).column(0).compression for f in files} == {"ZSTD"}
+
+
+def test_invoices_and_delinquency_are_not_transformed_at_the_same_time(spark, warehouse, monkeypatch):
+    def handed_over(tasks):
+        raise LookupError(*sorted(tasks[""].args[0]), len(tasks))
+
+    monkeypatch.setattr(jobs, "_together", handed_over)
+    with pytest.raises(LookupError) as found:
+        jobs.daily_run(warehouse, {}, spark.range(0), DAY, [])
+    assert found.value.args == ("delinquency", "invoices", 8)
+
+
+def test_an_upsert_by_known_keys_gives_the_same_state(spark):
+    target = spark.createDataFrame(
+        [("1", "a", 1, "x"), ("2", "b", 2, "y"), ("3", None, None, "z"), (None, "n", 4, "w")], "k string, v string, made int, only string"
+    )
+    batch = spark.createDataFrame([("2", None, 9, True), ("3", "c", 9, None), ("7", "d", 9, False)], "k string, v string, made int, new boolean")
+    untouched = target.select("k").join(batch.select("k"), "k", "left_anti")
+    want, got = upsert(target, batch, ["k"], ["made"]), upsert_known(target, batch, ["k"], ["made"], untouched)
+    assert got.dtypes == want.dtypes and sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
+
+
+def test_old_facts_that_a_batch_replaces_are_read_by_what_it_leaves(spark, with_customers, monkeypatch):
+    from ledgerloom.plans import warehouse as W
+
+    states = []
+    monkeypatch.setattr(W, "upsert_known", lambda *args: states.append(upsert_known(*args)) or states[-1])
+    jobs.load_facts(with_customers, invoices(spark, ROWS[:4]).withColumn("gone", F.lit("kept")), DAY)
+    later = jobs.Run(date(2001, 8, 3), datetime(2001, 8, 3, 3))
+    jobs.load_facts(with_customers, invoices(spark, ROWS[2:]), later)
+    rows = {r.codigo_boleto: r for r in with_customers.read(jobs.FACTS).collect()}
+    assert {k: r.sk_customer for k, r in rows.items()} == KEYS
+    assert {k: (r.criado_em.day, r.atualizado_em.day, r.gone) for k, r in rows.items()} == {
+        "1": (2, 2, "kept"), "2": (2, 2, "kept"), "3": (2, 3, "kept"), "4": (2, 3, "kept"), "5": (3, 3, None), "6": (3, 3, None),
+    }
+    assert len(states) == 1
