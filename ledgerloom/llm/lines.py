@@ -47,8 +47,8 @@ def _mix(x: np.ndarray, tag: int | np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-#: Words hashed at once, some 400 kB of them, and the base of their polynomial.
-HASHED_WORDS, BASE = 1 << 15, 0x9E3779B97F4A7C15
+#: Words hashed at once, some 50 kB of them, which a cache holds, and the base of their polynomial.
+HASHED_WORDS, BASE = 1 << 13, 0x9E3779B97F4A7C15
 
 
 class WordHash:
